@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from .common import Codes, add_column, documents, map_batches, mixed, remainder, segments, texts
 
-TRAIN_ROWS, DIMS, RANK, NEIGHBOURS = 6_000, 4096, 64, 15
+TRAIN_ROWS, DIMS, RANK, NEIGHBOURS = 4_000, 4096, 64, 15
 THRESHOLD = 0.3
 SHARPNESS = 4
 
@@ -99,7 +99,8 @@ def fit(counts: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray, i
     doc, column, count = counts
     x = np.zeros((n, DIMS), np.float32)
     x[doc, column] = (1 + np.log(count)) * idf[column]
-    x = _unit(x)
+    norm = np.sqrt(np.einsum("ij,ij->i", x, x))
+    x /= np.where(norm > 0, norm, 1).astype(np.float32)[:, None]
     q = np.random.default_rng(seed).normal(size=(DIMS, RANK + 16)).astype(np.float32)
     for _ in range(4):
         q, _r = np.linalg.qr(x.T @ (x @ q))
