@@ -238,10 +238,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = f"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {N} THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(ws) - {N - 2}), i -> array_to_string(ws[i:i + {N - 1}], ' '))) END AS sh FROM w),
+    ELSE list_distinct(list_transform(range(1, len(ws) - {N - 2}), lambda i: array_to_string(ws[i:i + {N - 1}], ' '))) END AS sh FROM w),
 t AS (SELECT doc_id, unnest(sh) AS g FROM s),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM t x JOIN t y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * c >= {PERCENT} * (len(x.sh) + len(y.sh) - c)),

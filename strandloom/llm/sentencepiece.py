@@ -2,7 +2,7 @@
 
 The pieces and scores of a model file are a table.  A text is escaped as SentencePiece does (a blank is U+2581, one more
 in front) and cut into words where no piece can cross: before the first of a run of U+2581, and around control
-characters.  The corpus' distinct words are encoded once each: substrings of at most the longest
+characters other than the carriage return.  The corpus' distinct words are encoded once each: substrings of at most the longest
 piece's length are exploded and equi-joined to the piece table, the matches are the edges of the word's lattice, grouped by
 word, and a fold over end positions (the higher-order function `aggregate`) keeps the best score and the edge it came by; a second fold
 walks back.  The best path has the largest sum of scores; of equal ones the edge that starts first wins.
@@ -35,7 +35,9 @@ from .common import add_column, documents, map_batches, settle
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HEAD, FLUSH_WORDS = 120_000, 300_000
 SPACE = "▁"
-_WORD = re.compile(f"[\\x00-\\x1F]|{SPACE}*[^{SPACE}\\x00-\\x1F]+|{SPACE}+")
+#: Control characters other than the carriage return, which ends some pieces.
+CUTS = "\\x00-\\x0C\\x0E-\\x1F"
+_WORD = re.compile(f"[{CUTS}]|{SPACE}*[^{SPACE}{CUTS}]+|{SPACE}+")
 
 
 @dataclass
@@ -58,7 +60,7 @@ class Vocabulary:
         at = {int(p[3:5], 16): i for i, p in enumerate(names) if m.is_byte(i)}
         if len(at) != 256:
             raise ValueError(f"{path} has no byte pieces, so unknown characters could not be given back")
-        if any(SPACE in p.lstrip(SPACE) or re.search("[\x00-\x1f]", p) for p in pieces):
+        if any(SPACE in p.lstrip(SPACE) or len(p) > 1 and re.search(f"[{CUTS}]", p) for p in pieces):
             raise ValueError(f"{path} has pieces that cross words")
         return cls(pieces, [at[i] for i in range(256)], names, min(s for _, s in pieces.values()) - 10)
 
@@ -109,38 +111,43 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -
     return edges.groupBy("word").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
 
 
-def best_path(edges: Column, size: Column) -> tuple[Column, Column]:
-    """The fold over edges, and the walk back over its result in column `_state`: (start, stop, id) along the best path.
+def best_path(edges: Column, size: Column) -> Column:
+    """Array of (start, stop, id) along the best path.
 
     The state has one entry (score, -start, id) for each position reached, the first for the beginning.  As edges
     come by end, an entry is complete when the first edge of the next end arrives; entries are appended or replaced last.
     """
     none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(None).cast("int").alias("id"))
+    let = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)  # noqa: E731  evaluates value once
 
     def step(state: Column, e: Column) -> Column:
-        new = F.struct((F.element_at(state, e["start"])["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id"))
-        old = F.element_at(state, -1)
-        better = (new["score"] > old["score"]) | ((new["score"] == old["score"]) & (new["back"] > old["back"]))
-        return F.when(F.size(state) <= e["stop"], F.concat(state, F.array(new))).when(better, F.concat(F.slice(state, F.lit(1), F.size(state) - 1), F.array(new))).otherwise(state)
+        entry = F.struct((F.element_at(state, e["start"])["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id"))
 
-    state = F.aggregate(edges, F.array(none), step)
+        def put(new: Column) -> Column:
+            old = F.element_at(state, -1)
+            better = (new["score"] > old["score"]) | ((new["score"] == old["score"]) & (new["back"] > old["back"]))
+            replaced = F.concat(F.slice(state, F.lit(1), F.size(state) - 1), F.array(new))
+            return F.when(F.size(state) <= e["stop"], F.concat(state, F.array(new))).when(better, replaced).otherwise(state)
 
-    def back(acc: Column, _: Column) -> Column:
-        at = F.when(F.size(acc) == 0, size).otherwise(F.element_at(acc, 1)["start"] - 1)
-        entry = F.element_at(state_col, at + 1)
-        return F.when(at == 0, acc).otherwise(F.concat(F.array(F.struct((-entry["back"]).alias("start"), at.alias("stop"), entry["id"].alias("id"))), acc))
+        return let(entry, put)
 
-    state_col = F.col("_state")
-    empty = F.array().cast("array<struct<start:int,stop:int,id:int>>")
-    return state, F.aggregate(F.sequence(F.lit(1), size), empty, back)
+    def walk(state: Column) -> Column:
+        def back(acc: Column, _: Column) -> Column:
+            at = F.when(F.size(acc) == 0, size).otherwise(F.element_at(acc, -1)["start"] - 1)
+            entry = F.element_at(state, at + 1)
+            return F.when(at == 0, acc).otherwise(F.concat(acc, F.array(F.struct((-entry["back"]).alias("start"), at.alias("stop"), entry["id"].alias("id")))))
+
+        empty = F.array().cast("array<struct<start:int,stop:int,id:int>>")
+        return F.reverse(F.aggregate(F.sequence(F.lit(1), size), empty, back))
+
+    return let(F.aggregate(edges, F.array(none), step), walk)
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(word, ids) of distinct words."""
     spark = words.sparkSession
     net = lattice(words, vocabulary.table(spark), vocabulary.longest, vocabulary.unknown)
-    state, path = best_path(F.col("edges"), F.char_length("word"))
-    found = net.select("word", state.alias("_state")).select("word", path.alias("path"))
+    found = net.select("word", best_path(F.col("edges"), F.char_length("word")).alias("path"))
     table = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
     hexed = lambda c: F.hex(F.encode(c, "utf-8"))
 

@@ -64,6 +64,13 @@ def _inverse(x: int) -> int:
     return pow(x, -1, 1 << 64)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base ** 2 ... base ** n modulo 2 ** 64."""
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
@@ -83,9 +90,9 @@ def runs(rows: list[bytes], min_sentences: int, min_words: int) -> tuple[np.ndar
     with np.errstate(over="ignore"):
         for k, base in enumerate(_BASES):
             word = mixed(code + np.uint64(k))
-            power = np.multiply.accumulate(np.concatenate(([1], np.full(len(code), base, np.uint64))).astype(np.uint64))
-            back = np.multiply.accumulate(np.concatenate(([1], np.full(len(code), _inverse(base), np.uint64))).astype(np.uint64))
-            total = np.concatenate(([0], np.cumsum(word * power[:-1], dtype=np.uint64))).astype(np.uint64)
+            power, back = (_powers(x, len(code)) for x in (base, _inverse(base)))
+            total = np.zeros(len(code) + 1, np.uint64)
+            np.cumsum(word * power[:-1], out=total[1:])
             span = (total[end[stop]] - total[first[ok]]) * back[first[ok]]
             hashes.append(mixed(span ^ (end[stop] - first[ok]).astype(np.uint64)))
     at = ok - (np.cumsum(per) - per)[row[ok]]

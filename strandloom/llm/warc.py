@@ -176,7 +176,7 @@ WITH a AS (SELECT page_id, url, md5(html) AS d, strlen(html) AS size, regexp_rep
 b AS (SELECT *, regexp_replace(plain, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM a),
 c AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www[0-9]*[.]', ''), ':(80|443)$', '') AS host,
   regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
-  array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'), x -> x <> '' AND NOT starts_with(x, 'utm_'))), '&') AS q FROM b),
+  array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_'))), '&') AS q FROM b),
 k AS (SELECT page_id, d, size, host || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS key FROM c),
 v AS (SELECT 3 * page_id + 1 AS id, key, 10 * page_id + 5 + page_id % 7 * 100 AS at, d, 'max-age=600' AS cc, CAST(page_id AS VARCHAR) AS date, '' AS weak FROM k
   UNION ALL SELECT 3 * page_id + 2, key, 10 * page_id - 5, d, 'no-cache', NULL, 'W/' FROM k),
