@@ -513,7 +513,7 @@ def categorical_slots(spark, folder):
     return encode.summed(out, ["node_id"])
 
 
-@query("SELECT vec_id, len(embedding) AS width, round(list_sum(list_transform(embedding, x -> x::DOUBLE)), 4) AS total, round(embedding[1]::DOUBLE, 5) AS first, round(embedding[-1]::DOUBLE, 5) AS last FROM embeddings")
+@query("SELECT vec_id, len(embedding) AS width, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) AS total, round(embedding[1]::DOUBLE, 5) AS first, round(embedding[-1]::DOUBLE, 5) AS last FROM embeddings")
 def densify_round_trip(spark, folder):
     rows = table(spark, folder, "embeddings")
     back = dense.densify(dense.sparsify(rows, ["vec_id"], "embedding"), ["vec_id"], 64, rows)
