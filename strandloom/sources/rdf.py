@@ -164,12 +164,10 @@ class _Turtle:
                 if self.peek()[1] != ",":
                     break
                 self.take()
+            if self.peek()[1] != ";":
+                return
             while self.peek()[1] == ";":
                 self.take()
-                if self.peek()[1] in (".", "]", ";"):
-                    break
-            else:
-                return
             if self.peek()[1] in (".", "]"):
                 return
 

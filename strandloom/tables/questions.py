@@ -18,7 +18,7 @@ def split_adjusted(prices: DataFrame, splits: DataFrame, key: str = "ticker", da
     a = prices.select("*", F.lit(1.0).alias("_ratio"), F.lit(True).alias("_price"), F.col(day).alias("_at"))
     b = splits.select(key, (F.col("shares_after") / F.col("shares_before")).alias("_ratio"), F.lit(False).alias("_price"), F.col("split_date").alias("_at"))
     later = W.partitionBy(key).orderBy(F.desc("_at"), F.desc("_price")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = a.unionByName(b, allowMissingColumns=True).withColumn("factor", F.exp(F.sum(F.log("_ratio")).over(later))).where("_price")
+    out = a.unionByName(b, allowMissingColumns=True).withColumn("factor", F.product("_ratio").over(later)).where("_price")
     return out.withColumn("adjusted", F.col(price) / F.col("factor")).drop("_ratio", "_price", "_at")
 
 

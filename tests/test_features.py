@@ -19,7 +19,7 @@ def test_node_layout_tiles(width):
     assert parts[0][0] == 0 and all(d >= 1 for _, d in parts) and all(a + d == b for (a, d), (b, _) in zip(parts, parts[1:])) and sum(parts[-1]) == width
 
 
-@given(st.integers(9, 512))
+@given(st.integers(11, 512))
 def test_edge_layout_tiles(width):
     parts = sorted((p.start, p.dim) for p in edge_layout(width).parts.values())
     assert parts[0][0] == 0 and all(d >= 1 for _, d in parts) and all(a + d == b for (a, d), (b, _) in zip(parts, parts[1:])) and sum(parts[-1]) == width
@@ -29,7 +29,7 @@ def test_known_widths():
     assert [p.dim for p in node_layout(1024).parts.values()] == [160, 48, 48, 192, 111, 81, 257, 127]
     assert [p.dim for p in edge_layout(32).parts.values()] == [5, 4, 3, 5, 4, 3, 3, 3, 2]
     assert node_layout(1024, 200)["class_identity"].dim == 200
-    for bad in (lambda: node_layout(31), lambda: edge_layout(8), lambda: node_layout(64, 16)):
+    for bad in (lambda: node_layout(31), lambda: edge_layout(8), lambda: edge_layout(10), lambda: node_layout(64, 16)):
         with pytest.raises(ValueError):
             bad()
 
