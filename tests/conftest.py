@@ -5,6 +5,7 @@ import sys
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -54,7 +55,7 @@ def same_rows(left, right) -> bool:
         for c in d.columns:
             if d[c].dtype.kind == "f":
                 d[c] = d[c].round(6) + 0.0
-        return sorted(str([None if x != x else x for x in r]) for r in d.astype(object).values.tolist())
+        return sorted(str([None if pd.isna(x) else float(x) if isinstance(x, int) and not isinstance(x, bool) else x for x in r]) for r in d.astype(object).values.tolist())
 
     a, b = rows(left), rows(right)
     assert a == b, (len(a), len(b), sorted(set(a) - set(b))[:3], sorted(set(b) - set(a))[:3])
