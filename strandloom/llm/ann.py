@@ -30,7 +30,7 @@ from .common import list_array, map_batches, settle
 
 K, EVERY = 20, 20
 SAMPLE, MAX_LISTS, RECALL = 20_000, 1024, 0.985
-BLOCK, COLUMNS, EPSILON = 4096, 16, 2.4
+BLOCK, COLUMNS, EPSILON = 4096, 16, 2.1
 
 
 def usable(table: DataFrame) -> DataFrame:

@@ -84,8 +84,8 @@ class Items:
         out = cls(np.array(ids, np.int64), size, bags, codes, weights, float(np.log(1 + len(ids))), dict(holders), np.zeros(len(ids), np.uint64), [], seen)
         for i, bag in enumerate(bags):
             own = np.array(list(bag), np.uint64)
-            many = np.array(list(bag.values()), np.float32)
-            out.prints[i] = fingerprint((signs(own) * (out.weigh(own).astype(np.float32) * many)[:, None]).sum(0, keepdims=True))[0]
+            many = np.array(list(bag.values()), float)
+            out.prints[i] = fingerprint(np.round((signs(own) * (out.weigh(own) * many)[:, None]).sum(0, keepdims=True), 6))[0]
         near = _neighbours(64 // BLOCKS, RADIUS // BLOCKS)
         blocks = out.prints.view(np.uint16).reshape(-1, BLOCKS).astype(np.int64)
         for b in range(BLOCKS):
