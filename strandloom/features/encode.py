@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..model import SUBCLASS, SUBPROPERTY, TYPE, is_finite, number_of, union_frames
 from ..operators.schema import closure, property_schema
+from ..storage import settle
 from .layout import Layout, Part
 
 Slot = Callable[[Column, int, Part], Column]
@@ -132,11 +133,12 @@ def categorical_entries(literal_rows: DataFrame, shares: DataFrame, layout: Layo
 
 
 def node_features(triples: DataFrame, node_ids: DataFrame, kinds: DataFrame, literal_rows: DataFrame, layout: Layout, namespaces: Sequence[str] = (), frozen: Sequence[str] = (), identifiers: Sequence[str] = (), codes: Sequence[str] = (), normalise: bool = True) -> DataFrame:
-    """(node_type, node_id, dim, value) over all parts."""
-    shares = numeric_shares(literal_rows, codes)
-    means = numeric_means(literal_rows, shares, identifiers)
+    """(node_type, node_id, dim, value) over all parts. What several parts read is written once."""
+    literal_rows = settle(literal_rows, "literals")
+    shares = settle(numeric_shares(literal_rows, codes), "shares")
+    means = settle(numeric_means(literal_rows, shares, identifiers), "means")
     scored = z_scores(means, normalisation(means)) if normalise else means.withColumn("z", F.col("value"))
-    stated = node_properties(triples, node_ids)
+    stated = settle(node_properties(triples, node_ids), "stated")
     parts = [
         class_identity(node_ids, kinds, layout),
         class_hierarchy(node_ids, kinds, triples, layout),

@@ -20,7 +20,7 @@ from .operators.sequence import escalations, increments, latest, newest_day, seq
 from .plans.pipeline import Phase, enrich
 from .sources import rdf
 from .sources.load import source_statistics
-from .storage import fresh_path
+from .storage import fresh_path, settle
 from .tables import publish, questions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _nodes(facts: DataFrame) -> DataFrame:
+    """Nodes are read by several joins, so they are written once."""
+    return settle(build.nodes(facts, NAMESPACES), "nodes")
+
+
 def _iso(c: str):
     return F.date_format(c, "yyyy-MM-dd")
 
@@ -59,7 +64,7 @@ def _values(rows: list[tuple]) -> str:
 @query("SELECT 'star_Region' AS region_type, r_name AS region, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def two_hop_customers_per_region(spark, folder):
     facts = lift(spark, folder, ["region", "nation", "customer"])
-    nodes = build.nodes(facts, NAMESPACES)
+    nodes = _nodes(facts)
     edges = build.edges(facts, nodes, NAMESPACES)
     hop1 = edges.where("relation = 'star_c_nationkey'").select("dst_type", F.col("dst_id").alias("nation"))
     hop2 = edges.where("relation = 'star_n_regionkey'").select(F.col("src_id").alias("nation"), F.col("dst_type").alias("region_type"), F.col("dst_id").alias("node_id"))
@@ -87,21 +92,21 @@ def dense_node_ids(spark, folder):
  UNION ALL SELECT 'star_Nation', 'star_n_regionkey', 'star_Region', count(*), '{ONTOLOGY}n_regionkey', 'raw', 'star' FROM nation""")
 def edge_type_counts(spark, folder):
     facts = lift(spark, folder, ["region", "nation", "customer", "supplier"])
-    nodes = build.nodes(facts, NAMESPACES)
+    nodes = _nodes(facts)
     return build.edge_types(build.edges(facts, nodes, NAMESPACES))
 
 
 @query(f"SELECT '{IDS}nation/' || n_nationkey AS src_uri, 'star_n_regionkey' AS relation, '{IDS}region/' || n_regionkey AS dst_uri FROM nation")
 def edges_with_uris(spark, folder):
     facts = lift(spark, folder, ["region", "nation"])
-    nodes = build.nodes(facts, NAMESPACES)
+    nodes = _nodes(facts)
     return paths.named_edges(build.edges(facts, nodes, NAMESPACES), nodes).select("src_uri", "relation", "dst_uri")
 
 
 @query("SELECT 'star' AS relation_group, 'star_c_nationkey,star_n_regionkey' AS relations, (SELECT count(*) FROM customer) + (SELECT count(*) FROM nation) AS edges")
 def relation_groups(spark, folder):
     facts = lift(spark, folder, ["region", "nation", "customer"])
-    nodes = build.nodes(facts, NAMESPACES)
+    nodes = _nodes(facts)
     groups = build.relation_groups(build.edge_types(build.edges(facts, nodes, NAMESPACES)))
     return groups.withColumn("relations", F.array_join("relations", ","))
 
@@ -151,7 +156,7 @@ def entity_texts(spark, folder):
 @query("SELECT c_mktsegment AS dst_type, count(*) AS n FROM customer WHERE false GROUP BY 1 UNION ALL SELECT 'star_Nation', count(*) FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer) AND n_nationkey IN (SELECT s_nationkey FROM supplier) HAVING count(*) > 0")
 def left_out_periods(spark, folder):
     facts = lift(spark, folder, ["nation", "customer", "supplier"])
-    nodes = build.nodes(facts, NAMESPACES)
+    nodes = _nodes(facts)
     return build.days_only(build.edges(facts, nodes, NAMESPACES), ["star_Nation"], ["star_Supplier"]).groupBy("dst_type").agg(F.count("*").alias("n"))
 
 
@@ -550,8 +555,8 @@ def label_jaccard(spark, folder):
 
 
 def _graph(spark, folder):
-    facts = lift(spark, folder, ["region", "nation", "customer"])
-    nodes = build.nodes(facts, NAMESPACES)
+    facts = settle(lift(spark, folder, ["region", "nation", "customer"]), "facts")
+    nodes = _nodes(facts)
     return facts, nodes, build.edges(facts, nodes, NAMESPACES), build.literals(facts, nodes, NAMESPACES)
 
 
@@ -677,11 +682,11 @@ def chain_summary(spark, folder):
 _SPLITS = "SELECT o_custkey AS k, date_trunc('day', o_orderdate)::DATE AS d, 2.0 AS r FROM orders WHERE o_orderkey % 7 = 0"
 
 
-@query(f"WITH s AS ({_SPLITS}) SELECT o_orderkey, round(o_totalprice / coalesce((SELECT product(r) FROM s WHERE k = o_custkey AND d > o_orderdate::DATE), 1), 4) AS adjusted FROM orders")
+@query(f"WITH s AS ({_SPLITS}) SELECT o_orderkey, o_totalprice / coalesce((SELECT product(r) FROM s WHERE k = o_custkey AND d > o_orderdate::DATE), 1) AS adjusted FROM orders")
 def split_adjusted_prices(spark, folder):
     orders = table(spark, folder, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
     splits = orders.where("o_orderkey % 7 = 0").select("o_custkey", F.lit(2.0).alias("shares_after"), F.lit(1.0).alias("shares_before"), F.col("day").alias("split_date"))
-    return questions.split_adjusted(orders, splits, "o_custkey", "day", "o_totalprice").select("o_orderkey", F.round("adjusted", 4).alias("adjusted"))
+    return questions.split_adjusted(orders, splits, "o_custkey", "day", "o_totalprice").select("o_orderkey", "adjusted")
 
 
 @query("""WITH q AS (SELECT o_custkey AS k, o_orderdate::DATE AS d, arg_max(o_totalprice, o_orderkey) AS c FROM orders GROUP BY 1, 2), n AS (SELECT k, d, c, lead(d) OVER w AS nd, lead(c) OVER w AS nc FROM q WINDOW w AS (PARTITION BY k ORDER BY d)),
