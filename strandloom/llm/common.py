@@ -186,8 +186,13 @@ def components(edges: DataFrame, tag: str = "cc", rounds: int = 60) -> DataFrame
     round only aggregates and joins, so neither a component nor the links ever meet in one place.
     """
     e = settle(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), tag)
-    seen = None
     for _ in range(rounds):
+        # Done when the edges are stars: every a has one b, and no b is an a.
+        roots = e.select(F.col("b").alias("root")).distinct()
+        counts = e.agg(F.count("*").alias("n"), F.countDistinct("a").alias("d")).crossJoin(F.broadcast(e.join(roots, F.col("a") == F.col("root"), "left_semi").agg(F.count("*").alias("inner"))))
+        now = counts.first()
+        if now["n"] == now["d"] and not now["inner"]:
+            break
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -195,10 +200,6 @@ def components(edges: DataFrame, tag: str = "cc", rounds: int = 60) -> DataFrame
         small = large.join(low, "u")
         small = small.select(F.col("u").alias("a"), F.col("m").alias("b")).unionByName(small.select(F.col("v").alias("a"), F.col("m").alias("b")))
         e = settle(small.where("a <> b").distinct(), tag)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

@@ -4,13 +4,13 @@
 2. Classes are partitioned into groups of similar sets: minimum-hash bands propose a leader for each class,
    the proposals are checked on the whole sets, and links that hold are closed into groups.  A group is
    always connected, so nothing inside it has to be looked at again, however many near copies it has.
-3. The token-group matrix stores each group's token union.  A set can only have a partner in another group
-   if that group's union holds at least the threshold's share of its tokens.  A first pass bounds each
-   set's overlap with all other groups at once: among its lowest PREFIX share of tokens (in code order), at least
-   PREFIX - (1 - t) of all its tokens must be in another group's prefix.  Few sets pass.
+3. The token-group matrix stores each group's token union, dealt by token.  A set can only have a partner in another group
+   if that group's union holds at least the threshold's share of its tokens, so a set's overlap with all other groups
+   at once is bounded first: of its lowest PREFIX_PERCENT of tokens (in code order) enough must be in another group's, then, for the
+   few sets that pass, the threshold's share of all its tokens must be in other groups.
 4. For these, tokens are put in order of how many groups hold them; sets that share a token of the shortest
-   sufficient prefixes with a group are candidates for it, the overlap with the group's whole union is counted,
-   and only groups that reach the bound are opened: their members are compared with the set, exactly.
+   sufficient prefixes with a group are candidates for it.  For a group of several members the overlap with its
+   whole union is counted, and only groups that reach the bound are opened: their members are compared with the set, exactly.
 
 The bounds lose no link, so the components are exact for any grouping.  A link needs
 100 * |A & B| >= percent * |A | B|.
@@ -27,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from ..workers import ship
 from .common import LOWER, UPPER, checked, components, documents, list_array, map_batches, mixed, segments, settle, shingle_sets, texts
@@ -101,7 +100,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, n: int = N) -> DataFrame:
         codes, counts, keys = codes[np.repeat(same, counts)], counts[same], keys[same]
         return pa.record_batch([pa.array(keys), pa.array(counts, pa.int64()), list_array(codes.view(np.int64), counts, pa.int64())], ["key", "n", "tokens"])
 
-    return map_batches(some.select("text", "_key"), run, "key long, n long, tokens array<long>").dropDuplicates(["key"])
+    return map_batches(some.select("text", "_key"), run, "key long, n long, tokens array<long>")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -125,14 +124,15 @@ def proposals(classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).where(near).select("a", "b")
 
 
-def shared_tokens(docs: DataFrame, groups: DataFrame, tokens: int, n: int, percent: int) -> DataFrame:
-    """(key): classes whose prefix overlaps the other groups' prefixes enough to have a partner there.
+def shared_tokens(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> DataFrame:
+    """(key, token, held): entries of the token-group matrix whose token several groups hold, and how many do.
 
-    The matrix pass: (token, class, group) entries travel as packed arrays, dealt by token, so that
-    a block of some thousand entries is one row.
+    groups: settled (key, first, n, group). Of each set the lowest `percent` of its tokens take part. Entries travel as packed arrays, dealt
+    by token, so that a block of some thousand entries is one row.
     """
     spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens * PREFIX_PERCENT // 100 // TOKENS_PER_TASK), 1)
+    tokens = (groups.agg(F.sum("n")).first()[0] or 0) * percent // 100
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // TOKENS_PER_TASK), 1)
     keyed = groups.select(F.col("first").alias("_id"), F.col("key").alias("_key"), "group")
     some = docs.select("doc_id", "text").join(checked(keyed), F.col("doc_id") == F.col("_id")).select("text", "_key", "group")
 
@@ -142,7 +142,7 @@ def shared_tokens(docs: DataFrame, groups: DataFrame, tokens: int, n: int, perce
         same = _keys(codes, counts).view(np.int64) == wanted
         row = segments(counts)
         rank = np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)
-        keep = same[row] & (rank * 100 < counts[row] * PREFIX_PERCENT)
+        keep = same[row] & (rank * 100 < counts[row] * percent)
         codes, row = codes[keep], row[keep]
         part = (mixed(codes) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -155,7 +155,7 @@ def shared_tokens(docs: DataFrame, groups: DataFrame, tokens: int, n: int, perce
                 o.append(x)
         return pa.record_batch([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["part", "codes", "rows", "owners"])
 
-    def overlap(table: pa.Table) -> pa.Table:
+    def held(table: pa.Table) -> pa.Table:
         codes, keys, groups_ = [], [], []
         for c, r, o in zip(*(table[x].to_pylist() for x in ("codes", "rows", "owners")), strict=True):
             owner, at = np.frombuffer(o, np.int64).reshape(2, -1), np.frombuffer(r, np.uint16)
@@ -169,36 +169,51 @@ def shared_tokens(docs: DataFrame, groups: DataFrame, tokens: int, n: int, perce
         starts = np.concatenate(([0], np.nonzero(code[1:] != code[:-1])[0] + 1))
         many = np.minimum.reduceat(group, starts) != np.maximum.reduceat(group, starts)
         hit = np.repeat(many, np.diff(np.append(starts, len(code))))
-        found, count = np.unique(key[order[hit]], return_counts=True)
-        return pa.table({"key": pa.array(found, pa.int64()), "c": pa.array(count, pa.int64())})
+        code, group, key = code[hit], group[hit], key[order[hit]]
+        again = np.lexsort((key, group, code))
+        code, group, key = code[again], group[again], key[again]
+        once = np.ones(len(code), bool)  # a set counts once, even if its document is there twice
+        once[1:] = (code[1:] != code[:-1]) | (key[1:] != key[:-1]) | (group[1:] != group[:-1])
+        code, group, key = code[once], group[once], key[once]
+        new = np.ones(len(code), bool)
+        new[1:] = code[1:] != code[:-1]
+        which = np.cumsum(new) - 1
+        first = new.copy()
+        first[1:] |= group[1:] != group[:-1]
+        return pa.table({"key": pa.array(key, pa.int64()), "token": pa.array(code.view(np.int64), pa.int64()), "held": pa.array(np.bincount(which, first)[which].astype(np.int32) if len(code) else np.zeros(0, np.int32), pa.int32())})
 
     ship(spark)
     blocks = map_batches(some, deal, "part int, codes binary, rows binary, owners binary", rows=2048)
-    hits = blocks.repartition(parts, "part").groupBy("part").applyInArrow(overlap, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    least = PREFIX_PERCENT - (100 - percent)
-    return hits.join(groups.select("key", "n"), "key").where(F.col("c") * 100 >= F.col("n") * least).select("key")
-
-
-def cross_links(docs: DataFrame, some: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): groups of which a member of one links with a member of the other. some: (key, first, group)."""
-    sets = settle(token_sets(docs, some, n), "ngram-sets")
-    each = settle(sets.join(some.select("key", "group"), "key").select("key", "group", "n", F.explode("tokens").alias("token")), "ngram-tokens")
-    matrix = each.select("token", "group").distinct()
-    shared = matrix.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    rare = W.partitionBy("key").orderBy("held", "token")
-    # Tokens of one group only come first in every set, and never meet another group.
-    ranked = each.join(shared, "token").withColumn("rank", F.row_number().over(rare)).withColumn("shared", F.count("*").over(W.partitionBy("key")))
-    need = F.ceil(F.col("n") * percent / 100)
-    prefix = ranked.where(F.col("rank") <= F.col("shared") - need + 1).select("token", "key", "group", "n")
+    return blocks.repartition(parts, "part").groupBy("part").applyInArrow(held, "key long, token long, held int")
+
+
+def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): groups of which a member of one links with a member of the other. groups: settled (key, first, n, group)."""
+    counts = shared_tokens(docs, groups, n, PREFIX_PERCENT).groupBy("key").agg(F.count("*").alias("c"))
+    passed = groups.join(counts, "key").where(F.col("c") * 100 >= F.col("n") * (PREFIX_PERCENT - (100 - percent))).drop("c")
+    passed = settle(passed, "ngram-passed")
+    # Whole sets of those that passed: rare tokens first. Tokens of one group alone come before all others, and never meet another group.
+    each = shared_tokens(docs, passed, n, 100).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("shared"))
+    each = each.join(passed, "key").where(F.size("shared") * 100 >= F.col("n") * percent)
+    each = settle(each, "ngram-shared")
+    need = F.ceil(F.col("n") * percent / 100).cast("int")
+    prefix = each.select("key", "n", "group", F.explode(F.slice("shared", F.lit(1), F.size("shared") - need + 1)).alias("t")).select("t.token", "key", "n", "group")
     prefix = settle(prefix, "ngram-prefix")
-    union = prefix.select("token", F.col("group").alias("other")).distinct()
-    met = prefix.join(union, "token").where(F.col("group") < F.col("other")).select("key", "n", "group", "other").distinct()
-    # The bound: how much of the set the other group's whole union holds.
-    holds = met.join(each.select("key", "token"), "key").join(matrix.withColumnRenamed("group", "other"), ["token", "other"])
-    bound = holds.groupBy("key", "n", "group", "other").agg(F.count("*").alias("c")).where(F.col("c") * 100 >= F.col("n") * percent)
-    members = sets.join(some.select("key", "group"), "key").select(F.col("key").alias("b"), F.col("group").alias("other"), F.col("n").alias("m"))
-    opened = bound.join(members, "other").where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-    opened = settle(opened.select(F.col("key").alias("a"), "b", "group", "other"), "ngram-opened")
+    other = prefix.select("token", F.col("key").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
+    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    met = prefix.join(other, "token").where((F.col("group") < F.col("other")) & fits).select(F.col("key").alias("a"), "n", "group", "other").distinct()
+    sizes = each.groupBy(F.col("group").alias("other")).agg(F.count("*").alias("members"))
+    met = settle(met.join(sizes, "other"), "ngram-met")
+    # The bound on a group of several members: how much of the set its whole union holds. A group of one is its member.
+    tokens = each.select("key", "group", F.explode("shared.token").alias("token"))
+    union = tokens.select(F.col("group").alias("other"), "token").distinct()
+    holds = met.where("members > 1").join(tokens.select(F.col("key").alias("a"), "token"), "a").join(union, ["other", "token"])
+    large = holds.groupBy("a", "n", "group", "other").agg(F.count("*").alias("c")).where(F.col("c") * 100 >= F.col("n") * percent)
+    bound = large.drop("c").unionByName(met.where("members = 1").drop("members"))
+    members = each.select(F.col("key").alias("b"), F.col("group").alias("other"), F.col("n").alias("m"))
+    opened = settle(bound.join(members, "other").where(fits).select("a", "b", "group", "other"), "ngram-opened")
+    ends = opened.select(F.col("a").alias("key")).unionByName(opened.select(F.col("b").alias("key"))).distinct()
+    sets = settle(token_sets(docs, settle(passed.join(ends, "key").select("key", "first"), "ngram-ends"), n).dropDuplicates(["key"]), "ngram-sets")
     found = linked(opened.select("a", "b"), sets, percent)
     return opened.join(found, ["a", "b"]).select(F.col("group").alias("a"), F.col("other").alias("b")).distinct()
 
@@ -215,9 +230,7 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
     links = linked(pairs, settle(token_sets(docs, proposed, n), "ngram-near"), percent)
     grown = components(links, "ngram-cc").withColumnsRenamed({"node": "key", "root": "group"})
     groups = settle(classes.select("key", "first", "n").join(grown, "key", "left").withColumn("group", F.coalesce("group", "key")), "ngram-groups")
-    tokens = groups.agg(F.sum("n")).first()[0] or 0
-    passed = settle(groups.join(shared_tokens(docs, groups, tokens, n, percent), "key").select("key", "first", "group"), "ngram-passed")
-    merged = components(cross_links(docs, passed, n, percent), "ngram-cc2").withColumnsRenamed({"node": "group", "root": "whole"})
+    merged = components(cross_links(docs, groups, n, percent), "ngram-cc2").withColumnsRenamed({"node": "group", "root": "whole"})
     whole = groups.join(merged, "group", "left").select("key", "first", F.coalesce("whole", "group").alias("whole"))
     lowest = whole.groupBy("whole").agg(F.min("first").alias("component_id"))
     named = settle(whole.join(lowest, "whole").select("key", "component_id"), "ngram-components")
