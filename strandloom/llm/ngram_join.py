@@ -196,20 +196,24 @@ def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> Dat
     each = shared_tokens(docs, passed, n, 100).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("shared"))
     each = each.join(passed, "key").where(F.size("shared") * 100 >= F.col("n") * percent)
     each = settle(each, "ngram-shared")
-    need = F.ceil(F.col("n") * percent / 100).cast("int")
-    prefix = each.select("key", "n", "group", F.explode(F.slice("shared", F.lit(1), F.size("shared") - need + 1)).alias("t")).select("t.token", "key", "n", "group")
-    prefix = settle(prefix, "ngram-prefix")
-    other = prefix.select("token", F.col("key").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    met = prefix.join(other, "token").where((F.col("group") < F.col("other")) & fits).select(F.col("key").alias("a"), "n", "group", "other").distinct()
-    sizes = each.groupBy(F.col("group").alias("other")).agg(F.count("*").alias("members"))
-    met = settle(met.join(sizes, "other"), "ngram-met")
-    # The bound on a group of several members: how much of the set its whole union holds. A group of one is its member.
-    tokens = each.select("key", "group", F.explode("shared.token").alias("token"))
-    union = tokens.select(F.col("group").alias("other"), "token").distinct()
-    holds = met.where("members > 1").join(tokens.select(F.col("key").alias("a"), "token"), "a").join(union, ["other", "token"])
-    large = holds.groupBy("a", "n", "group", "other").agg(F.count("*").alias("c")).where(F.col("c") * 100 >= F.col("n") * percent)
-    bound = large.drop("c").unionByName(met.where("members = 1").drop("members"))
+    # Of two sets that link, the larger shares a token of its probing prefix with the smaller's shorter indexing prefix.
+    need = {"probe": F.ceil(F.col("n") * percent / 100), "index": F.ceil(F.col("n") * (2 * percent) / (100 + percent))}
+
+    def prefixes(side: str) -> DataFrame:
+        """(token, group, size): the group's union of its members' prefix tokens, with the largest (probing) or smallest (indexing) member's size."""
+        most = F.greatest(F.size("shared") - need[side].cast("int") + 1, F.lit(0))
+        rows = each.select("n", "group", F.explode(F.slice("shared.token", F.lit(1), most)).alias("token"))
+        return rows.groupBy("token", "group").agg((F.max if side == "probe" else F.min)("n").alias(f"{side}_n"))
+
+    index = prefixes("index").withColumnRenamed("group", "other")
+    near = prefixes("probe").join(index, "token").where((F.col("group") != F.col("other")) & (F.col("probe_n") >= F.col("index_n")))
+    pairs = settle(near.select("group", "other").distinct(), "ngram-group-pairs")
+    # The bound: how much of the set the other group's whole union holds.
+    entries = each.select(F.col("group").alias("other"), F.explode("shared.token").alias("token")).join(pairs.select("other").distinct(), "other", "left_semi").distinct()
+    union = entries.groupBy("other").agg(F.collect_list("token").alias("union"))
+    asked = each.select(F.col("key").alias("a"), "n", "group", F.col("shared.token").alias("mine")).join(pairs, "group")
+    bound = asked.join(union, "other").where(F.size(F.array_intersect("mine", "union")) * 100 >= F.col("n") * percent).select("a", "n", "group", "other")
+    fits = (F.col("n") >= F.col("m")) & (F.col("m") * 100 >= F.col("n") * percent)
     members = each.select(F.col("key").alias("b"), F.col("group").alias("other"), F.col("n").alias("m"))
     opened = settle(bound.join(members, "other").where(fits).select("a", "b", "group", "other"), "ngram-opened")
     ends = opened.select(F.col("a").alias("key")).unionByName(opened.select(F.col("b").alias("key"))).distinct()
