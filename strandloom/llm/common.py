@@ -7,6 +7,7 @@ bytes both are what ``bytes.split()`` and ``bytes.lower()`` do, so no pattern is
 from __future__ import annotations
 
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -51,6 +52,12 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of frames that are no longer referred to; it does so when the driver's JVM collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def checked(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """A settled frame with a broadcast hint if it has few rows, else as it is (Spark then shuffles it)."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

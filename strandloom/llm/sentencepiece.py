@@ -25,15 +25,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workers import ship
-from .common import add_column, documents, map_batches, settle
+from .common import add_column, documents, map_batches, release, settle, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-HEAD, FLUSH_WORDS = 120_000, 300_000
+HEAD, FLUSH_WORDS, WAVES = 300_000, 300_000, 4
 SPACE = "▁"
 #: Control characters other than the carriage return, which ends some pieces.
 CUTS = "\\x00-\\x0C\\x0E-\\x1F"
@@ -99,16 +100,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def lattice(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
-    """(word, edges): edges (stop, start, score, id) of each distinct word, by end; id is null for an unknown character.
+    """(number, word, edges): edges (stop, start, score, id) of each distinct word, by end; id is null for an unknown character.
 
-    The words are dealt out before they are exploded, so their edges are grouped where they arise.
+    words: settled (number, word). They are dealt out by number before they are exploded, so their edges are grouped where they arise.
     """
-    starts = words.select("word").repartition("word").select("word", F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("start"))
+    starts = words.select("number", "word").repartition("number").select("number", "word", F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("start"))
     ends = F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("word") - F.col("start") + 1))
-    parts = starts.select("word", "start", F.explode(ends).alias("size")).withColumn("piece", F.col("word").substr(F.col("start"), F.col("size")))
+    parts = starts.select("number", "word", "start", F.explode(ends).alias("size")).withColumn("piece", F.col("word").substr(F.col("start"), F.col("size")))
     edges = parts.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR size = 1")
     edge = F.struct((F.col("start") + F.col("size") - 1).alias("stop"), F.col("start"), F.coalesce("score", F.lit(unknown)).alias("score"), "id")
-    return edges.groupBy("word").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    return edges.groupBy("number").agg(F.first("word").alias("word"), F.array_sort(F.collect_list(edge)).alias("edges"))
 
 
 def best_path(edges: Column, size: Column) -> Column:
@@ -144,7 +145,7 @@ def best_path(edges: Column, size: Column) -> Column:
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, ids) of distinct words."""
+    """(word, ids) of distinct words; words: settled (number, word)."""
     spark = words.sparkSession
     net = lattice(words, vocabulary.table(spark), vocabulary.longest, vocabulary.unknown)
     found = net.select("word", best_path(F.col("edges"), F.char_length("word")).alias("path"))
@@ -160,57 +161,98 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return found.select("word", F.flatten(codes).alias("ids"))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "ids") -> DataFrame:
-    """docs with an array of piece ids for `text`."""
-    spark = docs.sparkSession
-    counts = settle(word_counts(docs), "piece-words")
-    coded = settle(encode_words(counts, vocabulary), "piece-codes")
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD)
-    head = {r["word"]: r["ids"] for r in coded.join(F.broadcast(top.select("word")), "word").toLocalIterator()}
-    sent = spark.sparkContext.broadcast({w: np.array(i, np.int32) for w, i in head.items()})
+@dataclass
+class Dictionary:
+    """coded: settled (word, ids), ids as packed 32-bit numbers, of all words of a corpus; head: those of the most frequent ones, broadcast."""
+
+    coded: DataFrame
+    head: Broadcast
+
+    @classmethod
+    def build(cls, docs: DataFrame, vocabulary: Vocabulary) -> Dictionary:
+        spark = docs.sparkSession
+        counts = settle(word_counts(docs).withColumn("number", F.monotonically_increasing_id()), "piece-words")
+
+        def pack(b: pa.RecordBatch) -> pa.RecordBatch:
+            ids = b.column(1)
+            flat, at = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.diff(ids.offsets.to_numpy()).cumsum()
+            packed = [x.tobytes() for x in np.split(flat, at[:-1])] if len(at) else []
+            return pa.record_batch([b.column(0), pa.array(packed, pa.binary())], ["word", "ids"])
 
-    def rare(b: pa.RecordBatch) -> pa.Array:
-        known = sent.value
-        return pa.array([list({w for w in words_of(t) if w not in known}) for t in b.column("text").to_pylist()], pa.list_(pa.string()))
+        coded = settle(map_batches(encode_words(counts, vocabulary), pack, "word string, ids binary", rows=10_000), "piece-codes")
+        top = counts.orderBy(F.desc("c"), "word").limit(HEAD).select("word")
+        head = {r["word"]: bytes(r["ids"]) for r in coded.join(F.broadcast(top), "word").toLocalIterator()}
+        return cls(coded, spark.sparkContext.broadcast(head))
 
-    rows = docs.withColumn("text", F.col("text").cast("string")).withColumn("_row", F.monotonically_increasing_id())
-    rows = settle(rows, "piece-rows")
-    tails = add_column(rows.select("_row", "text"), rare, "_rare", T.ArrayType(T.StringType())).select("_row", F.explode("_rare").alias("word"))
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "ids", dictionary: Dictionary | None = None) -> DataFrame:
+    """docs with an array of piece ids for `text`; a dictionary, if given, must hold all of its words.
+
+    The words a text has outside the head are looked up under the text's own 128-bit code, so equal texts are looked up once
+    and no row needs a number.
+    """
+    words = dictionary or Dictionary.build(docs, vocabulary)
+    sent = words.head
+    text = F.col("text").cast("string")
+    keyed = docs.withColumns({"text": text, "_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(7), text)})
+
+    def rare(b: pa.RecordBatch) -> pa.RecordBatch:
+        known, at, out = sent.value, [], []
+        for i, t in enumerate(b.column(2).to_pylist()):
+            mine = {w for w in words_of(t) if w not in known}
+            out += mine
+            at += [i] * len(mine)
+        at = pa.array(at, pa.int64())
+        return pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(out, pa.string())], ["_h1", "_h2", "word"])
+
+    tails = map_batches(keyed.select("_h1", "_h2", "text"), rare, "_h1 long, _h2 long, word string").distinct()
     # No word outside the head is frequent, so no key of this join is hot.
-    found = tails.join(coded, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "ids")).alias("_found"))
-    both = rows.join(found, "_row", "left")
+    found = tails.join(words.coded, "word").groupBy("_h1", "_h2").agg(F.collect_list(F.struct("word", "ids")).alias("_found"))
+    both = keyed.join(found, ["_h1", "_h2"], "left")
 
     def run(b: pa.RecordBatch) -> pa.Array:
         known, sizes, parts = sent.value, [], []
         for t, f in zip(b.column("text").to_pylist(), b.column("_found").to_pylist(), strict=True):
-            own = {x["word"]: np.array(x["ids"], np.int32) for x in f or ()}
-            mine = [known[w] if w in known else own[w] for w in words_of(t)]
-            parts += mine
-            sizes.append(sum(map(len, mine)))
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            own = {x["word"]: x["ids"] for x in f or ()}
+            parts.append(b"".join([known[w] if w in known else own[w] for w in words_of(t)]))
+            sizes.append(len(parts[-1]) // 4)
+        flat = np.frombuffer(b"".join(parts), np.int32)
         return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(flat, pa.int32()))
 
-    return add_column(both, run, column, T.ArrayType(T.IntegerType())).drop("_row", "_found")
+    return add_column(both, run, column, T.ArrayType(T.IntegerType())).select(*docs.columns, column)
 
 
-def decode_ids(ids: list[int], names: list[str], byte_of: dict[int, int]) -> str:
-    out = b"".join(bytes((byte_of[i],)) if i in byte_of else names[i].encode() for i in ids)
-    return out.decode(errors="replace").replace(SPACE, " ")[1:] if ids else ""
+def decode_ids(ids: list[int], table: list[bytes]) -> str:
+    """table: the bytes of every id."""
+    return b"".join([table[i] for i in ids]).decode(errors="replace").replace(SPACE, " ")[1:] if ids else ""
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """coded with the text of an array of piece ids."""
-    byte_of = {i: b for b, i in enumerate(vocabulary.byte_ids)}
-    sent = coded.sparkSession.sparkContext.broadcast((vocabulary.names, byte_of))
-    return add_column(coded, lambda b: pa.array([decode_ids(x or [], *sent.value) for x in b.column(ids).to_pylist()], pa.string()), column, T.StringType())
+    table = [n.encode() for n in vocabulary.names]
+    for b, i in enumerate(vocabulary.byte_ids):
+        table[i] = bytes((b,))
+    sent = coded.sparkSession.sparkContext.broadcast(table)
+    return add_column(coded, lambda b: pa.array([decode_ids(x or [], sent.value) for x in b.column(ids).to_pylist()], pa.string()), column, T.StringType())
 
 
-def encoded_digests(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """(doc_id, n_pieces, ids_sha256, round_trip): the codes' digest (decimal, comma-separated) and whether they decode to the text."""
+def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> DataFrame:
+    """(doc_id, n_pieces, ids_sha256, round_trip): the codes' digest (decimal, comma-separated) and whether they decode to the text.
+
+    The dictionary is made once over the whole corpus; the texts meet it in waves by their code, so that the look-up of rare words holds
+    a fraction of the corpus on disk at a time.
+    """
     vocabulary = Vocabulary.load(path)
-    out = decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
-    text = F.replace(F.coalesce("text", F.lit("")), F.lit(SPACE), F.lit(" "))
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), (F.col("decoded") == text).alias("round_trip"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    words = Dictionary.build(rows, vocabulary)
+    out = []
+    for wave in range(waves):
+        some = decode(encode(rows.where(F.pmod(F.xxhash64("text"), F.lit(waves)) == wave), vocabulary, dictionary=words), vocabulary)
+        text = F.replace(F.coalesce("text", F.lit("")), F.lit(SPACE), F.lit(" "))
+        digest = F.sha2(F.array_join("ids", ","), 256)
+        out.append(settle(some.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), (F.col("decoded") == text).alias("round_trip")), "piece-digests"))
+        release(docs.sparkSession)
+    return union_all(out)
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
