@@ -18,10 +18,10 @@ def labelled(spark, n, bad):
 
 
 def test_toxicity_learns_and_scores_odd_documents(spark, odd_docs, no_docs):
-    docs, labels = labelled(spark, 600, lambda i: prose(i, 40) + " you nastyword")
-    model = toxicity.train(docs, labels.where("doc_id < 400"))
+    docs, labels = labelled(spark, 1500, lambda i: prose(i, 40) + " you nastyword")
+    model = toxicity.train(docs, labels.where("doc_id < 1200"))
     out = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
-    assert np.mean([(out[i] >= 0.7) == (i % 3 == 0) for i in range(400, 600)]) > 0.97
+    assert np.mean([(out[i] >= 0.7) == (i % 3 == 0) for i in range(1200, 1500)]) > 0.97
     scored = toxicity.score(odd_docs, model)
     assert sorted(scored.columns) == sorted(odd_docs.columns) and scored.where("score BETWEEN 0 AND 1").count() == 13
     assert toxicity.score(no_docs, model).count() == 0
