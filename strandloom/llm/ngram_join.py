@@ -8,9 +8,11 @@
    if that group's union holds at least the threshold's share of its tokens, so a set's overlap with all other groups
    at once is bounded first: of its lowest PREFIX_PERCENT of tokens (in code order) enough must be in another group's, then, for the
    few sets that pass, the threshold's share of all its tokens must be in other groups.
-4. For these, tokens are put in order of how many groups hold them; sets that share a token of the shortest
-   sufficient prefixes with a group are candidates for it.  For a group of several members the overlap with its
-   whole union is counted, and only groups that reach the bound are opened: their members are compared with the set, exactly.
+4. For these, tokens are put in order of how many groups hold them; groups whose members share a token of the shortest
+   sufficient prefixes are candidates for each other.  A large group's unions are kept by cell of some members.  The
+   overlap of each set with the cells' unions is counted, and only cells that reach the bound are opened: their
+   members are compared with the set, exactly.  Two groups are one as soon as one link between them is known, so the
+   cell of the largest overlap is opened first, and the others only for groups that it did not join.
 
 The bounds lose no link, so the components are exact for any grouping.  A link needs
 100 * |A & B| >= percent * |A | B|.
@@ -37,6 +39,8 @@ BANDS, BAND_HASHES = 10, 3
 PREFIX_PERCENT = 40
 #: Tokens that one task of the first pass holds.
 TOKENS_PER_TASK = 2_000_000
+#: Members of a group that share one row of unions.
+CELL = 64
 
 _MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, BANDS * BAND_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -208,18 +212,36 @@ def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> Dat
     index = prefixes("index").withColumnRenamed("group", "other")
     near = prefixes("probe").join(index, "token").where((F.col("group") != F.col("other")) & (F.col("probe_n") >= F.col("index_n")))
     pairs = settle(near.select("group", "other").distinct(), "ngram-group-pairs")
-    # The bound: how much of the set the other group's whole union holds.
-    entries = each.select(F.col("group").alias("other"), F.explode("shared.token").alias("token")).join(pairs.select("other").distinct(), "other", "left_semi").distinct()
-    union = entries.groupBy("other").agg(F.collect_list("token").alias("union"))
-    asked = each.select(F.col("key").alias("a"), "n", "group", F.col("shared.token").alias("mine")).join(pairs, "group")
-    bound = asked.join(union, "other").where(F.size(F.array_intersect("mine", "union")) * 100 >= F.col("n") * percent).select("a", "n", "group", "other")
+    # A large group's matrix rows are kept by cell of about CELL members, so that a bound concerns few of them.
+    cells = each.groupBy("group").agg(F.ceil(F.count("*") / CELL).alias("cells"))
+    named = each.join(cells, "group").withColumn("cell", F.pmod("key", "cells")).select("key", "n", "group", "cell", F.col("shared.token").alias("mine"))
+    sides = pairs.select("group").unionByName(pairs.select(F.col("other").alias("group"))).distinct()
+    named = settle(named.join(sides, "group", "left_semi"), "ngram-cells")
+    # The bound: a set and a member of a cell have at most c tokens in common, c being what the cell's union holds of the set,
+    # and at least n + low - c together, low being the cell's smallest member. For a cell of one this is the similarity itself.
+    entries = named.select(F.col("group").alias("other"), "cell", F.explode("mine").alias("token")).distinct()
+    low = named.groupBy(F.col("group").alias("other"), "cell").agg(F.min("n").alias("low"))
+    union = entries.groupBy("other", "cell").agg(F.collect_list("token").alias("union")).join(low, ["other", "cell"])
+    asked = named.select(F.col("key").alias("a"), "n", "group", "mine").join(pairs, "group")
+    bound = asked.join(union, "other").withColumn("c", F.size(F.array_intersect("mine", "union")))
+    bound = settle(bound.where(F.col("c") * 100 >= (F.col("n") + F.col("low") - F.col("c")) * percent).select("a", "n", "group", "other", "cell", "c"), "ngram-bound")
+    wanted = passed.join(named.select("key"), "key", "left_semi").select("key", "first")
+    sets = settle(token_sets(docs, settle(wanted, "ngram-ends"), n).dropDuplicates(["key"]), "ngram-sets")
+    members = named.select(F.col("key").alias("b"), F.col("group").alias("other"), "cell", F.col("n").alias("m"))
     fits = (F.col("n") >= F.col("m")) & (F.col("m") * 100 >= F.col("n") * percent)
-    members = each.select(F.col("key").alias("b"), F.col("group").alias("other"), F.col("n").alias("m"))
-    opened = settle(bound.join(members, "other").where(fits).select("a", "b", "group", "other"), "ngram-opened")
-    ends = opened.select(F.col("a").alias("key")).unionByName(opened.select(F.col("b").alias("key"))).distinct()
-    sets = settle(token_sets(docs, settle(passed.join(ends, "key").select("key", "first"), "ngram-ends"), n).dropDuplicates(["key"]), "ngram-sets")
-    found = linked(opened.select("a", "b"), sets, percent)
-    return opened.join(found, ["a", "b"]).select(F.col("group").alias("a"), F.col("other").alias("b")).distinct()
+
+    def opened(some: DataFrame) -> DataFrame:
+        """(a, group, other) of links between sets and members of the cells opened for them."""
+        rows = settle(some.join(members, ["other", "cell"]).where(fits).select("a", "b", "group", "other"), "ngram-opened")
+        return settle(rows.join(linked(rows.select("a", "b"), sets, percent), ["a", "b"]).select("a", "group", "other").distinct(), "ngram-found")
+
+    # One link joins two groups: the cell with the largest overlap is opened first, and the others only where it has none.
+    best = settle(bound.groupBy("a", "other").agg(F.max_by("cell", F.struct("c", "cell")).alias("cell")), "ngram-best")
+    first = opened(bound.join(best, ["a", "other", "cell"], "left_semi"))
+    joined = first.select("group", "other").distinct()
+    rest = bound.join(best, ["a", "other", "cell"], "left_anti").join(joined, ["group", "other"], "left_anti")
+    found = first.select("group", "other").unionByName(opened(rest).select("group", "other"))
+    return found.select(F.col("group").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
