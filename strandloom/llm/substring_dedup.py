@@ -2,14 +2,15 @@
 
 A sentence ends with a word that ends in `.`, `!` or `?`, at a line break, or, since sentences may be long, after a
 word whose code is divisible by CUT.  Whether a sentence ends at a word depends on that word and the blanks behind it alone,
-so two copies of a passage are cut alike whatever stands around them.  From every sentence starts one run: the fewest
-consecutive sentences, at least MIN_SENTENCES, with at least MIN_WORDS words.  Runs are hashed to 128 bits
-over their lower-cased words.  Globally, a run's first occurrence is that of the smallest (doc_id, sentence);
+so two copies of a passage are cut alike whatever stands around them.  At every sentence one run starts and one ends:
+the fewest consecutive sentences from it, or back from it, at least MIN_SENTENCES, with at least MIN_WORDS words.  Runs are
+hashed to 128 bits over their lower-cased words; a run that is the fewest both ways is hashed once.  Globally, a run's first occurrence is that of the smallest (doc_id, sentence);
 every sentence that any other occurrence covers is removed.  Counting and choosing the first are partial aggregates and
 the way back is a join, so a passage that a third of all documents share meets in no single task.
 
-A repeated passage of MIN_WORDS words and two whole sentences is found wherever it stands; of a longer one, the
-incomplete sentences at its two ends may stay.
+Whatever any repeated run of MIN_SENTENCES and MIN_WORDS covers, those runs cover: of a passage of sentences a to b, the run from
+sentence s lies within it, or else s to b is too short and the run back from b holds s.  So a repeated passage goes with all
+its whole sentences; only the incomplete sentences at its two ends may stay.
 
 Defined results: a null or empty text has no sentences and stays as it is (null becomes empty).  A null doc_id takes no part and
 keeps its text.  Rows that repeat a doc_id are one document: their equal runs at equal places are one occurrence.
@@ -18,6 +19,7 @@ keeps its text.  Rows that repeat a doc_id are one document: their equal runs at
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +52,7 @@ def sentences(rows: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndar
     """Tokens of each text; then, over all texts, word codes, the first word of each sentence, and sentences per text."""
     tokens = [_WORD.findall(t) for t in rows]
     counts = np.array([len(x) for x in tokens], np.int64)
-    code = np.fromiter((_codes[w] for x in tokens for w in x), np.uint64, int(counts.sum()))
+    code = np.fromiter(map(_codes.__getitem__, chain.from_iterable(tokens)), np.uint64, int(counts.sum()))
     ends = (code & np.uint64(1)).astype(bool)
     starts = np.concatenate(([True], ends[:-1])) if len(code) else np.zeros(0, bool)
     begin = np.cumsum(counts) - counts
@@ -83,9 +85,15 @@ def runs(rows: list[bytes], min_sentences: int, min_words: int) -> tuple[np.ndar
     end = np.append(first[1:], len(code))
     row = segments(per)
     last_of = np.cumsum(per)[row] - 1
-    stop = np.maximum(np.searchsorted(end, first + min_words), np.arange(m) + min_sentences - 1)
+    first_of = (np.cumsum(per) - per)[row]
+    every = np.arange(m)
+    stop = np.maximum(np.searchsorted(end, first + min_words), every + min_sentences - 1)
     ok = np.nonzero(stop <= last_of)[0]
-    stop = stop[ok]
+    # Back from each end; those that are also the fewest from their start are there already.
+    start = np.minimum(np.searchsorted(first, end - min_words, side="right") - 1, every - min_sentences + 1)
+    back_ok = np.nonzero(start >= first_of)[0]
+    back_ok = back_ok[stop[start[back_ok]] != back_ok]
+    begin, stop = np.concatenate((ok, start[back_ok])), np.concatenate((stop[ok], back_ok))
     hashes = []
     with np.errstate(over="ignore"):
         for k, base in enumerate(_BASES):
@@ -93,10 +101,9 @@ def runs(rows: list[bytes], min_sentences: int, min_words: int) -> tuple[np.ndar
             power, back = (_powers(x, len(code)) for x in (base, _inverse(base)))
             total = np.zeros(len(code) + 1, np.uint64)
             np.cumsum(word * power[:-1], out=total[1:])
-            span = (total[end[stop]] - total[first[ok]]) * back[first[ok]]
-            hashes.append(mixed(span ^ (end[stop] - first[ok]).astype(np.uint64)))
-    at = ok - (np.cumsum(per) - per)[row[ok]]
-    return row[ok], at, stop - ok + 1, *hashes
+            span = (total[end[stop]] - total[first[begin]]) * back[first[begin]]
+            hashes.append(mixed(span ^ (end[stop] - first[begin]).astype(np.uint64)))
+    return row[begin], begin - first_of[begin], stop - begin + 1, *hashes
 
 
 def repeated(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:

@@ -81,6 +81,30 @@ def test_repeats_against_plain_python(make_docs):
     assert out == {d: len(gone.get(d, ())) for d in range(30)} and sum(out.values()) > 0
 
 
+def test_repeats_against_all_consecutive_runs(make_docs):
+    r = random.Random(8)
+    parts = [". ".join(prose(2000 + i, r.choice([1, 3, 5, 5, 8, 19])) for i in range(k, k + 5)) + ". " for k in range(0, 60, 5)]
+    texts = ["".join(r.choices(parts, k=3)) + prose(3000 + i, r.choice([0, 4])) for i in range(24)]
+    texts.append(texts[3])
+    tokens, _, first, per = substring_dedup.sentences([t.encode() for t in texts])
+    places, base, word = {}, 0, 0
+    for d, n in enumerate(per):
+        starts = [int(x) - word for x in first[base : base + n]] + [len(tokens[d])]
+        words = [w.strip().lower() for w in tokens[d]]
+        for i in range(n):
+            for j in range(i + 2, n + 1):
+                if starts[j] - starts[i] >= 20:
+                    places.setdefault(tuple(words[starts[i] : starts[j]]), []).append((d, i, j))
+        base, word = base + int(n), word + len(words)
+    gone = [set() for _ in texts]
+    for where in places.values():
+        for d, i, j in sorted(where)[1:]:
+            gone[d].update(range(i, j))
+    out = {r["doc_id"]: r for r in substring_dedup.remove_repeats(make_docs(texts)).collect()}
+    assert [out[d]["_n_removed"] for d in range(25)] == [len(x) for x in gone]
+    assert out[24]["text"] == "" and per[24] > 0
+
+
 def test_sentences_of_odd_documents(odd_docs, no_docs):
     out = substring_dedup.remove_repeats(odd_docs)
     assert out.count() == 13 and set(odd_docs.columns) <= set(out.columns) and substring_dedup.remove_repeats(no_docs).count() == 0
