@@ -1,6 +1,7 @@
 """Benchmark items found in documents by SimHash of item-sized windows.
 
-An item of L words is compared with windows of L words at every word of a document.  Shingles of five words (of
+An item of L words is compared with windows of L words at every word of a document, or with the whole document if it
+is shorter.  Shingles of five words (of
 the whole item, if it is shorter) weigh ln(1 + items / items with it); the weights and the items are
 the benchmark's, whose size is checked: it is taken CHUNK items at a time.
 
@@ -133,7 +134,7 @@ class Items:
         for h in hits.tolist():
             for size in {int(self.sizes[i]) for i in self.holders[int(codes[h])] if min(N, int(self.sizes[i])) == n}:
                 span = size - n + 1
-                by_size[size].update(range(max(0, h - span + 1), min(h, len(codes) - span) + 1))
+                by_size[size].update(range(max(0, h - span + 1), max(0, min(h, len(codes) - span)) + 1))
         best: dict[int, tuple[int, int, int, float, int]] = {}
         if not any(by_size.values()):
             return []
@@ -147,13 +148,13 @@ class Items:
             at = np.array(sorted(starts), np.int64)
             span = size - n + 1
             # Rounding of the running sums must not turn an exact copy's sign.
-            prints = fingerprint(np.round(sums[at - low + span] - sums[at - low], 6))
+            prints = fingerprint(np.round(sums[np.minimum(at + span, len(codes)) - low] - sums[at - low], 6))
             for w, i in zip(*self.lookup(prints), strict=True):
                 if self.sizes[i] != size:
                     continue
                 s = self.similarity(codes[at[w] : at[w] + span], int(i))
                 if s >= SIMILARITY and (int(i) not in best or s > best[int(i)][3]):
-                    best[int(i)] = (int(i), int(at[w]), size, s, int(np.bitwise_count(prints[w] ^ self.prints[i])))
+                    best[int(i)] = (int(i), int(at[w]), min(size, len(codes) + n - 1), s, int(np.bitwise_count(prints[w] ^ self.prints[i])))
         return list(best.values())
 
 

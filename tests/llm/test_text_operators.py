@@ -154,6 +154,16 @@ def test_matches_against_every_window(spark, make_docs):
     assert out == want and len(want) >= 12
 
 
+def test_documents_shorter_than_the_item(spark, make_docs):
+    bench = [prose(800 + i, 59) for i in range(4)]
+    w = [b.split() for b in bench]
+    docs = make_docs([" ".join(w[0][:55]), " ".join(w[1][1:]), " ".join(w[2][:30]), " ".join(w[3][:-1])])
+    out = {(r["doc_id"], r["item_id"]): r for r in decontaminate.matches(docs, items(spark, bench)).collect()}
+    assert set(out) == {(0, 0), (1, 1), (3, 3)}
+    assert [out[i, i]["n_words"] for i in (0, 1, 3)] == [55, 58, 58]
+    assert out[0, 0]["similarity"] == pytest.approx(51 / 55) and all(r["first_word"] == 0 for r in out.values())
+
+
 def test_multi_index_finds_everything_within_the_radius():
     import numpy as np
 
