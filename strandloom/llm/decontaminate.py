@@ -8,7 +8,9 @@ the benchmark's, whose size is checked: it is taken CHUNK items at a time.
 Windows without a shingle of the item have similarity 0, so only windows around a shared shingle are fingerprinted:
 64 signs of weighted sums, from one cumulative sum a document.  Fingerprints are looked up in a multi-index: BLOCKS
 blocks of 16 bits, each listing the items within RADIUS // BLOCKS bits of the block's value, which by the pigeonhole principle
-holds every item within RADIUS bits.  Candidates within RADIUS are verified exactly: the weighted Jaccard similarity of the two
+holds every item within RADIUS bits.  Similar windows may differ in more bits; so those in which the shingles of the item weigh
+at least SIMILARITY of the item, without which no similarity reaches it, are candidates too.  Fingerprints alone thus lose no match.
+Candidates are verified exactly: the weighted Jaccard similarity of the two
 multisets of shingles must be at least SIMILARITY.
 
 Defined results: one row for each document and item that match, with the best window (most similar, then first).
@@ -64,6 +66,7 @@ class Items:
     unknown: float
     holders: dict[int, list[int]]
     prints: np.ndarray
+    totals: np.ndarray
     index: list[tuple[np.ndarray, np.ndarray]]
     filter: np.ndarray
 
@@ -82,10 +85,11 @@ class Items:
         weights = np.log(1 + len(ids) / np.array([len(holders[c]) for c in codes.tolist()], float))
         seen = np.zeros(1 << 20, bool)
         seen[(codes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        out = cls(np.array(ids, np.int64), size, bags, codes, weights, float(np.log(1 + len(ids))), dict(holders), np.zeros(len(ids), np.uint64), [], seen)
+        out = cls(np.array(ids, np.int64), size, bags, codes, weights, float(np.log(1 + len(ids))), dict(holders), np.zeros(len(ids), np.uint64), np.zeros(len(ids)), [], seen)
         for i, bag in enumerate(bags):
             own = np.array(list(bag), np.uint64)
             many = np.array(list(bag.values()), float)
+            out.totals[i] = (out.weigh(own) * many).sum()
             out.prints[i] = fingerprint(np.round((signs(own) * (out.weigh(own) * many)[:, None]).sum(0, keepdims=True), 6))[0]
         near = _neighbours(64 // BLOCKS, RADIUS // BLOCKS)
         blocks = out.prints.view(np.uint16).reshape(-1, BLOCKS).astype(np.int64)
@@ -128,6 +132,22 @@ class Items:
         b = np.array([bag.get(c, 0) for c in names.tolist()])
         return float((weight * np.minimum(a, b)).sum() / (weight * np.maximum(a, b)).sum())
 
+    def heavy(self, codes: np.ndarray, hits: np.ndarray, at: np.ndarray, size: int, span: int) -> set[tuple[int, int]]:
+        """(window, item) pairs in which the item's shingles weigh enough for SIMILARITY; `at`: starts of the windows."""
+        places: dict[int, list[int]] = defaultdict(list)
+        for h in hits.tolist():
+            for i in self.holders[int(codes[h])]:
+                if self.sizes[i] == size:
+                    places[i].append(h)
+        out: set[tuple[int, int]] = set()
+        for i, own in places.items():
+            total = np.concatenate(([0], np.cumsum(self.weigh(codes[own]))))
+            least = SIMILARITY * self.totals[i] - 1e-6
+            if total[-1] >= least:
+                inside = total[np.searchsorted(own, at + span)] - total[np.searchsorted(own, at)]
+                out.update((w, i) for w in np.nonzero(inside >= least)[0].tolist())
+        return out
+
     def search(self, codes: np.ndarray, hits: np.ndarray, n: int) -> list[tuple[int, int, int, float, int]]:
         """(item, first word, words, similarity, bits) of one document with n-word shingles `codes`, of which `hits` are known."""
         by_size: dict[int, set[int]] = defaultdict(set)
@@ -149,12 +169,12 @@ class Items:
             span = size - n + 1
             # Rounding of the running sums must not turn an exact copy's sign.
             prints = fingerprint(np.round(sums[np.minimum(at + span, len(codes)) - low] - sums[at - low], 6))
-            for w, i in zip(*self.lookup(prints), strict=True):
-                if self.sizes[i] != size:
-                    continue
-                s = self.similarity(codes[at[w] : at[w] + span], int(i))
-                if s >= SIMILARITY and (int(i) not in best or s > best[int(i)][3]):
-                    best[int(i)] = (int(i), int(at[w]), min(size, len(codes) + n - 1), s, int(np.bitwise_count(prints[w] ^ self.prints[i])))
+            who, what = self.lookup(prints)
+            pairs = {(w, i) for w, i in zip(who.tolist(), what.tolist(), strict=True) if self.sizes[i] == size}
+            for w, i in sorted(pairs | self.heavy(codes, hits, at, size, span)):
+                s = self.similarity(codes[at[w] : at[w] + span], i)
+                if s >= SIMILARITY and (i not in best or s > best[i][3]):
+                    best[i] = (i, int(at[w]), min(size, len(codes) + n - 1), s, int(np.bitwise_count(prints[w] ^ self.prints[i])))
         return list(best.values())
 
 

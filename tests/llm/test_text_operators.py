@@ -164,6 +164,27 @@ def test_documents_shorter_than_the_item(spark, make_docs):
     assert out[0, 0]["similarity"] == pytest.approx(51 / 55) and all(r["first_word"] == 0 for r in out.values())
 
 
+def test_near_copies_beyond_the_radius(spark, make_docs):
+    r = random.Random(11)
+    bench = [prose(7000 + i, 59) for i in range(40)]
+    texts = []
+    for i in range(800):
+        w = bench[i % 40].split()
+        for k in r.choice([(0, 22), (30, 58), (2, 56), (5,), (0, 1, 2, 55)]):
+            w[k] = f"edit{i}x{k}"
+        texts.append(f"before{i} " + " ".join(w) + f" after{i}")
+    own = decontaminate.Items.build(list(range(40)), [b.encode() for b in bench], 5)
+    want = {}
+    for d, t in enumerate(texts):
+        codes, _ = decontaminate.shingle_runs([t.encode()], 5)
+        best = max(own.similarity(codes[s : s + 55], d % 40) for s in range(len(codes) - 54))
+        if best >= 0.8:
+            want[d, d % 40] = round(best, 9)
+    rows = decontaminate.matches(make_docs(texts), items(spark, bench)).collect()
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in rows} == want
+    assert sum(r["hamming"] > decontaminate.RADIUS for r in rows) > 0
+
+
 def test_multi_index_finds_everything_within_the_radius():
     import numpy as np
 
