@@ -2,8 +2,9 @@
 
 An item of L words is compared with windows of L words at every word of a document, or with the whole document if it
 is shorter.  Shingles of five words (of
-the whole item, if it is shorter) weigh ln(1 + items / items with it); the weights and the items are
-the benchmark's, whose size is checked: it is taken CHUNK items at a time.
+the whole item, if it is shorter) weigh ln(1 + items / items with it), counted over the whole benchmark; the items are taken
+CHUNK at a time, each chunk with the counts of all shingles that several items have (one that a single item has weighs as one
+that none has).
 
 Windows without a shingle of the item have similarity 0, so only windows around a shared shingle are fingerprinted:
 64 signs of weighted sums, from one cumulative sum a document.  Fingerprints are looked up in a multi-index: BLOCKS
@@ -62,6 +63,7 @@ class Items:
     sizes: np.ndarray
     bags: list[dict[int, int]]
     codes: np.ndarray
+    shared: np.ndarray
     weights: np.ndarray
     unknown: float
     holders: dict[int, list[int]]
@@ -71,7 +73,8 @@ class Items:
     filter: np.ndarray
 
     @classmethod
-    def build(cls, ids: list[int], rows: list[bytes], n: int) -> Items:
+    def build(cls, ids: list[int], rows: list[bytes], n: int, total: int | None = None, counts: dict[int, int] | None = None) -> Items:
+        """total, counts: items of the whole benchmark and those with each shingle that several have, if this is a part of it."""
         size = np.array([len(r.split()) for r in rows], np.int64)
         bags: list[dict[int, int]] = []
         for r, k in zip(rows, size, strict=True):
@@ -82,10 +85,13 @@ class Items:
             for c in bag:
                 holders[c].append(i)
         codes = np.array(sorted(holders), np.uint64)
-        weights = np.log(1 + len(ids) / np.array([len(holders[c]) for c in codes.tolist()], float))
+        if counts is None:
+            total, counts = len(ids), {c: len(h) for c, h in holders.items() if len(h) > 1}
+        shared = np.array(sorted(counts), np.uint64)
+        weights = np.log(1 + total / np.array([counts[c] for c in shared.tolist()], float))
         seen = np.zeros(1 << 20, bool)
         seen[(codes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        out = cls(np.array(ids, np.int64), size, bags, codes, weights, float(np.log(1 + len(ids))), dict(holders), np.zeros(len(ids), np.uint64), np.zeros(len(ids)), [], seen)
+        out = cls(np.array(ids, np.int64), size, bags, codes, shared, weights, float(np.log(1 + total)), dict(holders), np.zeros(len(ids), np.uint64), np.zeros(len(ids)), [], seen)
         for i, bag in enumerate(bags):
             own = np.array(list(bag), np.uint64)
             many = np.array(list(bag.values()), float)
@@ -101,8 +107,10 @@ class Items:
         return out
 
     def weigh(self, codes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[at] == codes, self.weights[at], self.unknown)
+        if not len(self.shared):
+            return np.full(len(codes), self.unknown)
+        at = np.minimum(np.searchsorted(self.shared, codes), len(self.shared) - 1)
+        return np.where(self.shared[at] == codes, self.weights[at], self.unknown)
 
     def known(self, codes: np.ndarray) -> np.ndarray:
         some = np.nonzero(self.filter[(codes & np.uint64((1 << 20) - 1)).astype(np.int64)])[0]
@@ -178,21 +186,35 @@ class Items:
         return list(best.values())
 
 
+def shared_counts(items: DataFrame, n: int) -> dict[int, int]:
+    """Number of items with each shingle that several items have."""
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [t.lower() for t in texts(b.column(0))]
+        codes = [np.unique(shingle_runs([t], min(n, len(t.split())))[0]) for t in rows if t.split()]
+        return pa.record_batch([pa.array(np.concatenate([np.zeros(0, np.uint64), *codes]).view(np.int64))], ["code"])
+
+    found = map_batches(items.select("text"), run, "code long").groupBy("code").count().where("count > 1")
+    return {r["code"] % (1 << 64): r["count"] for r in found.collect()}
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, similarity, hamming); benchmark: (item_id, text)."""
     spark = docs.sparkSession
     items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    items = items.where(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
     total = items.count()
     numbered = settle(items.withColumn("chunk", F.pmod(F.xxhash64("item_id"), F.lit(-(-max(total, 1) // CHUNK)))), "benchmark")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, first_word long, n_words long, similarity double, hamming int"
     found = []
+    counts = shared_counts(numbered, N) if total > CHUNK else None
     for chunk in range(-(-max(total, 1) // CHUNK)):
         rows = sorted((r["item_id"], r["text"].encode().lower()) for r in numbered.where(F.col("chunk") == chunk).collect())
         rows = [(i, t) for i, t in rows if t.split()]
         if not rows:
             continue
-        sent = spark.sparkContext.broadcast(Items.build([i for i, _ in rows], [t for _, t in rows], N))
+        sent = spark.sparkContext.broadcast(Items.build([i for i, _ in rows], [t for _, t in rows], N, total, counts))
         widths = sorted({min(N, len(t.split())) for _, t in rows})
 
         def run(b: pa.RecordBatch, sent=sent, widths=widths) -> pa.RecordBatch:

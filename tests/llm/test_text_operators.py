@@ -205,6 +205,21 @@ def test_chunks_of_the_benchmark_give_the_same(spark, make_docs, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, items(spark, bench)).collect()} == {(i, i) for i in range(9)}
 
 
+def test_chunks_weigh_by_the_whole_benchmark(spark, make_docs, monkeypatch):
+    common = prose(60, 12)
+    bench = [prose(600 + i, 25) + (" " + common if i % 3 else " " + prose(90 + i, 12)) for i in range(9)] + ["", None]
+    texts = []
+    for i in range(27):
+        w = bench[i % 9].split()
+        for k in [(0,), (1, 36), (35,)][i // 9]:
+            w[k] = f"edit{i}"
+        texts.append(prose(300 + i, 20) + " " + " ".join(w) + " " + common)
+    found = lambda: {tuple(r) for r in decontaminate.matches(make_docs(texts), items(spark, bench)).withColumn("similarity", F.round("similarity", 9)).collect()}
+    whole = found()
+    monkeypatch.setattr(decontaminate, "CHUNK", 2)
+    assert found() == whole and len(whole) >= 9
+
+
 def test_benchmark_with_odd_documents(spark, odd_docs, no_docs):
     bench = items(spark, [prose(1, 80), None, ""])
     out = {r["doc_id"] for r in decontaminate.matches(odd_docs, bench).collect()}
