@@ -23,3 +23,18 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_breadth_first_over_all_customers(spark, data, duck):
+    near: dict[str, set] = {}
+    for a, b in duck.sql("SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation").fetchall():
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want, edge, step = {"r0": 0}, {"r0"}, 0
+    while edge:
+        step += 1
+        edge = {b for a in edge for b in near[a]} - set(want)
+        want |= dict.fromkeys(edge, step)
+    rows = QUERIES["breadth_first_all"](spark, data).collect()
+    assert {r["node"]: r["distance"] for r in rows} == want and len(rows) == len(want)
+    assert any(n[0] == "c" and int(n[1:]) >= 40 for n in want)
