@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import operator
 from collections.abc import Sequence
 
@@ -70,10 +71,11 @@ def meeting_points(reaches: Sequence[DataFrame], column: str) -> DataFrame:
     return functools.reduce(DataFrame.intersect, [r.select(column) for r in reaches])
 
 
-def distances(links: DataFrame, start: DataFrame, directed: bool = False, most: int = 10) -> DataFrame:
+def distances(links: DataFrame, start: DataFrame, directed: bool = False, most: int | None = None) -> DataFrame:
     """(node, distance) from a set of nodes, breadth first; links: (src, dst); start: (node).
 
-    Each step joins only the last frontier and removes what is known; it ends when the frontier is empty.
+    Each step joins only the last frontier and removes what is known; it ends when the frontier is empty,
+    or after `most` steps if that is given.
     """
     from ..storage import settle
 
@@ -81,7 +83,7 @@ def distances(links: DataFrame, start: DataFrame, directed: bool = False, most:
         links = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     found = settle(start.select("node").distinct().withColumn("distance", F.lit(0)), "bfs")
     frontier = found
-    for step in range(1, most + 1):
+    for step in itertools.count(1) if most is None else range(1, most + 1):
         ahead = frontier.select(F.col("node").alias("src")).join(links, "src").select(F.col("dst").alias("node")).distinct()
         frontier = settle(ahead.join(found.select("node"), "node", "left_anti").withColumn("distance", F.lit(step)), "bfs")
         if frontier.isEmpty():
@@ -90,7 +92,7 @@ def distances(links: DataFrame, start: DataFrame, directed: bool = False, most:
     return found
 
 
-def family_distances(links: DataFrame, families: DataFrame, directed: bool = False, most: int = 6) -> DataFrame:
+def family_distances(links: DataFrame, families: DataFrame, directed: bool = False, most: int | None = None) -> DataFrame:
     """(a, b, distance) between families of nodes; families: (node, family)."""
     out = []
     for name in [r[0] for r in families.select("family").distinct().orderBy("family").collect()]:

@@ -667,7 +667,7 @@ def meeting_points(spark, folder):
 @query("""WITH RECURSIVE l AS (SELECT 'c' || c_custkey AS a, 'n' || c_nationkey AS b FROM customer WHERE c_custkey < 40 UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation), u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
  w AS (SELECT 'r0' AS node, 0 AS distance UNION SELECT u.b, distance + 1 FROM w JOIN u ON u.a = w.node WHERE distance < 6) SELECT node, min(distance) AS distance FROM w GROUP BY node""")
 def breadth_first(spark, folder):
-    return _from_first_region(spark, folder, table(spark, folder, "customer").where("c_custkey < 40"))
+    return _from_first_region(spark, folder, table(spark, folder, "customer").where("c_custkey < 40"), most=6)
 
 
 @query()
@@ -676,11 +676,11 @@ def breadth_first_all(spark, folder):
     return _from_first_region(spark, folder, table(spark, folder, "customer"))
 
 
-def _from_first_region(spark, folder, customers):
+def _from_first_region(spark, folder, customers, most=None):
     named = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     links = customers.select(named("c", "c_custkey").alias("src"), named("n", "c_nationkey").alias("dst"))
     links = links.unionByName(table(spark, folder, "nation").select(named("n", "n_nationkey").alias("src"), named("r", "n_regionkey").alias("dst")))
-    return paths.distances(links, spark.createDataFrame([("r0",)], "node string"), most=6)
+    return paths.distances(links, spark.createDataFrame([("r0",)], "node string"), most=most)
 
 
 @query("SELECT o_custkey, count(*) AS contracts, count(*) FILTER (WHERE o_orderstatus = 'F') AS calls, count(*) FILTER (WHERE o_orderstatus = 'O') AS puts, min(o_totalprice) AS low, max(o_totalprice) AS high FROM orders GROUP BY 1")

@@ -191,6 +191,14 @@ def test_family_distances(spark):
     assert paths.family_distances(links, families, directed=True).count() == 0
 
 
+def test_distances_without_a_bound(spark):
+    links = spark.createDataFrame([(f"x{i}", f"x{i + 1}") for i in range(12)], "src string, dst string")
+    families = spark.createDataFrame([("x0", "A"), ("x12", "C"), ("y", "D")], "node string, family string")
+    assert rows_of(paths.family_distances(links, families)) == {("A", "C", 12), ("C", "A", 12)}
+    assert rows_of(paths.family_distances(links, families, directed=True)) == {("A", "C", 12)}
+    assert paths.family_distances(links, families, most=11).count() == 0
+
+
 def test_feeds(spark, tmp_path):
     rows = spark.createDataFrame([("aa", "4:1", "01/02/2024"), ("AA ", "4:1", "01/02/2024"), ("b", ":", "01/02/2024"), ("c", "2:0", "01/02/2024"), ("d", "2:1", "1999"), ("e", "3:2", "01/03/2024")], "ticker string, split_ratio string, split_date string")
     got = rows_of(feeds.splits_of(rows, "2024-01-02").select("ticker", "ratio", "shares_after", "shares_before"))
