@@ -29,6 +29,8 @@ BLANK_CLASS = "[\\x20\\x09-\\x0D]"
 BROADCAST_ROWS = 400_000
 #: Words whose codes a Python worker remembers between rows.
 CACHE_WORDS = 400_000
+#: Bytes of a slice of rows that is worked on at once.
+SLICE_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -80,20 +82,39 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def slices(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """b in slices of at most `rows` rows and, of more than one row, SLICE_BYTES."""
+    if b.num_rows > rows or b.num_rows > 1 and b.nbytes > SLICE_BYTES:
+        half = min(rows, b.num_rows // 2) if b.nbytes > SLICE_BYTES else rows
+        yield from slices(b.slice(0, half), rows)
+        yield from slices(b.slice(half), rows)
+    elif b.num_rows:
+        yield b
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, rows: int = 512) -> DataFrame:
-    """mapInArrow by slices of at most `rows` rows, so that memory does not follow the batch size."""
+    """mapInArrow by slices, so that memory does not follow the batch size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, b.num_rows, rows):
-                if (out := f(b.slice(i, rows))) is not None and out.num_rows:
+            for part in slices(b, rows):
+                if (out := f(part)) is not None and out.num_rows:
                     yield out
 
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
-def add_column(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Array], name: str, kind: T.DataType) -> DataFrame:
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def add_column(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Array], name: str, kind: T.DataType, rows: int = 512) -> DataFrame:
     """df with one more column, made by f from each slice; a column of that name is replaced, the others pass through."""
     df = df.drop(name)
     names = [*df.columns, name]
@@ -101,7 +122,7 @@ def add_column(df: DataFrame, f: Callable[[pa.RecordBatch], pa.Array], name: str
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([*b.columns, f(b)], names)
 
-    return map_batches(df, run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+    return map_batches(df, run, T.StructType([*df.schema.fields, T.StructField(name, kind)]), rows)
 
 
 class Codes(dict):

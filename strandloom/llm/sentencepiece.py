@@ -1,49 +1,59 @@
 """Encoding and decoding with a SentencePiece vocabulary as relations.
 
-The pieces and scores of a model file are a table.  A text is escaped as SentencePiece does (a blank is U+2581, one more
-in front) and cut into words where no piece can cross: before the first of a run of U+2581, and around control
-characters other than the carriage return.  The corpus' distinct words are encoded once each: substrings of at most the longest
+The pieces and scores of a model file are a table.  A text is escaped as SentencePiece does (one blank more in front) and cut into
+words wherever two neighbouring characters stand together in no piece of a best path: none crosses such a place, so the best path of a
+text is that of its words, one after the other.  (Pieces that others in a row make up with a larger sum are in no best path.)  The corpus' distinct words are encoded once each: substrings of at most the longest
 piece's length are exploded and equi-joined to the piece table, the matches are the edges of the word's lattice, grouped by
 word, and a fold over end positions (the higher-order function `aggregate`) keeps the best score and the edge it came by; a second fold
 walks back.  The best path has the largest sum of scores; of equal ones the edge that starts first wins.
 A character that is no piece costs the lowest score less 10 and is written as its UTF-8 bytes' pieces.
+Folds go by blocks of BLOCK positions, so that a long unbroken text, which is one word, takes time in proportion to its length.
 
 Texts get their words' codes from a broadcast head of the most frequent words (at most HEAD), the others by a join.
 The vocabulary is only read.  Its path is a parameter.
 
 Defined results: a null or empty text has no codes and decodes to "".  Decoding gives the text back exactly, except that
-U+2581 in a text becomes a blank.  Rows with equal or null ids are encoded each; all other columns pass through.
+U+2581 in a text becomes a blank.  Rows with equal or null ids are encoded each; all other columns pass through, and a column that
+has the name of the result is replaced.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 import os
-import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workers import ship
-from .common import add_column, documents, map_batches, release, settle, union_all
+from .common import add_column, documents, free_name, map_batches, release, segments, settle, slices, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-HEAD, FLUSH_WORDS, WAVES = 300_000, 300_000, 4
+HEAD, FLUSH_WORDS, WAVES = 300_000, 300_000, 2
+#: Positions of a word that one fold goes over.
+BLOCK = 256
+#: Substrings of at most so many characters are made at every place.
+STEM = 3
+#: A code is a piece's id or UNKNOWN + a code point; an edge is its start and code in one long.
+UNKNOWN, CODE_BITS = 1 << 22, 23
+#: Tasks of the lattice for each shuffle partition: edges are some forty times the bytes of their words.
+TASKS = 4
 SPACE = "▁"
-#: Control characters other than the carriage return, which ends some pieces.
-CUTS = "\\x00-\\x0C\\x0E-\\x1F"
-_WORD = re.compile(f"[{CUTS}]|{SPACE}*[^{SPACE}{CUTS}]+|{SPACE}+")
 
 
 @dataclass
 class Vocabulary:
-    """pieces: text -> (id, score) of ordinary pieces; byte_ids: the pieces of the 256 bytes; names: text of every id."""
+    """pieces: text -> (id, score) of ordinary pieces, blanks as blanks; byte_ids: the pieces of the 256 bytes; names: text of every id."""
 
     pieces: dict[str, tuple[int, float]]
     byte_ids: list[int]
@@ -57,169 +67,316 @@ class Vocabulary:
         m = sentencepiece.SentencePieceProcessor(model_file=os.fspath(path))
         names = [m.id_to_piece(i) for i in range(m.get_piece_size())]
         special = lambda i: m.is_control(i) or m.is_unknown(i) or m.is_unused(i) or m.is_byte(i)
-        pieces = {p: (i, m.get_score(i)) for i, p in enumerate(names) if not special(i)}
+        pieces = {p.replace(SPACE, " "): (i, m.get_score(i)) for i, p in enumerate(names) if not special(i)}
         at = {int(p[3:5], 16): i for i, p in enumerate(names) if m.is_byte(i)}
         if len(at) != 256:
             raise ValueError(f"{path} has no byte pieces, so unknown characters could not be given back")
-        if any(SPACE in p.lstrip(SPACE) or len(p) > 1 and re.search(f"[{CUTS}]", p) for p in pieces):
-            raise ValueError(f"{path} has pieces that cross words")
+        if len(names) >= UNKNOWN:
+            raise ValueError(f"{path} has more pieces than codes have room for")
         return cls(pieces, [at[i] for i in range(256)], names, min(s for _, s in pieces.values()) - 10)
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(p, i, s) for p, (i, s) in self.pieces.items()], "piece string, id int, score double")
+    @functools.cached_property
+    def lattice(self) -> dict[str, tuple[int, float]]:
+        """The pieces that a best path can have: all but those that other pieces in a row make up with a larger sum, which any path could take instead."""
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.pieces))
+        def split(p: str) -> float:
+            best = [0.0] + [-math.inf] * len(p)
+            for stop in range(1, len(p) + 1):
+                for start in range(stop):
+                    if stop - start < len(p) and (q := self.pieces.get(p[start:stop])):
+                        best[stop] = max(best[stop], best[start] + q[1])
+            return best[-1]
+
+        return {p: x for p, x in self.pieces.items() if len(p) == 1 or split(p) <= x[1] + 1e-9 * abs(x[1])}
 
+    def cutter(self) -> Cutter:
+        return Cutter("".join(sorted(set().union(*self.lattice))), sorted({p[i : i + 2] for p in self.lattice for i in range(len(p) - 1)}))
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    @property
+    def longest(self) -> int:
+        return max(map(len, self.lattice))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) of all texts."""
+@dataclass
+class Cutter:
+    """letters: the characters of pieces; pairs: those that stand together in some piece."""
+
+    letters: str
+    pairs: list[str]
+    _tables: tuple | None = field(default=None, repr=False)
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """Class of each code point (0 for those of no piece), whether two classes stand together, and the number of classes."""
+        if self._tables is None:
+            classes = np.zeros(0x110000, np.int32)
+            classes[[ord(c) for c in self.letters]] = np.arange(1, len(self.letters) + 1)
+            n = len(self.letters) + 1
+            together = np.zeros(n * n, bool)
+            if self.pairs:
+                together[classes[[ord(p[0]) for p in self.pairs]] * n + classes[[ord(p[1]) for p in self.pairs]]] = True
+            self._tables = classes, together, n
+        return self._tables
+
+    def words(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts of a string column in UTF-8, concatenated, and how many each text has."""
+        classes, together, n = self.tables()
+        rows = [" " + t.replace(SPACE, " ") if t else "" for t in column.to_pylist()]
+        whole = "".join(rows)
+        code = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        raw = whole.encode()
+        edge = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))
+        starts = np.ones(len(code), bool)
+        kind = classes[code]
+        starts[1:] = ~together[kind[:-1] * n + kind[1:]]
+        starts[edge[:-1][edge[:-1] < len(code)]] = True
+        if len(raw) == len(code):
+            at = np.nonzero(starts)[0]
+        else:
+            width = 1 + (code > 0x7F).astype(np.int8) + (code > 0x7FF) + (code > 0xFFFF)
+            at = (np.cumsum(width, dtype=np.int64) - width)[starts]
+        many = np.concatenate(([0], np.cumsum(starts, dtype=np.int64)))[edge]
+        offsets = pa.py_buffer(np.append(at, len(raw)).astype(np.int64))
+        return pa.Array.from_buffers(pa.large_binary(), len(at), [None, offsets, pa.py_buffer(raw)]), np.diff(many)
+
+
+def word_key(word: bytes) -> bytes:
+    """128 bits that stand for a word."""
+    return xxhash.xxh3_128_digest(word)
+
+
+def word_counts(docs: DataFrame, cutter: Broadcast, longest: int) -> DataFrame:
+    """(key, base, part, c) of the words of all texts, several rows a word: the word's characters by BLOCK, each part with `longest` - 1 more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        counts: Counter[bytes] = Counter()
 
         def flush() -> pa.RecordBatch:
-            out = pa.record_batch([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
+            rows = [
+                (k, i, t[i : i + BLOCK + longest - 1], c) for w, c in counts.items() for k, t in [(word_key(w), w.decode())] for i in range(0, len(t), BLOCK)
+            ]
             counts.clear()
-            return out
+            key, base, part, c = zip(*rows, strict=True) if rows else ((),) * 4
+            return pa.record_batch([pa.array(key, pa.binary()), pa.array(base, pa.int32()), pa.array(part, pa.string()), pa.array(c, pa.int64())], ["key", "base", "part", "c"])
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                counts.update(words_of(t))
+            for some in slices(b, 2048):
+                found = pc.value_counts(cutter.value.words(some.column(0))[0])
+                for w, c in zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True):
+                    counts[w] += c
                 if len(counts) > FLUSH_WORDS:
                     yield flush()
         yield flush()
 
     ship(docs.sparkSession)
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key binary, base int, part string, c long")
 
 
-def lattice(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
-    """(number, word, edges): edges (stop, start, score, id) of each distinct word, by end; id is null for an unknown character.
+def edges_of(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(key, c, edge): the matches in distinct words of the pieces, as (stop, start, score, code); code is the piece's id or UNKNOWN + a code point.
 
-    words: settled (number, word). They are dealt out by number before they are exploded, so their edges are grouped where they arise.
+    words: (key, base, part, c).  Substrings of more than STEM characters are made only where the first STEM + 1 of them begin a piece, and
+    at most as long as the longest such piece.
+    """
+    spark = words.sparkSession
+    stems: dict[str, int] = {}
+    for p in vocabulary.lattice:
+        if len(p) > STEM:
+            stems[p[: STEM + 1]] = max(stems.get(p[: STEM + 1], 0), len(p))
+    reach = spark.createDataFrame(list(stems.items()) or [("", 0)], "stem string, reach int")
+    pieces = spark.createDataFrame([(p, i, x) for p, (i, x) in vocabulary.lattice.items()], "piece string, id int, score double")
+    left = F.char_length("part") - F.col("i") + 1
+    rows = words.withColumn("i", F.explode(F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.char_length("part")))))
+    rows = rows.withColumn("stem", F.col("part").substr(F.col("i"), F.lit(STEM + 1))).join(F.broadcast(reach), "stem", "left")
+    rows = rows.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(STEM)), left))))
+    rows = rows.select("key", "c", (F.col("base") + F.col("i")).alias("start"), "size", F.col("part").substr(F.col("i"), F.col("size")).alias("piece"))
+    found = rows.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR size = 1")
+    code = F.coalesce("id", F.ascii("piece") + UNKNOWN)
+    return found.select("key", "c", F.struct((F.col("start") + F.col("size") - 1).alias("stop"), "start", F.coalesce("score", F.lit(vocabulary.unknown)).alias("score"), code.alias("code")).alias("edge"))
+
+
+def _let(value: Column, body) -> Column:
+    """body of value, which is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _ahead(edges: Column, seed: Column, offset: Column) -> Column:
+    """The best score of each position and the packed edge (start, code) it came by, behind those of `seed`, whose first is of position `offset`.
+
+    Edges come by end, those of equal ends by start: an entry is appended or, if the new one is better, replaced last.
     """
-    starts = words.select("number", "word").repartition("number").select("number", "word", F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("start"))
-    ends = F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("word") - F.col("start") + 1))
-    parts = starts.select("number", "word", "start", F.explode(ends).alias("size")).withColumn("piece", F.col("word").substr(F.col("start"), F.col("size")))
-    edges = parts.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR size = 1")
-    edge = F.struct((F.col("start") + F.col("size") - 1).alias("stop"), F.col("start"), F.coalesce("score", F.lit(unknown)).alias("score"), "id")
-    return edges.groupBy("number").agg(F.first("word").alias("word"), F.array_sort(F.collect_list(edge)).alias("edges"))
 
+    def step(s: Column, e: Column) -> Column:
+        total = F.element_at(s["score"], e["start"] - offset) + e["score"]
+        edge = F.shiftleft(e["start"].cast("long"), CODE_BITS) + e["code"]
+        more = lambda score, by: F.struct(F.concat(score, F.array(total)).alias("score"), F.concat(by, F.array(edge)).alias("by"))
+        less = lambda x: F.slice(x, F.lit(1), F.size(x) - 1)
+        fresh = F.size(s["by"]) <= e["stop"] - offset
+        return F.when(fresh, more(s["score"], s["by"])).when(total > F.element_at(s["score"], -1), more(less(s["score"]), less(s["by"]))).otherwise(s)
 
-def best_path(edges: Column, size: Column) -> Column:
-    """Array of (start, stop, id) along the best path.
+    return F.aggregate(edges, seed, step)
 
-    The state has one entry (score, -start, id) for each position reached, the first for the beginning.  As edges
-    come by end, an entry is complete when the first edge of the next end arrives; entries are appended or replaced last.
-    """
-    none = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(None).cast("int").alias("id"))
-    let = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)  # noqa: E731  evaluates value once
 
-    def step(state: Column, e: Column) -> Column:
-        entry = F.struct((F.element_at(state, e["start"])["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id"))
+def _back(by: Column, at: Column, low: Column) -> Column:
+    """From position `at`, the edges back to `low` or before it: where they lead, and their codes from the last; by: packed edges of the positions after low."""
 
-        def put(new: Column) -> Column:
-            old = F.element_at(state, -1)
-            better = (new["score"] > old["score"]) | ((new["score"] == old["score"]) & (new["back"] > old["back"]))
-            replaced = F.concat(F.slice(state, F.lit(1), F.size(state) - 1), F.array(new))
-            return F.when(F.size(state) <= e["stop"], F.concat(state, F.array(new))).when(better, replaced).otherwise(state)
+    def step(v: Column, _: Column) -> Column:
+        edge = F.element_at(by, v["at"] - low)
+        moved = F.struct(
+            (F.shiftright(edge, CODE_BITS) - 1).cast("int").alias("at"), F.concat(v["codes"], F.array(edge.bitwiseAND((1 << CODE_BITS) - 1).cast("int"))).alias("codes")
+        )
+        return F.when(v["at"] > low, moved).otherwise(v)
 
-        return let(entry, put)
+    return F.aggregate(F.sequence(F.lit(1), F.size(by)), F.struct(at.alias("at"), F.array().cast("array<int>").alias("codes")), step)
 
-    def walk(state: Column) -> Column:
-        def back(acc: Column, _: Column) -> Column:
-            at = F.when(F.size(acc) == 0, size).otherwise(F.element_at(acc, -1)["start"] - 1)
-            entry = F.element_at(state, at + 1)
-            return F.when(at == 0, acc).otherwise(F.concat(acc, F.array(F.struct((-entry["back"]).alias("start"), at.alias("stop"), entry["id"].alias("id")))))
 
-        empty = F.array().cast("array<struct<start:int,stop:int,id:int>>")
-        return F.reverse(F.aggregate(F.sequence(F.lit(1), size), empty, back))
+def _seed() -> Column:
+    return F.struct(F.array(F.lit(0.0)).alias("score"), F.array(F.lit(0).cast("long")).alias("by"))
 
-    return let(F.aggregate(edges, F.array(none), step), walk)
 
+def short_path(edges: Column) -> Column:
+    """Codes along the best path of a word of at most BLOCK characters, from the last."""
+    by = lambda s: F.slice(s["by"], F.lit(2), F.size(s["by"]))
+    return _let(_ahead(edges, _seed(), F.lit(0)), lambda s: _let(by(s), lambda b: _back(b, F.size(b), F.lit(0))["codes"]))
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, ids) of distinct words; words: settled (number, word)."""
-    spark = words.sparkSession
-    net = lattice(words, vocabulary.table(spark), vocabulary.longest, vocabulary.unknown)
-    found = net.select("word", best_path(F.col("edges"), F.char_length("word")).alias("path"))
-    table = F.array(*[F.lit(i) for i in vocabulary.byte_ids])
-    hexed = lambda c: F.hex(F.encode(c, "utf-8"))
 
-    def as_bytes(c: Column) -> Column:
-        digits = hexed(c)
-        pairs = F.sequence(F.lit(1), F.length(digits), F.lit(2))
-        return F.transform(pairs, lambda i: F.element_at(table, F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int") + 1))
+def long_path(blocks: Column, longest: int) -> Column:
+    """The same of a word in blocks (block, edges that end there): each block's fold begins with the last `longest` positions of the one before.
+
+    A fold copies its state at every step, so the state of the inner folds is that of one block.
+    """
+    start = F.struct(F.lit(0).alias("offset"), _seed().alias("seed"), F.array().cast("array<array<long>>").alias("done"))
 
-    codes = F.transform("path", lambda p: F.when(p["id"].isNotNull(), F.array(p["id"])).otherwise(as_bytes(F.substring(F.col("word"), p["start"], F.lit(1)))))
-    return found.select("word", F.flatten(codes).alias("ids"))
+    def over(s: Column, block: Column) -> Column:
+        def close(t: Column) -> Column:
+            keep = F.least(F.size(t["by"]), F.lit(longest))
+            last = lambda x: F.slice(x, F.size(x) - keep + 1, keep)
+            own = F.slice(t["by"], F.size(s["seed"]["by"]) + 1, F.size(t["by"]))
+            seed = F.struct(last(t["score"]).alias("score"), last(t["by"]).alias("by"))
+            return F.struct((s["offset"] + F.size(t["by"]) - keep).alias("offset"), seed.alias("seed"), F.concat(s["done"], F.array(own)).alias("done"))
+
+        return _let(_ahead(block["edges"], s["seed"], s["offset"]), close)
+
+    def walk(done: Column) -> Column:
+        low = (F.size(done) - 1) * BLOCK
+        last = F.struct((low + F.size(F.element_at(done, -1))).alias("at"), low.alias("low"), F.array().cast("array<array<int>>").alias("codes"))
+
+        def under(w: Column, by: Column) -> Column:
+            moved = lambda v: F.struct(v["at"].alias("at"), (w["low"] - BLOCK).alias("low"), F.concat(w["codes"], F.array(v["codes"])).alias("codes"))
+            return _let(_back(by, w["at"], w["low"]), moved)
+
+        return F.flatten(F.aggregate(F.reverse(done), last, under)["codes"])
+
+    return _let(F.aggregate(blocks, start, over)["done"], walk)
+
+
+def encode_words(words: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataFrame:
+    """(key, c, codes) of distinct words, codes from the last; words: settled (key, base, part, c)."""
+    # Dealt out by key before they are exploded, edges are grouped where they arise.
+    inside = (F.col("base") == 0) & (F.char_length("part") <= BLOCK)
+    short = edges_of(words.where(inside).repartition(tasks, "key"), vocabulary).groupBy("key").agg(F.first("c").alias("c"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    long = edges_of(words.where(~inside).repartition(tasks, "key"), vocabulary).withColumn("block", F.floor((F.col("edge.stop") - 1) / BLOCK))
+    long = long.groupBy("key", "block").agg(F.first("c").alias("c"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    long = long.groupBy("key").agg(F.first("c").alias("c"), F.sort_array(F.collect_list(F.struct("block", "edges"))).alias("blocks"))
+    one = short.select("key", "c", short_path(F.col("edges")).alias("codes"))
+    return one.unionByName(long.select("key", "c", long_path(F.col("blocks"), vocabulary.longest).alias("codes")))
 
 
 @dataclass
 class Dictionary:
-    """coded: settled (word, ids), ids as packed 32-bit numbers, of all words of a corpus; head: those of the most frequent ones, broadcast."""
+    """coded: settled (key, c, ids), ids as packed 32-bit numbers, of all words of a corpus; head: those of the most frequent ones, broadcast."""
 
     coded: DataFrame
+    cutter: Broadcast
     head: Broadcast
 
     @classmethod
     def build(cls, docs: DataFrame, vocabulary: Vocabulary) -> Dictionary:
         spark = docs.sparkSession
-        counts = settle(word_counts(docs).withColumn("number", F.monotonically_increasing_id()), "piece-words")
+        cutter = spark.sparkContext.broadcast(vocabulary.cutter())
+        tasks = TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        counts = settle(word_counts(docs, cutter, vocabulary.longest).groupBy("key", "base", "part").agg(F.sum("c").alias("c")), "piece-words")
+        release(spark)
+        as_bytes = vocabulary.byte_ids
 
         def pack(b: pa.RecordBatch) -> pa.RecordBatch:
-            ids = b.column(1)
-            flat, at = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.diff(ids.offsets.to_numpy()).cumsum()
-            packed = [x.tobytes() for x in np.split(flat, at[:-1])] if len(at) else []
-            return pa.record_batch([b.column(0), pa.array(packed, pa.binary())], ["word", "ids"])
-
-        coded = settle(map_batches(encode_words(counts, vocabulary), pack, "word string, ids binary", rows=10_000), "piece-codes")
-        top = counts.orderBy(F.desc("c"), "word").limit(HEAD).select("word")
-        head = {r["word"]: bytes(r["ids"]) for r in coded.join(F.broadcast(top), "word").toLocalIterator()}
-        return cls(coded, spark.sparkContext.broadcast(head))
+            """Codes from the first on, unknown characters as the pieces of their bytes."""
+            many = b.column(2).value_lengths().to_numpy().astype(np.int64)
+            end = np.cumsum(many)
+            flat = b.column(2).flatten().to_numpy(zero_copy_only=False)[np.repeat(end + end - many - 1, many) - np.arange(int(many.sum()))]
+            own = {int(c): np.array([as_bytes[x] for x in chr(c - UNKNOWN).encode()]) for c in np.unique(flat[flat >= UNKNOWN])}
+            wide = np.ones(len(flat), np.int64)
+            for c, x in own.items():
+                wide[flat == c] = len(x)
+            first = np.cumsum(wide) - wide
+            out = np.repeat(flat, wide).astype(np.int32)
+            for c, x in own.items():
+                at = first[flat == c]
+                out[at[:, None] + np.arange(len(x))] = x
+            edge = np.concatenate(([0], np.cumsum(wide)))[np.concatenate(([0], end))] * 4
+            packed = pa.Array.from_buffers(pa.binary(), len(many), [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(out)])
+            return pa.record_batch([b.column(0), b.column(1), packed], ["key", "c", "ids"])
+
+        coded = settle(map_batches(encode_words(counts, vocabulary, tasks), pack, "key binary, c long, ids binary", rows=10_000), "piece-codes")
+        # The head is a whole number of classes of frequency, so that it needs no sort; classes are a sixteenth of a doubling wide.
+        level = F.floor(F.log2("c") * 16)
+        sizes = sorted(coded.groupBy(level.alias("level")).count().collect(), reverse=True)
+        total, least = 0, 1 << 30
+        for r in sizes:
+            total += r["count"]
+            if total > HEAD:
+                break
+            least = r["level"]
+        head = {bytes(r["key"]): bytes(r["ids"]) for r in coded.where(level >= least).select("key", "ids").toLocalIterator()}
+        return cls(coded, cutter, spark.sparkContext.broadcast(head))
+
+
+def _found(column: pa.Array, cutter: Broadcast) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Keys of the distinct words of all texts, each word's place among them, and how many words each text has."""
+    words, many = cutter.value.words(column)
+    words = words.dictionary_encode()
+    return [word_key(w) for w in words.dictionary.to_pylist()], words.indices.to_numpy().astype(np.int64), many
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "ids", dictionary: Dictionary | None = None) -> DataFrame:
     """docs with an array of piece ids for `text`; a dictionary, if given, must hold all of its words.
 
-    The words a text has outside the head are looked up under the text's own 128-bit code, so equal texts are looked up once
-    and no row needs a number.
+    The words a text has outside the head are looked up under the text's own 128-bit code, so no row needs a number.
     """
     words = dictionary or Dictionary.build(docs, vocabulary)
-    sent = words.head
+    sent, cutter = words.head, words.cutter
+    docs = docs.drop(column)
+    h1, h2, more = (free_name(docs, x) for x in ("h1", "h2", "found"))
     text = F.col("text").cast("string")
-    keyed = docs.withColumns({"text": text, "_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(7), text)})
+    keyed = docs.withColumns({"text": text, h1: F.xxhash64(text), h2: F.xxhash64(F.lit(7), text)})
 
     def rare(b: pa.RecordBatch) -> pa.RecordBatch:
-        known, at, out = sent.value, [], []
-        for i, t in enumerate(b.column(2).to_pylist()):
-            mine = {w for w in words_of(t) if w not in known}
-            out += mine
-            at += [i] * len(mine)
-        at = pa.array(at, pa.int64())
-        return pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(out, pa.string())], ["_h1", "_h2", "word"])
-
-    tails = map_batches(keyed.select("_h1", "_h2", "text"), rare, "_h1 long, _h2 long, word string").distinct()
-    # No word outside the head is frequent, so no key of this join is hot.
-    found = tails.join(words.coded, "word").groupBy("_h1", "_h2").agg(F.collect_list(F.struct("word", "ids")).alias("_found"))
-    both = keyed.join(found, ["_h1", "_h2"], "left")
+        known = sent.value
+        keys, which, many = _found(b.column(2), cutter)
+        n = max(len(keys), 1)
+        hit = np.array([k not in known for k in keys], bool)[which]
+        pair = np.unique(segments(many)[hit] * n + which[hit])
+        at = pa.array(pair // n, pa.int64())
+        return pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(keys, pa.binary()).take(pa.array(pair % n, pa.int64()))], ["h1", "h2", "key"])
+
+    tails = map_batches(keyed.select(h1, h2, "text"), rare, "h1 long, h2 long, key binary", rows=2048)
+    # No word outside the head is frequent, so no key of this join is hot; texts that are there several times give equal rows.
+    found = tails.join(words.coded.select("key", "ids"), "key").groupBy("h1", "h2").agg(F.collect_set(F.struct("key", "ids")).alias(more))
+    both = keyed.join(found.withColumnsRenamed({"h1": h1, "h2": h2}), [h1, h2], "left")
 
     def run(b: pa.RecordBatch) -> pa.Array:
-        known, sizes, parts = sent.value, [], []
-        for t, f in zip(b.column("text").to_pylist(), b.column("_found").to_pylist(), strict=True):
-            own = {x["word"]: x["ids"] for x in f or ()}
-            parts.append(b"".join([known[w] if w in known else own[w] for w in words_of(t)]))
-            sizes.append(len(parts[-1]) // 4)
-        flat = np.frombuffer(b"".join(parts), np.int32)
-        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(flat, pa.int32()))
+        known = sent.value
+        own = {x["key"]: x["ids"] for f in b.column(more).to_pylist() for x in f or ()}
+        keys, which, many = _found(b.column("text"), cutter)
+        codes = [known[k] if k in known else own[k] for k in keys]
+        size = np.array([len(c) // 4 for c in codes], np.int64)
+        flat, first = np.frombuffer(b"".join(codes), np.int32), np.cumsum(size) - size
+        each = size[which]
+        end = np.cumsum(each)
+        at = np.arange(int(each.sum())) + np.repeat(first[which] - (end - each), each)
+        edges = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(many)))]
+        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat[at], pa.int32()))
 
-    return add_column(both, run, column, T.ArrayType(T.IntegerType())).select(*docs.columns, column)
+    return add_column(both, run, column, T.ArrayType(T.IntegerType()), rows=2048).select(*docs.columns, column)
 
 
 def decode_ids(ids: list[int], table: list[bytes]) -> str:
@@ -228,12 +385,25 @@ def decode_ids(ids: list[int], table: list[bytes]) -> str:
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: str = "decoded") -> DataFrame:
-    """coded with the text of an array of piece ids."""
-    table = [n.encode() for n in vocabulary.names]
+    """coded with the text of an array of piece ids; bytes that are no UTF-8 become U+FFFD."""
+    table = [n.replace(SPACE, " ").encode() for n in vocabulary.names]
     for b, i in enumerate(vocabulary.byte_ids):
         table[i] = bytes((b,))
     sent = coded.sparkSession.sparkContext.broadcast(table)
-    return add_column(coded, lambda b: pa.array([decode_ids(x or [], sent.value) for x in b.column(ids).to_pylist()], pa.string()), column, T.StringType())
+
+    def run(b: pa.RecordBatch) -> pa.Array:
+        lists = b.column(ids)
+        many = pc.fill_null(lists.value_lengths(), 0).to_numpy()
+        parts = pa.array(sent.value, pa.large_binary()).take(lists.flatten())
+        at = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1][np.concatenate(([0], np.cumsum(many)))]
+        whole = pa.Array.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(at), parts.buffers()[2]])
+        try:
+            text = whole.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            return pa.array([decode_ids(x or [], sent.value) for x in lists.to_pylist()], pa.string())
+        return pc.utf8_slice_codeunits(pc.replace_substring(text, SPACE, " "), 1).cast(pa.string())
+
+    return add_column(coded, run, column, T.StringType(), rows=2048)
 
 
 def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> DataFrame:
@@ -245,6 +415,7 @@ def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> D
     vocabulary = Vocabulary.load(path)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     words = Dictionary.build(rows, vocabulary)
+    release(docs.sparkSession)
     out = []
     for wave in range(waves):
         some = decode(encode(rows.where(F.pmod(F.xxhash64("text"), F.lit(waves)) == wave), vocabulary, dictionary=words), vocabulary)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,7 +58,8 @@ def test_repeated_passages_go_and_first_ones_stay(make_docs):
     assert all(out[i]["text"] == texts[i] for i in range(12) if i not in (5, 9))
 
 
-def test_repeats_against_plain_python(make_docs):
+def test_runs_from_sentence_starts_go(make_docs):
+    """The shortest runs from each start alone; the whole result is what the next test states."""
     r = random.Random(5)
     parts = [". ".join(prose(i, r.randrange(3, 14)) for i in range(k, k + 4)) + ". " for k in range(0, 80, 4)]
     texts = ["".join(r.choices(parts, k=4)) + prose(1000 + i, 10) for i in range(30)]
@@ -78,7 +80,7 @@ def test_repeats_against_plain_python(make_docs):
                     seen[key] = (d, i)
         base, word = base + int(n), word + len(tokens[d])
     out = {r["doc_id"]: r["_n_removed"] for r in substring_dedup.remove_repeats(make_docs(texts)).collect()}
-    assert out == {d: len(gone.get(d, ())) for d in range(30)} and sum(out.values()) > 0
+    assert all(out[d] >= len(gone.get(d, ())) for d in range(30)) and sum(map(len, gone.values())) > 0
 
 
 def test_repeats_against_all_consecutive_runs(make_docs):
@@ -237,18 +239,10 @@ def vocabulary():
     return sentencepiece.Vocabulary.load()
 
 
-def library(path=sentencepiece.MODEL):
-    """The library's own best path under the same scores: the model file with its kind set to 1 (unigram)."""
-    import sentencepiece as sp
-
-    raw = open(path, "rb").read()
-    return sp, raw
-
-
 def plain_path(word, v):
     best = [(0.0, 0, None)] + [None] * len(word)
     for stop in range(1, len(word) + 1):
-        for start in range(max(0, stop - v.longest), stop):
+        for start in range(max(0, stop - 16), stop):
             piece = v.pieces.get(word[start:stop])
             if piece is None and stop - start > 1:
                 continue
@@ -267,16 +261,31 @@ def test_codes_against_a_plain_lattice(spark, make_docs, vocabulary):
     texts = ["Hello  world, the quick brown fox", "Eauouon. Enpaeux leaux le ouè eauenaux\nElle", "漢字 \U0001f600\t日本", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "    ", "a", prose(3, 40)]
     out = {r["doc_id"]: r["ids"] for r in sentencepiece.encode(make_docs(texts), vocabulary).collect()}
     for i, t in enumerate(texts):
-        assert out[i] == [c for w in sentencepiece.words_of(t) for c in plain_path(w, vocabulary)], t
+        assert out[i] == plain_path(" " + t, vocabulary), t
 
 
 def test_cutting_into_words_loses_nothing(vocabulary):
-    for t in ("a  b c", "x\ny z ", prose(5, 6), "   lead"):
-        whole = sentencepiece.SPACE + t.replace(" ", sentencepiece.SPACE)
-        words = sentencepiece.words_of(t)
-        assert "".join(words) == whole
-        score = lambda codes, w: sum(vocabulary.pieces.get(vocabulary.names[c], (0, 0))[1] for c in codes)
-        assert score(plain_path(whole, vocabulary), whole) == sum(score(plain_path(w, vocabulary), w) for w in words)
+    rows = ["a  b c", "x\ny z ", prose(5, 6), "   lead", "", None, "é漢字 ▁ \U0001f600 ok"]
+    words, many = vocabulary.cutter().words(pa.array(rows))
+    words, at = [w.decode() for w in words.to_pylist()], 0
+    for t, n in zip(rows, many, strict=True):
+        own, at = words[at : at + n], at + int(n)
+        assert "".join(own) == (" " + t.replace("▁", " ") if t else "")
+        assert plain_path("".join(own), vocabulary) == [c for w in own for c in plain_path(w, vocabulary)]
+
+
+def test_long_unbroken_text_takes_time_in_proportion(make_docs, vocabulary):
+    r = random.Random(4)
+    texts = ["a" * 100_000, "".join(r.choice("aeinrst") for _ in range(100_000)), "".join(r.choice("aeinrst") for _ in range(sentencepiece.BLOCK * 3 + 1))]
+    out = {x["doc_id"]: x for x in sentencepiece.decode(sentencepiece.encode(make_docs(texts), vocabulary), vocabulary).collect()}
+    for i, t in enumerate(texts):
+        assert out[i]["ids"] == plain_path(" " + t, vocabulary) and out[i]["decoded"] == t
+
+
+def test_bytes_that_are_no_text(spark, vocabulary):
+    ids = [vocabulary.pieces[" a"][0], vocabulary.byte_ids[0xFF], vocabulary.pieces["b"][0]]
+    rows = sentencepiece.decode(spark.createDataFrame([(ids,), ([],), (None,)], "ids array<int>"), vocabulary).collect()
+    assert [r["decoded"] for r in rows] == ["a\ufffdb", "", ""]
 
 
 def test_head_and_tail_agree(make_docs, vocabulary, monkeypatch):
