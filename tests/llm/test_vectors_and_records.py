@@ -74,10 +74,26 @@ def test_scan_abandons_early_and_keeps_the_nearest():
     q = v[:50] + 0.1 * rng.normal(size=(50, 63)).astype(np.float32)
     top = float((v.astype(float) ** 2).sum(1).max())
     seen: list = []
-    rows = ann.scan(v, q, ann.rotation(64), top, 1, seen)
+    qi, vi, score = ann.scan(v, q, ann.rotation(64), top, 1, seen=seen)
     best = (q @ v.T).argmax(1)
-    assert np.mean([b in r for b, r in zip(best, rows)]) > 0.97
+    assert list(qi) == list(range(50)) and np.mean(vi == best) > 0.97
+    assert np.array_equal(score, (q.astype(float) * v[vi].astype(float)).sum(1))
     assert sum(seen[0::2]) < 0.95 * sum(seen[1::2])
+    bounded: list = []
+    again = ann.scan(v, q, ann.rotation(64), top, 1, score - 1e-9, bounded)
+    assert np.array_equal(again[1], vi) and sum(bounded[0::2]) < sum(seen[0::2])
+
+
+def test_doubles_and_repeated_ids(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 8)) * 1e100
+    rows = [(i % 190, [float(y) for y in r]) for i, r in enumerate(x)] + [(20, [float(y) for y in x[20]])] * 2
+    vectors = ann.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = found(ann.nearest(vectors, vectors.where("vec_id IN (20, 40)"), 5))
+    for i in (20, 40):
+        s = np.array([(np.array(r) * x[i]).sum() if j != i else -np.inf for j, r in rows])
+        order = np.lexsort(([j for j, _ in rows], -s))[:5]
+        assert [v for v, _ in got[i]] == [rows[j][0] for j in order] and [y for _, y in got[i]] == [s[j] for j in order]
 
 
 # Records
