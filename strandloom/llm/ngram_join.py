@@ -204,13 +204,19 @@ def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> Dat
     need = {"probe": F.ceil(F.col("n") * percent / 100), "index": F.ceil(F.col("n") * (2 * percent) / (100 + percent))}
 
     def prefixes(side: str) -> DataFrame:
-        """(token, group, size): the group's union of its members' prefix tokens, with the largest (probing) or smallest (indexing) member's size."""
+        """(token, group, room, low): the group's union of its members' prefix tokens; low: its smallest member with the token there, room: the most
+        that a member can have in common with others from the token on, as what it leaves for the other's size in the threshold."""
         most = F.greatest(F.size("shared") - need[side].cast("int") + 1, F.lit(0))
-        rows = each.select("n", "group", F.explode(F.slice("shared.token", F.lit(1), most)).alias("token"))
-        return rows.groupBy("token", "group").agg((F.max if side == "probe" else F.min)("n").alias(f"{side}_n"))
+        rows = each.select("n", "group", F.size("shared").alias("size"), F.posexplode(F.slice("shared.token", F.lit(1), most)).alias("at", "token"))
+        room = (F.col("size") - F.col("at")) * (100 + percent) - F.col("n") * percent
+        return rows.groupBy("token", "group").agg(F.max(room).alias(f"{side}_room"), F.min("n").alias(f"{side}_low"), F.max("n").alias(f"{side}_high"))
 
+    # The first token that two sets share in this order leaves each at most its remaining tokens in common, min(r, s), and
+    # a link needs (100 + percent) * min(r, s) >= percent * (n + m): what shares a passage without being similar does not meet.
     index = prefixes("index").withColumnRenamed("group", "other")
-    near = prefixes("probe").join(index, "token").where((F.col("group") != F.col("other")) & (F.col("probe_n") >= F.col("index_n")))
+    sizes = (F.col("probe_high") >= F.col("index_low")) & (F.col("index_high") * 100 >= F.col("probe_low") * percent)
+    rooms = (F.col("probe_room") >= F.col("index_low") * percent) & (F.col("index_room") >= F.col("probe_low") * percent)
+    near = prefixes("probe").join(index, "token").where((F.col("group") != F.col("other")) & sizes & rooms)
     pairs = settle(near.select("group", "other").distinct(), "ngram-group-pairs")
     # A large group's matrix rows are kept by cell of about CELL members, so that a bound concerns few of them.
     cells = each.groupBy("group").agg(F.ceil(F.count("*") / CELL).alias("cells"))
