@@ -4,8 +4,8 @@ The pieces and scores of a model file are a table.  A text is escaped as Sentenc
 words wherever two neighbouring characters stand together in no piece of a best path: none crosses such a place, so the best path of a
 text is that of its words, one after the other.  (Pieces that others in a row make up with a larger sum are in no best path.)  The corpus' distinct words are encoded once each: substrings of at most the longest
 piece's length are exploded and equi-joined to the piece table, the matches are the edges of the word's lattice, grouped by
-word, and a fold over end positions (the higher-order function `aggregate`) keeps the best score and the edge it came by; a second fold
-walks back.  The best path has the largest sum of scores; of equal ones the edge that starts first wins.
+word, and a fold over end positions (the higher-order function `aggregate`) keeps the best score and the edge it came by, along which the
+way back goes.  The best path has the largest sum of scores; of equal ones the edge that starts first wins.
 A character that is no piece costs the lowest score less 10 and is written as its UTF-8 bytes' pieces.
 Folds go by blocks of BLOCK positions, so that a long unbroken text, which is one word, takes time in proportion to its length.
 
@@ -36,16 +36,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workers import ship
-from .common import add_column, documents, free_name, map_batches, release, segments, settle, slices, union_all
+from .common import add_column, documents, free_name, map_batches, release, settle, slices, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-HEAD, FLUSH_WORDS, WAVES = 300_000, 300_000, 2
+HEAD, FLUSH_WORDS, WAVES = 300_000, 300_000, 4
 #: Positions of a word that one fold goes over.
 BLOCK = 256
 #: Substrings of at most so many characters are made at every place.
 STEM = 3
-#: A code is a piece's id or UNKNOWN + a code point; an edge is its start and code in one long.
-UNKNOWN, CODE_BITS = 1 << 22, 23
+#: A code is a piece's place in the lattice's pieces or UNKNOWN + a code point; an edge is its end, LONGEST less its length, and its code in one long.
+UNKNOWN, CODE_BITS, LONGEST, STOP_SHIFT = 1 << 22, 23, 255, 31
+HOLE = np.int32(-1).tobytes()
 #: Tasks of the lattice for each shuffle partition: edges are some forty times the bytes of their words.
 TASKS = 4
 SPACE = "▁"
@@ -71,8 +72,8 @@ class Vocabulary:
         at = {int(p[3:5], 16): i for i, p in enumerate(names) if m.is_byte(i)}
         if len(at) != 256:
             raise ValueError(f"{path} has no byte pieces, so unknown characters could not be given back")
-        if len(names) >= UNKNOWN:
-            raise ValueError(f"{path} has more pieces than codes have room for")
+        if len(names) >= UNKNOWN or max(map(len, pieces)) > LONGEST:
+            raise ValueError(f"{path} has more or longer pieces than codes have room for")
         return cls(pieces, [at[i] for i in range(256)], names, min(s for _, s in pieces.values()) - 10)
 
     @functools.cached_property
@@ -127,15 +128,13 @@ class Cutter:
         edge = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))
         starts = np.ones(len(code), bool)
         kind = classes[code]
-        starts[1:] = ~together[kind[:-1] * n + kind[1:]]
+        np.logical_not(together[kind[:-1] * n + kind[1:]], out=starts[1:])
         starts[edge[:-1][edge[:-1] < len(code)]] = True
-        if len(raw) == len(code):
-            at = np.nonzero(starts)[0]
-        else:
-            width = 1 + (code > 0x7F).astype(np.int8) + (code > 0x7FF) + (code > 0xFFFF)
-            at = (np.cumsum(width, dtype=np.int64) - width)[starts]
-        many = np.concatenate(([0], np.cumsum(starts, dtype=np.int64)))[edge]
-        offsets = pa.py_buffer(np.append(at, len(raw)).astype(np.int64))
+        at = np.flatnonzero(starts)
+        many = np.searchsorted(at, edge)
+        if len(raw) != len(code):
+            at = np.flatnonzero(np.frombuffer(raw, np.int8) >= -64)[at]  # bytes that begin a character
+        offsets = pa.py_buffer(np.append(at, len(raw)))
         return pa.Array.from_buffers(pa.large_binary(), len(at), [None, offsets, pa.py_buffer(raw)]), np.diff(many)
 
 
@@ -172,7 +171,7 @@ def word_counts(docs: DataFrame, cutter: Broadcast, longest: int) -> DataFrame:
 
 
 def edges_of(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(key, c, edge): the matches in distinct words of the pieces, as (stop, start, score, code); code is the piece's id or UNKNOWN + a code point.
+    """(key, c, edge): the matches of the pieces in distinct words, packed in a long, which sorts them by end, then start.
 
     words: (key, base, part, c).  Substrings of more than STEM characters are made only where the first STEM + 1 of them begin a piece, and
     at most as long as the longest such piece.
@@ -183,15 +182,16 @@ def edges_of(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         if len(p) > STEM:
             stems[p[: STEM + 1]] = max(stems.get(p[: STEM + 1], 0), len(p))
     reach = spark.createDataFrame(list(stems.items()) or [("", 0)], "stem string, reach int")
-    pieces = spark.createDataFrame([(p, i, x) for p, (i, x) in vocabulary.lattice.items()], "piece string, id int, score double")
+    pieces = spark.createDataFrame([(p, i) for i, p in enumerate(vocabulary.lattice)], "piece string, place long")
     left = F.char_length("part") - F.col("i") + 1
     rows = words.withColumn("i", F.explode(F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.char_length("part")))))
     rows = rows.withColumn("stem", F.col("part").substr(F.col("i"), F.lit(STEM + 1))).join(F.broadcast(reach), "stem", "left")
     rows = rows.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(STEM)), left))))
-    rows = rows.select("key", "c", (F.col("base") + F.col("i")).alias("start"), "size", F.col("part").substr(F.col("i"), F.col("size")).alias("piece"))
-    found = rows.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR size = 1")
-    code = F.coalesce("id", F.ascii("piece") + UNKNOWN)
-    return found.select("key", "c", F.struct((F.col("start") + F.col("size") - 1).alias("stop"), "start", F.coalesce("score", F.lit(vocabulary.unknown)).alias("score"), code.alias("code")).alias("edge"))
+    rows = rows.select("key", "c", (F.col("base") + F.col("i") + F.col("size") - 1).alias("stop"), "size", F.col("part").substr(F.col("i"), F.col("size")).alias("piece"))
+    found = rows.join(F.broadcast(pieces), "piece", "left").where("place IS NOT NULL OR size = 1")
+    code = F.coalesce("place", (F.ascii("piece") + UNKNOWN).cast("long"))
+    edge = F.shiftleft(F.col("stop").cast("long"), STOP_SHIFT) + F.shiftleft((LONGEST - F.col("size")).cast("long"), CODE_BITS) + code
+    return found.select("key", "c", edge.alias("edge"))
 
 
 def _let(value: Column, body) -> Column:
@@ -199,86 +199,96 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _ahead(edges: Column, seed: Column, offset: Column) -> Column:
-    """The best score of each position and the packed edge (start, code) it came by, behind those of `seed`, whose first is of position `offset`.
+def _ahead(edges: Column, seed: Column, offset: Column, vocabulary: Vocabulary) -> Column:
+    """For each position its best score and the edge it came by without its end, one after the other in one array of doubles, behind those
+    of `seed`, whose first is of position `offset`.
 
     Edges come by end, those of equal ends by start: an entry is appended or, if the new one is better, replaced last.
     """
+    scores = F.split(F.lit(",".join(repr(x) for _, x in vocabulary.lattice.values())), ",").cast("array<double>")
 
     def step(s: Column, e: Column) -> Column:
-        total = F.element_at(s["score"], e["start"] - offset) + e["score"]
-        edge = F.shiftleft(e["start"].cast("long"), CODE_BITS) + e["code"]
-        more = lambda score, by: F.struct(F.concat(score, F.array(total)).alias("score"), F.concat(by, F.array(edge)).alias("by"))
-        less = lambda x: F.slice(x, F.lit(1), F.size(x) - 1)
-        fresh = F.size(s["by"]) <= e["stop"] - offset
-        return F.when(fresh, more(s["score"], s["by"])).when(total > F.element_at(s["score"], -1), more(less(s["score"]), less(s["by"]))).otherwise(s)
+        stop, size = F.shiftright(e, STOP_SHIFT).cast("int") - offset, LONGEST - F.shiftright(e, CODE_BITS).bitwiseAND(LONGEST).cast("int")
+        code = e.bitwiseAND((1 << CODE_BITS) - 1).cast("int")
+        score = F.when(code < UNKNOWN, F.get(scores, code)).otherwise(F.lit(vocabulary.unknown))
+        total = F.element_at(s, (stop - size) * 2 + 1) + score
+        new = F.array(total, e.bitwiseAND((1 << STOP_SHIFT) - 1).cast("double"))
+        better = F.concat(F.slice(s, F.lit(1), F.size(s) - 2), new)
+        return F.when(F.size(s) <= stop * 2, F.concat(s, new)).when(total > F.element_at(s, -2), better).otherwise(s)
 
     return F.aggregate(edges, seed, step)
 
 
-def _back(by: Column, at: Column, low: Column) -> Column:
-    """From position `at`, the edges back to `low` or before it: where they lead, and their codes from the last; by: packed edges of the positions after low."""
-
-    def step(v: Column, _: Column) -> Column:
-        edge = F.element_at(by, v["at"] - low)
-        moved = F.struct(
-            (F.shiftright(edge, CODE_BITS) - 1).cast("int").alias("at"), F.concat(v["codes"], F.array(edge.bitwiseAND((1 << CODE_BITS) - 1).cast("int"))).alias("codes")
-        )
-        return F.when(v["at"] > low, moved).otherwise(v)
-
-    return F.aggregate(F.sequence(F.lit(1), F.size(by)), F.struct(at.alias("at"), F.array().cast("array<int>").alias("codes")), step)
-
-
 def _seed() -> Column:
-    return F.struct(F.array(F.lit(0.0)).alias("score"), F.array(F.lit(0).cast("long")).alias("by"))
+    return F.array(F.lit(0.0), F.lit(0.0))
 
 
-def short_path(edges: Column) -> Column:
-    """Codes along the best path of a word of at most BLOCK characters, from the last."""
-    by = lambda s: F.slice(s["by"], F.lit(2), F.size(s["by"]))
-    return _let(_ahead(edges, _seed(), F.lit(0)), lambda s: _let(by(s), lambda b: _back(b, F.size(b), F.lit(0))["codes"]))
+def short_path(edges: Column, vocabulary: Vocabulary) -> Column:
+    """Scores and edges of the positions of a word of at most BLOCK characters."""
+    return _let(_ahead(edges, _seed(), F.lit(0), vocabulary), lambda s: F.slice(s, F.lit(3), F.size(s)))
 
 
-def long_path(blocks: Column, longest: int) -> Column:
-    """The same of a word in blocks (block, edges that end there): each block's fold begins with the last `longest` positions of the one before.
+def long_path(blocks: Column, vocabulary: Vocabulary) -> Column:
+    """The same of a word in blocks (block, edges that end there): each block's fold begins with the last positions of the one before.
 
     A fold copies its state at every step, so the state of the inner folds is that of one block.
     """
-    start = F.struct(F.lit(0).alias("offset"), _seed().alias("seed"), F.array().cast("array<array<long>>").alias("done"))
+    start = F.struct(F.lit(0).alias("offset"), _seed().alias("seed"), F.array().cast("array<array<double>>").alias("done"))
 
     def over(s: Column, block: Column) -> Column:
         def close(t: Column) -> Column:
-            keep = F.least(F.size(t["by"]), F.lit(longest))
-            last = lambda x: F.slice(x, F.size(x) - keep + 1, keep)
-            own = F.slice(t["by"], F.size(s["seed"]["by"]) + 1, F.size(t["by"]))
-            seed = F.struct(last(t["score"]).alias("score"), last(t["by"]).alias("by"))
-            return F.struct((s["offset"] + F.size(t["by"]) - keep).alias("offset"), seed.alias("seed"), F.concat(s["done"], F.array(own)).alias("done"))
+            keep = F.least(F.size(t), F.lit(2 * vocabulary.longest))
+            own = F.slice(t, F.size(s["seed"]) + 1, F.size(t))
+            offset = s["offset"] + F.floor((F.size(t) - keep) / 2).cast("int")
+            return F.struct(offset.alias("offset"), F.slice(t, F.size(t) - keep + 1, keep).alias("seed"), F.concat(s["done"], F.array(own)).alias("done"))
 
-        return _let(_ahead(block["edges"], s["seed"], s["offset"]), close)
+        return _let(_ahead(block["edges"], s["seed"], s["offset"], vocabulary), close)
 
-    def walk(done: Column) -> Column:
-        low = (F.size(done) - 1) * BLOCK
-        last = F.struct((low + F.size(F.element_at(done, -1))).alias("at"), low.alias("low"), F.array().cast("array<array<int>>").alias("codes"))
+    return F.flatten(F.aggregate(blocks, start, over)["done"])
 
-        def under(w: Column, by: Column) -> Column:
-            moved = lambda v: F.struct(v["at"].alias("at"), (w["low"] - BLOCK).alias("low"), F.concat(w["codes"], F.array(v["codes"])).alias("codes"))
-            return _let(_back(by, w["at"], w["low"]), moved)
 
-        return F.flatten(F.aggregate(F.reverse(done), last, under)["codes"])
+def best_edges(words: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataFrame:
+    """(key, c, path) of distinct words: score and best edge of each position; words: settled (key, base, part, c)."""
+    # Dealt out by key before they are exploded, edges are grouped where they arise.
+    inside = (F.col("base") == 0) & (F.char_length("part") <= BLOCK)
+    listed = lambda x: (F.first("c").alias("c"), F.sort_array(F.collect_list(x)))
+    c, edges = listed("edge")
+    short = edges_of(words.where(inside).repartition(tasks, "key"), vocabulary).groupBy("key").agg(c, edges.alias("edges"))
+    long = edges_of(words.where(~inside).repartition(tasks, "key"), vocabulary)
+    long = long.groupBy("key", F.floor((F.shiftright("edge", STOP_SHIFT) - 1) / BLOCK).alias("block")).agg(c, edges.alias("edges"))
+    long = long.groupBy("key").agg(c, listed(F.struct("block", "edges"))[1].alias("blocks"))
+    one = short.select("key", "c", short_path(F.col("edges"), vocabulary).alias("path"))
+    return one.unionByName(long.select("key", "c", long_path(F.col("blocks"), vocabulary).alias("path")))
 
-    return _let(F.aggregate(blocks, start, over)["done"], walk)
 
+def walked(column: pa.ListArray, ids: np.ndarray, byte_ids: list[int]) -> pa.Array:
+    """Packed 32-bit ids of words, from the first on: the way back along the best edges, and the bytes' pieces of unknown characters.
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataFrame:
-    """(key, c, codes) of distinct words, codes from the last; words: settled (key, base, part, c)."""
-    # Dealt out by key before they are exploded, edges are grouped where they arise.
-    inside = (F.col("base") == 0) & (F.char_length("part") <= BLOCK)
-    short = edges_of(words.where(inside).repartition(tasks, "key"), vocabulary).groupBy("key").agg(F.first("c").alias("c"), F.sort_array(F.collect_list("edge")).alias("edges"))
-    long = edges_of(words.where(~inside).repartition(tasks, "key"), vocabulary).withColumn("block", F.floor((F.col("edge.stop") - 1) / BLOCK))
-    long = long.groupBy("key", "block").agg(F.first("c").alias("c"), F.sort_array(F.collect_list("edge")).alias("edges"))
-    long = long.groupBy("key").agg(F.first("c").alias("c"), F.sort_array(F.collect_list(F.struct("block", "edges"))).alias("blocks"))
-    one = short.select("key", "c", short_path(F.col("edges")).alias("codes"))
-    return one.unionByName(long.select("key", "c", long_path(F.col("blocks"), vocabulary.longest).alias("codes")))
+    ids: id of each place in the lattice's pieces.
+    """
+    at = column.value_lengths().to_numpy().astype(np.int64) // 2
+    begin = np.cumsum(at) - at
+    edge = column.flatten().to_numpy(zero_copy_only=False)[1::2].astype(np.int64)
+    code, size = edge & ((1 << CODE_BITS) - 1), LONGEST - (edge >> CODE_BITS)
+    used = np.zeros(len(edge), bool)
+    while len(live := np.flatnonzero(at)):
+        last = begin[live] + at[live] - 1
+        used[last] = True
+        at[live] -= size[last]
+        if len(live) < len(at):
+            at, begin = at[live], begin[live]
+    row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy().astype(np.int64) // 2)[used]
+    code = code[used]
+    plain = code < UNKNOWN
+    out = [x if p else None for x, p in zip(ids[np.where(plain, code, 0)].tolist(), plain.tolist(), strict=True)] if not plain.all() else None
+    if out is None:
+        flat, wide = ids[code], np.ones(len(code), np.int64)
+    else:
+        parts = [[x] if x is not None else [byte_ids[b] for b in chr(c - UNKNOWN).encode()] for x, c in zip(out, code.tolist(), strict=True)]
+        flat, wide = np.array([x for y in parts for x in y], np.int32), np.array([len(y) for y in parts], np.int64)
+    many = np.bincount(row, wide, len(column)).astype(np.int64) if len(row) else np.zeros(len(column), np.int64)
+    edges = pa.py_buffer((np.concatenate(([0], np.cumsum(many))) * 4).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(column), [None, edges, pa.py_buffer(flat.astype(np.int32))])
 
 
 @dataclass
@@ -296,27 +306,13 @@ class Dictionary:
         tasks = TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
         counts = settle(word_counts(docs, cutter, vocabulary.longest).groupBy("key", "base", "part").agg(F.sum("c").alias("c")), "piece-words")
         release(spark)
-        as_bytes = vocabulary.byte_ids
+        ids, as_bytes = np.array([i for i, _ in vocabulary.lattice.values()], np.int32), vocabulary.byte_ids
 
         def pack(b: pa.RecordBatch) -> pa.RecordBatch:
-            """Codes from the first on, unknown characters as the pieces of their bytes."""
-            many = b.column(2).value_lengths().to_numpy().astype(np.int64)
-            end = np.cumsum(many)
-            flat = b.column(2).flatten().to_numpy(zero_copy_only=False)[np.repeat(end + end - many - 1, many) - np.arange(int(many.sum()))]
-            own = {int(c): np.array([as_bytes[x] for x in chr(c - UNKNOWN).encode()]) for c in np.unique(flat[flat >= UNKNOWN])}
-            wide = np.ones(len(flat), np.int64)
-            for c, x in own.items():
-                wide[flat == c] = len(x)
-            first = np.cumsum(wide) - wide
-            out = np.repeat(flat, wide).astype(np.int32)
-            for c, x in own.items():
-                at = first[flat == c]
-                out[at[:, None] + np.arange(len(x))] = x
-            edge = np.concatenate(([0], np.cumsum(wide)))[np.concatenate(([0], end))] * 4
-            packed = pa.Array.from_buffers(pa.binary(), len(many), [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(out)])
-            return pa.record_batch([b.column(0), b.column(1), packed], ["key", "c", "ids"])
-
-        coded = settle(map_batches(encode_words(counts, vocabulary, tasks), pack, "key binary, c long, ids binary", rows=10_000), "piece-codes")
+            return pa.record_batch([b.column(0), b.column(1), walked(b.column(2), ids, as_bytes)], ["key", "c", "ids"])
+
+        coded = settle(map_batches(best_edges(counts, vocabulary, tasks), pack, "key binary, c long, ids binary", rows=10_000), "piece-codes")
+        release(spark)
         # The head is a whole number of classes of frequency, so that it needs no sort; classes are a sixteenth of a doubling wide.
         level = F.floor(F.log2("c") * 16)
         sizes = sorted(coded.groupBy(level.alias("level")).count().collect(), reverse=True)
@@ -330,53 +326,90 @@ class Dictionary:
         return cls(coded, cutter, spark.sparkContext.broadcast(head))
 
 
-def _found(column: pa.Array, cutter: Broadcast) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Keys of the distinct words of all texts, each word's place among them, and how many words each text has."""
-    words, many = cutter.value.words(column)
-    words = words.dictionary_encode()
-    return [word_key(w) for w in words.dictionary.to_pylist()], words.indices.to_numpy().astype(np.int64), many
+@dataclass
+class Partly:
+    """Settled rows with the codes of the words in the head, a hole for each of the others, and these others' keys, in columns of the names given."""
 
+    rows: DataFrame
+    codes: str
+    holes: str
+    row: str
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "ids", dictionary: Dictionary | None = None) -> DataFrame:
-    """docs with an array of piece ids for `text`; a dictionary, if given, must hold all of its words.
 
-    The words a text has outside the head are looked up under the text's own 128-bit code, so no row needs a number.
-    """
-    words = dictionary or Dictionary.build(docs, vocabulary)
+def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep: list[str]) -> Partly:
+    """One pass over the texts; keep: the columns that go on."""
     sent, cutter = words.head, words.cutter
-    docs = docs.drop(column)
-    h1, h2, more = (free_name(docs, x) for x in ("h1", "h2", "found"))
-    text = F.col("text").cast("string")
-    keyed = docs.withColumns({"text": text, h1: F.xxhash64(text), h2: F.xxhash64(F.lit(7), text)})
+    codes, holes, row = (free_name(docs, x) for x in ("codes", "holes", "row"))
+    small = len(vocabulary.names) < 0xFFFF
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*rows.select(*keep).schema.fields, T.StructField(codes, T.BinaryType()), T.StructField(holes, T.ArrayType(T.BinaryType()))])
 
-    def rare(b: pa.RecordBatch) -> pa.RecordBatch:
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
         known = sent.value
-        keys, which, many = _found(b.column(2), cutter)
-        n = max(len(keys), 1)
-        hit = np.array([k not in known for k in keys], bool)[which]
-        pair = np.unique(segments(many)[hit] * n + which[hit])
-        at = pa.array(pair // n, pa.int64())
-        return pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(keys, pa.binary()).take(pa.array(pair % n, pa.int64()))], ["h1", "h2", "key"])
-
-    tails = map_batches(keyed.select(h1, h2, "text"), rare, "h1 long, h2 long, key binary", rows=2048)
-    # No word outside the head is frequent, so no key of this join is hot; texts that are there several times give equal rows.
-    found = tails.join(words.coded.select("key", "ids"), "key").groupBy("h1", "h2").agg(F.collect_set(F.struct("key", "ids")).alias(more))
-    both = keyed.join(found.withColumnsRenamed({"h1": h1, "h2": h2}), [h1, h2], "left")
-
-    def run(b: pa.RecordBatch) -> pa.Array:
-        known = sent.value
-        own = {x["key"]: x["ids"] for f in b.column(more).to_pylist() for x in f or ()}
-        keys, which, many = _found(b.column("text"), cutter)
-        codes = [known[k] if k in known else own[k] for k in keys]
-        size = np.array([len(c) // 4 for c in codes], np.int64)
-        flat, first = np.frombuffer(b"".join(codes), np.int32), np.cumsum(size) - size
+        found, many = cutter.value.words(b.column("text"))
+        found = found.dictionary_encode()
+        keys, which = [word_key(w) for w in found.dictionary.to_pylist()], found.indices.to_numpy()
+        own = [known.get(k) for k in keys]
+        hole = np.array([x is None for x in own], bool)
+        size = np.array([1 if x is None else len(x) // 4 for x in own], np.int64)
+        flat, first = np.frombuffer(b"".join([HOLE if x is None else x for x in own]), np.int32), np.cumsum(size) - size
         each = size[which]
         end = np.cumsum(each)
         at = np.arange(int(each.sum())) + np.repeat(first[which] - (end - each), each)
-        edges = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(many)))]
-        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat[at], pa.int32()))
+        out = flat[at].astype(np.uint16 if small else np.int32)
+        row_of = np.concatenate(([0], np.cumsum(many)))
+        edges = np.concatenate(([0], end))[row_of] * out.itemsize
+        packed = pa.Array.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(edges), pa.py_buffer(out)]).cast(pa.binary())
+        missed = hole[which]
+        lists = np.concatenate(([0], np.cumsum(missed)))[row_of]
+        gone = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(keys, pa.binary()).take(pa.array(which[missed])))
+        return pa.record_batch([*(b.column(c) for c in keep), packed, gone], [*keep, codes, holes])
+
+    part = map_batches(rows.select(*dict.fromkeys([*keep, "text"])), run, schema, rows=2048)
+    return Partly(settle(part.withColumn(row, F.monotonically_increasing_id()), "piece-partly"), codes, holes, row)
+
+
+def fill(part: Partly, vocabulary: Vocabulary, words: Dictionary, column: str) -> DataFrame:
+    """The rows with an array of piece ids: the words outside the head come by a join; rows without any do not take part in it."""
+    codes, holes = part.codes, part.holes
+    keep = [c for c in part.rows.columns if c not in (codes, holes, part.row)]
+    small = len(vocabulary.names) < 0xFFFF
+    names = [*keep, column]
+    more = free_name(part.rows, "found")
+    # No word outside the head is frequent, so no key of this join is hot.
+    tails = part.rows.select(part.row, F.explode(F.array_distinct(holes)).alias("key")).join(words.coded.select("key", "ids"), "key")
+    found = tails.groupBy(part.row).agg(F.collect_list(F.struct("key", "ids")).alias(more))
+    some = part.rows.where(F.size(holes) > 0).join(found, part.row).select(*keep, codes, holes, more)
+    none = F.array().cast("array<struct<key:binary,ids:binary>>")
+    both = part.rows.where(F.size(holes) == 0).select(*keep, codes, holes, none.alias(more)).unionByName(some)
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        own = {x["key"]: np.frombuffer(x["ids"], np.int32) for f in b.column(more).to_pylist() for x in f or ()}
+        packed = [np.frombuffer(x, np.uint16 if small else np.int32) for x in b.column(codes).to_pylist()]
+        flat = np.concatenate(packed).astype(np.int32)
+        if small:
+            flat[flat == 0xFFFF] = -1
+        end = np.cumsum([len(x) for x in packed])
+        at = np.flatnonzero(flat == -1)
+        parts = [own[k] for k in b.column(holes).flatten().to_pylist()]
+        wide = np.ones(len(flat), np.int64)
+        wide[at] = [len(x) for x in parts]
+        out = np.repeat(flat, wide)
+        if len(at):
+            first = (np.cumsum(wide) - wide)[at]
+            out[np.repeat(first - (np.cumsum(wide[at]) - wide[at]), wide[at]) + np.arange(int(wide[at].sum()))] = np.concatenate(parts)
+        edges = np.concatenate(([0], np.cumsum(wide)))[np.concatenate(([0], end))]
+        return pa.record_batch([*(b.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(out, pa.int32()))], names)
+
+    schema = T.StructType([*(part.rows.schema[c] for c in keep), T.StructField(column, T.ArrayType(T.IntegerType()))])
+    return map_batches(both, run, schema, rows=2048)
+
 
-    return add_column(both, run, column, T.ArrayType(T.IntegerType()), rows=2048).select(*docs.columns, column)
+def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "ids", dictionary: Dictionary | None = None) -> DataFrame:
+    """docs with an array of piece ids for `text`; a dictionary, if given, must hold all of its words."""
+    words = dictionary or Dictionary.build(docs, vocabulary)
+    docs = docs.drop(column)
+    return fill(encode_head(docs, vocabulary, words, docs.columns), vocabulary, words, column)
 
 
 def decode_ids(ids: list[int], table: list[bytes]) -> str:
@@ -409,19 +442,21 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: s
 def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> DataFrame:
     """(doc_id, n_pieces, ids_sha256, round_trip): the codes' digest (decimal, comma-separated) and whether they decode to the text.
 
-    The dictionary is made once over the whole corpus; the texts meet it in waves by their code, so that the look-up of rare words holds
-    a fraction of the corpus on disk at a time.
+    The dictionary is made once over the whole corpus; rows meet their rare words in waves, so that this holds a fraction of the corpus on
+    disk at a time.  Texts are compared by 128-bit codes, so they are read once and not dealt out.
     """
     vocabulary = Vocabulary.load(path)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    text = F.replace(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(SPACE), F.lit(" "))
+    code = lambda c: F.struct(F.xxhash64(c), F.xxhash64(F.lit(7), c))
+    rows = docs.select("doc_id", text.alias("text"), code(text).alias("code"))
     words = Dictionary.build(rows, vocabulary)
-    release(docs.sparkSession)
+    part = encode_head(rows, vocabulary, words, ["doc_id", "code"])
     out = []
     for wave in range(waves):
-        some = decode(encode(rows.where(F.pmod(F.xxhash64("text"), F.lit(waves)) == wave), vocabulary, dictionary=words), vocabulary)
-        text = F.replace(F.coalesce("text", F.lit("")), F.lit(SPACE), F.lit(" "))
+        some = Partly(part.rows.where(F.pmod(F.xxhash64(part.row), F.lit(waves)) == wave), part.codes, part.holes, part.row)
+        some = decode(fill(some, vocabulary, words, "ids"), vocabulary)
         digest = F.sha2(F.array_join("ids", ","), 256)
-        out.append(settle(some.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), (F.col("decoded") == text).alias("round_trip")), "piece-digests"))
+        out.append(settle(some.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), (code(F.col("decoded")) == F.col("code")).alias("round_trip")), "piece-digests"))
         release(docs.sparkSession)
     return union_all(out)
 
