@@ -6,9 +6,11 @@ all others are its class `rest`, inside which a word has its smoothed unigram pr
 
 The model predicts a token from the two before it: the context vector is the sum of their vectors scaled by one weight
 vector per position, a token's score the inner product with its output vector plus a bias (Mnih and Hinton, 2007).
-Training is noise-contrastive (Mnih and Teh, 2012): every task makes one AdaGrad pass over all of its own
-training tokens, starting from unigram biases, and the tasks' parameters are averaged by token count,
-first in a fixed number of slots on the executors, then on the driver.
+Training is noise-contrastive (Mnih and Teh, 2012), by AdaGrad from unigram biases, over all training tokens.  Texts are dealt by
+the hash of id and text into shards of about SHARD_TOKENS tokens, as many as the corpus needs, and into ROUNDS rounds.
+In each round every shard starts from the same broadcast parameters and learns from its texts of that round; the shards'
+parameters and step sums are averaged by token count, FAN at a time in a tree on the executors, and broadcast for the next.
+How Spark has partitioned the table has no part in the result.
 
 Scores are normalised.  exp(score) factors into one term for each context word, so the normalisers of all
 V x V contexts are one matrix product; a token's log-probability is then three table look-ups.
@@ -17,19 +19,20 @@ Words outside the broadcast head of the counts (at most HEAD words) get theirs b
 the vocabulary may grow with the corpus without limit.
 
 Defined results: a null or empty text is the end token alone.  A null doc_id is not held out and not learnt from.
-Repeated rows are scored and counted each.  Without training tokens N and V are 0.
+Repeated rows are scored and counted each; the network learns once from rows of equal id and text, so that they meet in no shard by
+the million.  Without training tokens N and V are 0.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ from .common import documents, map_batches, remainder, segments, settle, texts
 
 VOCABULARY, SIZE, NOISE, BATCH, RATE = 2048, 16, 48, 4096, 0.1
 HEAD = 100_000
-SLOTS = 64
+SHARD_TOKENS, ROUNDS, FAN = 2_000_000, 4, 16
 FLUSH_WORDS = 300_000
 #: Codes of the vocabulary's three fixed members; words follow.
 START, END, REST, FIRST = 0, 1, 2, 3
@@ -83,8 +86,16 @@ class Parameters:
         make = lambda: rng.normal(0, 0.1, (v, SIZE)).astype(np.float32)
         return cls(make(), make() * 0.1, np.log(np.maximum(probability, 1e-12)).astype(np.float32), np.ones((2, SIZE), np.float32))
 
+    @classmethod
+    def steps(cls, v: int) -> Parameters:
+        """Where AdaGrad's sums of squares start."""
+        return cls.from_flat(np.full(2 * v * SIZE + v + 2 * SIZE, 0.1))
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.inner, self.outer, self.bias, self.place]
+
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.inner.ravel(), self.outer.ravel(), self.bias, self.place.ravel()]).astype(np.float64)
+        return np.concatenate([x.ravel() for x in self.parts()]).astype(np.float64)
 
     @classmethod
     def from_flat(cls, x: np.ndarray) -> Parameters:
@@ -103,11 +114,11 @@ def contexts(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 class Trainer:
     """One pass of noise-contrastive estimation with AdaGrad; the noise of a batch is shared by its tokens."""
 
-    def __init__(self, p: Parameters, probability: np.ndarray, seed: int):
-        self.p, self.rng = p, np.random.default_rng(seed)
+    def __init__(self, p: Parameters, steps: Parameters, probability: np.ndarray, seed: int | list[int]):
+        self.p, self.steps, self.rng = p, steps, np.random.default_rng(seed)
         self.logq = np.log(np.maximum(probability, 1e-12) * NOISE).astype(np.float32)
         self.cumulated = np.cumsum(probability) / probability.sum()
-        self.sums = [np.full(x.shape, 1e-1, np.float32) for x in (p.inner, p.outer, p.bias, p.place)]
+        self.sums = steps.parts()
         self.tokens = 0
 
     def _move(self, k: int, x: np.ndarray, g: np.ndarray) -> None:
@@ -201,7 +212,7 @@ class LanguageModel:
 
 
 def fit(training: DataFrame, counts: DataFrame) -> LanguageModel:
-    """training: (text); counts: settled (word, c)."""
+    """training: (doc_id, text); counts: settled (word, c)."""
     spark = training.sparkSession
     n, v = counts.agg(F.sum("c"), F.count("*")).first()
     top = counts.where(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(HEAD).collect()
@@ -220,33 +231,72 @@ def fit(training: DataFrame, counts: DataFrame) -> LanguageModel:
     share /= share.sum()
     if n:
         head[_END_WORD] = (ends, END)
-    start = Parameters.start(share)
-    model = LanguageModel(head, share, n, v, rest_n, rest_v, start)
-    sent = spark.sparkContext.broadcast(model)
+    model = LanguageModel(head, share, n, v, rest_n, rest_v, Parameters.start(share))
+    if n:
+        learn(training, model)
+    return model
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        m = sent.value
-        trainer = Trainer(Parameters.from_flat(m.p.flat()), m.probability, part)
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                tokens, _, lengths, _ = m.encode(texts(b.column(0).slice(i, 256)))
-                trainer.learn(tokens, *contexts(tokens, lengths))
-        if trainer.tokens:
-            weighted = trainer.p.flat() * trainer.tokens
-            yield pa.record_batch([pa.array([part % SLOTS]), pa.array([trainer.tokens]), pa.array([weighted.tobytes()], pa.binary())], ["slot", "n", "sum"])
+
+def shards(training: DataFrame, model: LanguageModel) -> tuple[DataFrame, int]:
+    """Settled (round, shard, h1, h2, tokens): packed vocabulary codes of each text, and the number of shards."""
+    many = max(1, -(-model.n // SHARD_TOKENS))
+    text = F.col("text").cast("string")
+    keyed = training.select(F.xxhash64("doc_id", text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2"), text.alias("text"))
+    sent = training.sparkSession.sparkContext.broadcast(model.head)
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        get, none = sent.value.get, (0, REST)
+        rows = [np.array([get(w, none)[1] for w in t.lower().split()] + [END], np.uint16).tobytes() for t in texts(b.column(2))]
+        return pa.record_batch([b.column(0), b.column(1), pa.array(rows, pa.binary())], ["h1", "h2", "tokens"])
+
+    coded = map_batches(keyed, run, "h1 long, h2 long, tokens binary", rows=512).groupBy("h1", "h2").agg(F.first("tokens").alias("tokens"))
+    place = F.pmod(F.col("h1"), F.lit(many * ROUNDS))
+    return settle(coded.withColumns({"round": F.pmod(place, F.lit(ROUNDS)), "shard": F.floor(place / ROUNDS)}), "lm-shards"), many
+
+
+def learn(training: DataFrame, model: LanguageModel) -> None:
+    """Trains the model's network; training: (doc_id, text)."""
+    spark = training.sparkSession
+    rows, many = shards(training, model)
+    p, steps, probability = model.p, Parameters.steps(len(model.probability)), model.probability
+    width = 2 * len(p.flat())
+    schema = "shard long, n long, sum binary"
+
+    def packed(shard: int, n: int, total: np.ndarray) -> pa.Table:
+        return pa.table([pa.array([shard]), pa.array([n]), pa.array([total.tobytes()], pa.binary())], ["shard", "n", "sum"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.float64) for x in table["sum"].to_pylist())
-        return pa.table({"slot": table["slot"][:1], "n": pa.array([sum(table["n"].to_pylist())], pa.int64()), "sum": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "slot long, n long, sum binary"
-    ship(spark)
-    parts = training.select("text").mapInArrow(run, schema).groupBy("slot").applyInArrow(add, schema).collect()
-    if weight := sum(r["n"] for r in parts):
-        ordered = sorted(parts, key=lambda r: r["slot"])
-        model.p = Parameters.from_flat(sum(np.frombuffer(r["sum"], np.float64) for r in ordered) / weight)
-    return model
+        total = np.zeros(width)
+        order = np.argsort(table["shard"].to_numpy())
+        for i in order.tolist():
+            total += np.frombuffer(table["sum"][i].as_py(), np.float64)
+        return packed(table["shard"][int(order[0])].as_py() // FAN, sum(table["n"].to_pylist()), total)
+
+    def worker(sent: Broadcast, turn: int) -> Callable[[pa.Table], pa.Table]:
+        def work(table: pa.Table) -> pa.Table:
+            own, sums, share = sent.value
+            shard = table["shard"][0].as_py()
+            trainer = Trainer(Parameters.from_flat(own), Parameters.from_flat(sums), share, [turn, shard])
+            order = np.lexsort((table["h2"].to_numpy(), table["h1"].to_numpy()))
+            parts = [np.frombuffer(x, np.uint16) for x in table["tokens"].take(pa.array(order)).to_pylist()]
+            for i in range(0, len(parts), 256):
+                tokens = np.concatenate(parts[i : i + 256]).astype(np.int64)
+                trainer.learn(tokens, *contexts(tokens, np.array([len(x) for x in parts[i : i + 256]])))
+            return packed(shard, trainer.tokens, np.concatenate((trainer.p.flat(), trainer.steps.flat())) * trainer.tokens)
+
+        return work
+
+    for turn in range(ROUNDS):
+        work = worker(spark.sparkContext.broadcast((p.flat(), steps.flat(), probability)), turn)
+        ship(spark)
+        found, left = rows.where(F.col("round") == turn).groupBy("shard").applyInArrow(work, schema), many
+        while left > FAN:
+            found, left = found.groupBy(F.floor(F.col("shard") / FAN).alias("s")).applyInArrow(add, schema), -(-left // FAN)
+        got = sorted(found.collect(), key=lambda r: r["shard"])  # at most FAN rows
+        if weight := sum(r["n"] for r in got):
+            mean = sum(np.frombuffer(r["sum"], np.float64) for r in got) / weight
+            p, steps = Parameters.from_flat(mean[: width // 2]), Parameters.from_flat(mean[width // 2 :])
+    model.p = p
 
 
 def lm_scores(docs: DataFrame, trains: DataFrame) -> DataFrame:
