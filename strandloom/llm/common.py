@@ -92,6 +92,18 @@ def slices(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield b
 
 
+def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """(doc_id, label, text) of the `rows` labelled ids with the smallest hashes, at most: one row for each id and label, of the id's first text.
+
+    The first text is taken by a partial aggregate, so an id that a third of all rows have brings one row of each task.
+    """
+    known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").select(F.col("doc_id").alias("_id"), "label").distinct()
+    sample = known.orderBy(F.xxhash64("_id"), "_id", "label").limit(rows)
+    found = docs.select("doc_id", "text").join(F.broadcast(sample.select("_id").distinct()), F.col("doc_id") == F.col("_id"))
+    first = found.groupBy("doc_id").agg(F.min(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
+    return first.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text")
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, rows: int = 512) -> DataFrame:
     """mapInArrow by slices, so that memory does not follow the batch size."""
 

@@ -10,7 +10,8 @@ and its `NEIGHBOURS` nearest vote with their similarity as weight.
 
 Defined results: a text without terms (null, empty, blank) has the share of label 1 in the sample as
 its score, 0.5 without labels.  A null doc_id is not held out and never trained on.  Repeated label rows count once.
-Ties of similarity go to the neighbour that comes first by doc_id.
+Similarities are compared after rounding to six digits, ties go to the neighbour that comes first by doc_id.  Of rows that repeat a labelled
+id, the first text is learnt from.  All other columns pass through `score`.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Codes, add_column, documents, map_batches, mixed, remainder, segments, texts
+from .common import Codes, add_column, documents, labelled as sampled, map_batches, mixed, remainder, segments, texts
 
 TRAIN_ROWS, DIMS, RANK, NEIGHBOURS = 4_000, 4096, 64, 15
 THRESHOLD = 0.3
@@ -80,9 +81,14 @@ class NeighbourVotes:
         if not len(self.labels):
             return np.full(len(rows), share)
         x = self.embed(*term_counts(rows), len(rows))
-        sim = x @ self.vectors.T
+        sim = np.round(x @ self.vectors.T, 6)
         k = min(NEIGHBOURS, len(self.labels))
         best = np.argpartition(-sim, k - 1, axis=1)[:, :k]
+        # Of those that equal the k-th, argpartition takes any: rows that leave some out are settled by place.
+        last = np.take_along_axis(sim, best, 1).min(1, keepdims=True)
+        tied = np.flatnonzero((sim >= last).sum(1) > k)
+        if len(tied):
+            best[tied] = np.argsort(-sim[tied], axis=1, kind="stable")[:, :k]
         weight = np.maximum(np.take_along_axis(sim, best, 1).astype(float), 0) ** SHARPNESS
         total = weight.sum(1)
         return np.where(total > 0, (weight * self.labels[best]).sum(1) / np.where(total > 0, total, 1), share).clip(0, 1)
@@ -130,9 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Neighbo
     """labels: (doc_id, label). At most `rows` labelled ids, those with the smallest hashes, are learnt from."""
     df = document_frequencies(docs)
     idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS]))
-    known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").select(F.col("doc_id").alias("_id"), "label").distinct()
-    sample = known.orderBy(F.xxhash64("_id"), "_id", "label").limit(rows)
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text")
+    found = sampled(docs, labels, rows)
 
     def coded(b: pa.RecordBatch) -> pa.RecordBatch:
         doc, column, count = term_counts(texts(b.column(2)))

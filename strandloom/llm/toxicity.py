@@ -8,7 +8,8 @@ It is trained in numpy on a bounded sample (`TRAIN_ROWS` labelled documents with
 id hashes) and sent to the executors, which score every whole text.
 
 Defined results: a null or empty text has the bias term only.  A null doc_id is not held out and never
-trained on.  Repeated label rows count once; contradicting ones count each.  Without any label the score is 0.5.
+trained on.  Repeated label rows count once; contradicting ones count each.  Of rows that repeat a labelled id, the first text is learnt
+from.  Without any label the score is 0.5.  All other columns pass through `score`.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Codes, add_column, documents, map_batches, remainder, texts
+from .common import Codes, add_column, documents, labelled as sampled, map_batches, remainder, texts
 
 TRAIN_ROWS, MIN_DF, MAX_TERMS, FACTORS, EPOCHS = 12_000, 5, 512, 8, 12
 THRESHOLD = 0.7
@@ -114,9 +115,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, seed: int = 1, rate: float =
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> FactorizationMachine:
     """labels: (doc_id, label). The sample is the `rows` labelled ids with the smallest hashes, at most."""
-    known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").select(F.col("doc_id").alias("_id"), "label").distinct()
-    sample = known.orderBy(F.xxhash64("_id"), "_id", "label").limit(rows)
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text")
+    found = sampled(docs, labels, rows)
 
     def coded(b: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([b.column(0), b.column(1), pa.array([terms(t).tobytes() for t in texts(b.column(2))], pa.binary())], ["doc_id", "label", "terms"])

@@ -5,6 +5,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pytest
 
 from strandloom.llm import lm_score, quality, toxicity
 
@@ -83,6 +84,59 @@ def test_model_is_normalised_and_better_than_counts(spark, make_docs, monkeypatc
     assert out["s"] > 0.8 * out["b"]
 
 
+def test_partitions_have_no_part_in_the_scores(make_docs, monkeypatch):
+    """Nor do shards undo the learning: texts that were not learnt from score better than by counts."""
+    texts = [" ".join(f"w{(i + k) % 20}" for k in range(40)) for i in range(3000)] + ["same text"] * 3
+    docs = make_docs(texts)
+    for name, value in {"BATCH": 128, "RATE": 0.3, "SHARD_TOKENS": 16_000, "FAN": 4}.items():
+        monkeypatch.setattr(lm_score, name, value)
+    out = []
+    for parts in (1, 7):
+        some = docs.repartition(parts, "doc_id")
+        rows = lm_score.lm_scores(some, some.where("doc_id % 7 <> 2")).collect()
+        out.append({r["doc_id"]: (r["score"], r["base_score"]) for r in rows})
+    for k in (0, 1):
+        assert {i: v[k] for i, v in out[0].items()} == pytest.approx({i: v[k] for i, v in out[1].items()})
+    held = [v for i, v in out[0].items() if i % 7 == 2]
+    assert sum(x for x, _ in held) > sum(y for _, y in held) * 0.9
+
+
+def test_votes_against_plain_python(spark, make_docs):
+    """Cosines of all pairs by loops; equal ones go to the neighbour that comes first by doc_id."""
+    texts = [prose(i % 40, 30) if i % 3 else prose(i, 30).upper() + " !!" for i in range(160)]
+    docs = make_docs(texts)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0 or i % 5 == 0)) for i in range(0, 120)], "doc_id long, label int")
+    model = quality.train(docs, labels)
+    assert list(model.labels) == [int(i % 3 == 0 or i % 5 == 0) for i in range(120)]
+    x = model.embed(*quality.term_counts([t.encode() for t in texts]), len(texts))
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    for i in range(160):
+        sim = [float(x[i] @ v) for v in model.vectors]
+        near = sorted(range(120), key=lambda j: (-round(sim[j], 5), j))[: quality.NEIGHBOURS]
+        weight = [max(sim[j], 0) ** quality.SHARPNESS for j in near]
+        assert abs(got[i] - sum(w * model.labels[j] for w, j in zip(weight, near, strict=True)) / sum(weight)) < 1e-3, i
+
+
+def test_machine_against_all_pairs():
+    rng = np.random.default_rng(3)
+    docs = [np.unique(rng.integers(1, 30, rng.integers(0, 12)).astype(np.uint64)) for _ in range(300)]
+    fm = toxicity.fit(docs, rng.integers(0, 2, 300).astype(np.float32))
+    for d, got in zip(docs, fm.scores(docs), strict=True):
+        rows = [0] + [int(np.searchsorted(fm.codes, c)) + 1 for c in d if c in fm.codes]
+        z = sum(float(fm.w[r]) for r in rows) + sum(float(fm.v[a] @ fm.v[b]) for i, a in enumerate(rows) for b in rows[:i])
+        assert abs(got - 1 / (1 + math.exp(-z))) < 1e-5
+
+
+def test_repeated_labelled_rows_bring_one_row_each(spark):
+    rows = [(1, "bad one")] * 500 + [(2, f"good {i}") for i in range(500)] + [(3, "good two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (3, 0)], "doc_id long, label int")
+    for module in (toxicity, quality):
+        seen = module.sampled(docs, labels, 10).collect()
+        assert sorted((r["doc_id"], r["label"]) for r in seen) == [(1, 1), (2, 0), (3, 0)]
+        assert [r["text"] for r in seen if r["doc_id"] == 2] == ["good 0"]
+
+
 def test_scores_of_odd_documents(odd_docs, no_docs):
     rows = lm_score.lm_scores(odd_docs, odd_docs.where("doc_id < 8")).collect()
     assert len(rows) == 13 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
