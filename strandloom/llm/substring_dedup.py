@@ -13,14 +13,12 @@ sentence s lies within it, or else s to b is too short and the run back from b h
 its whole sentences; only the incomplete sentences at its two ends may stay.
 
 Defined results: a null or empty text has no sentences and stays as it is (null becomes empty).  A null doc_id takes no part and
-keeps its text.  Rows that repeat a doc_id are one document: their equal runs at equal places are one occurrence.
+keeps its text.  An occurrence is (doc_id, code of the text, sentence): rows of equal id and text are one document, different texts
+under one id are documents of their own.  Other columns pass through; `_n_sentences` and `_n_removed` replace columns of these names.
 """
 
 from __future__ import annotations
 
-import re
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,12 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, Codes, add_column, documents, map_batches, mixed, segments, settle, texts
+from .common import BROADCAST_ROWS, Codes, add_column, documents, free_name, map_batches, mixed, segments, settle, texts
 
 MIN_SENTENCES, MIN_WORDS, CUT = 2, 20, 12
 
-#: A word with the blanks behind it; blanks before the first word belong to it.
-_WORD = re.compile(rb"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _EVEN = ~1 & 0xFFFFFFFFFFFFFFFF
 
 
@@ -48,18 +45,32 @@ def _code(token: bytes) -> int:
 _codes = Codes(_code)
 
 
-def sentences(rows: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of each text; then, over all texts, word codes, the first word of each sentence, and sentences per text."""
-    tokens = [_WORD.findall(t) for t in rows]
-    counts = np.array([len(x) for x in tokens], np.int64)
-    code = np.fromiter(map(_codes.__getitem__, chain.from_iterable(tokens)), np.uint64, int(counts.sum()))
-    ends = (code & np.uint64(1)).astype(bool)
-    starts = np.concatenate(([True], ends[:-1])) if len(code) else np.zeros(0, bool)
-    begin = np.cumsum(counts) - counts
-    starts[begin[counts > 0]] = True
-    first = np.nonzero(starts)[0]
+def sentences(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Over all texts, one after the other: word codes, the first byte of each word, the first word of each sentence; and sentences per text.
+
+    A word has the blanks behind it; blanks before a text's first word belong to that.  A text of blanks has no words, and its bytes don't count.
+    """
+    rows = [t if t.strip() else b"" for t in rows]
+    raw = b"".join(rows)
+    edge = np.concatenate(([0], np.cumsum([len(t) for t in rows], dtype=np.int64)))
+    blank = _BLANK[np.frombuffer(raw, np.uint8)]
+    begins = np.ones(len(raw), bool)
+    begins[1:] = blank[:-1]
+    some = edge[:-1][np.diff(edge) > 0]
+    begins[some] = True
+    at = np.flatnonzero(begins & ~blank)
+    counts = np.diff(np.searchsorted(at, edge))
+    head = (np.cumsum(counts) - counts)[counts > 0]
+    at[head] = some
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(raw))), pa.py_buffer(raw)]).dictionary_encode()
+    known = np.fromiter(map(_codes.__getitem__, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+    code = known[words.indices.to_numpy()]
+    starts = np.ones(len(code), bool)
+    starts[1:] = (code[:-1] & np.uint64(1)).astype(bool)
+    starts[head] = True
+    first = np.flatnonzero(starts)
     per = np.bincount(segments(counts)[first], minlength=len(rows)) if len(rows) else np.zeros(0, np.int64)
-    return tokens, code | np.uint64(1), first, per
+    return code | np.uint64(1), at, first, per
 
 
 def _inverse(x: int) -> int:
@@ -78,7 +89,7 @@ _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 def runs(rows: list[bytes], min_sentences: int, min_words: int) -> tuple[np.ndarray, ...]:
     """(text, first sentence, sentences, hash 1, hash 2) of every run."""
-    _, code, first, per = sentences(rows)
+    code, _, first, per = sentences(rows)
     m = len(first)
     if not m:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
@@ -107,56 +118,59 @@ def runs(rows: list[bytes], min_sentences: int, min_words: int) -> tuple[np.ndar
 
 
 def repeated(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
-    """(doc_id, spans): the sentences of each document that a non-first occurrence covers, as [first, number] pairs."""
+    """(doc_id, code, spans): the sentences of each text that a non-first occurrence covers, as [first, number] pairs; docs: (doc_id, code, text)."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        row, at, many, h1, h2 = runs(texts(b.column(1)), min_sentences, min_words)
+        row, at, many, h1, h2 = runs(texts(b.column(2)), min_sentences, min_words)
+        row = pa.array(row)
         return pa.record_batch(
-            [b.column(0).take(pa.array(row)), pa.array(at, pa.int32()), pa.array(many, pa.int32()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-            ["doc_id", "at", "many", "h1", "h2"],
+            [b.column(0).take(row), b.column(1).take(row), pa.array(at, pa.int32()), pa.array(many, pa.int32()), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
+            ["doc_id", "code", "at", "many", "h1", "h2"],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    spans = map_batches(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), run, f"doc_id {kind}, at int, many int, h1 long, h2 long", rows=1024)
-    found = spans.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last"))
+    spans = map_batches(docs.where("doc_id IS NOT NULL"), run, f"doc_id {kind}, code long, at int, many int, h1 long, h2 long", rows=1024)
+    place = F.struct("doc_id", "code", "at")
+    found = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     found = settle(found.where("first <> last").select("h1", "h2", "first"), "span-repeats")
-    again = spans.join(found, ["h1", "h2"]).where(F.struct("doc_id", "at") != F.col("first"))
-    return again.groupBy("doc_id").agg(F.collect_list(F.array("at", "many")).alias("spans"))
+    again = spans.join(found, ["h1", "h2"]).where(place != F.col("first"))
+    return again.groupBy("doc_id", "code").agg(F.collect_set(F.array("at", "many")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with `text` less its covered sentences, `_n_sentences` and `_n_removed`."""
-    spans = settle(repeated(docs, min_sentences, min_words), "span-covers").withColumnRenamed("doc_id", "_span_id")
-    small = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= BROADCAST_ROWS
-    both = docs.join(F.broadcast(spans) if small else spans, F.col("doc_id") == F.col("_span_id"), "left").withColumnRenamed("spans", "_spans")
+    code, span_id, span_code, covers, cuts = (free_name(docs, x) for x in ("code", "span_id", "span_code", "spans", "cut"))
+    text = F.col("text").cast("string")
+    coded = docs.withColumns({"text": text, code: F.xxhash64(text)})
+    spans = settle(repeated(coded.select("doc_id", F.col(code).alias("code"), "text"), min_sentences, min_words), "span-covers")
+    spans = spans.select(F.col("doc_id").alias(span_id), F.col("code").alias(span_code), F.col("spans").alias(covers))
+    small = (spans.agg(F.sum(F.size(covers))).first()[0] or 0) <= BROADCAST_ROWS
+    both = coded.join(F.broadcast(spans) if small else spans, (F.col("doc_id") == F.col(span_id)) & (F.col(code) == F.col(span_code)), "left")
 
     def cut(b: pa.RecordBatch) -> pa.Array:
-        tokens, _, first, per = sentences(texts(b.column("text")))
-        kept, removed, base, word = [], [], 0, 0
-        for words, n, spans_ in zip(tokens, per, b.column("_spans").to_pylist(), strict=True):
-            gone = np.zeros(n, bool)
-            for at, many in spans_ or ():
-                gone[at : at + many] = True
-            if gone.any():
-                start = first[base : base + n] - word
-                size = np.diff(np.append(start, len(words)))
-                kept.append(b"".join(w for w, g in zip(words, np.repeat(gone, size), strict=True) if not g))
+        rows = texts(b.column("text"))
+        words, at, first, per = sentences(rows)
+        byte = np.append(at[first], sum(len(t) for t in rows if t.strip()))  # where each sentence begins among the texts that have words
+        kept, removed, base, offset = [], [], 0, 0
+        for t, n, spans_ in zip(rows, per.tolist(), b.column(covers).to_pylist(), strict=True):
+            gone = np.zeros(n + 1, bool)
+            for start, many in spans_ or ():
+                gone[start : start + many] = True
+            if spans_:
+                begin = np.append(byte[base : base + n], offset + len(t)) - offset
+                kept.append(b"".join([t[i:j] for i, j, g in zip(begin[:-1].tolist(), begin[1:].tolist(), gone.tolist()[:n], strict=True) if not g]))
             else:
                 kept.append(None)
             removed.append(int(gone.sum()))
-            base, word = base + int(n), word + len(words)
+            base, offset = base + n, offset + (len(t) if t.strip() else 0)
         return pa.StructArray.from_arrays(
             [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(per, pa.int64()), pa.array(removed, pa.int64())], ["kept", "n", "removed"]
         )
 
     kind = T.StructType([T.StructField("kept", T.StringType()), T.StructField("n", T.LongType()), T.StructField("removed", T.LongType())])
-    out = add_column(both, cut, "_cut", kind)
-    return (
-        out.withColumn("text", F.coalesce("_cut.kept", "text", F.lit("")))
-        .withColumn("_n_sentences", F.col("_cut.n"))
-        .withColumn("_n_removed", F.col("_cut.removed"))
-        .drop("_cut", "_spans", "_span_id")
-    )
+    out = add_column(both, cut, cuts, kind)
+    counted = {"_n_sentences": F.col(f"{cuts}.n"), "_n_removed": F.col(f"{cuts}.removed")}
+    return out.withColumns({"text": F.coalesce(f"{cuts}.kept", "text", F.lit("")), **counted}).drop(cuts, covers, span_id, span_code, code)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

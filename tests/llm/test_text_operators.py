@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import random
+import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from strandloom.llm import decontaminate, line_dedup, sentencepiece, substring_dedup
@@ -47,6 +50,45 @@ def test_lines_of_odd_documents(odd_docs, no_docs):
 # Sentences
 
 
+def plain_sentences(text, cut=substring_dedup.CUT):
+    """Words with the blanks behind them, by sentence, as the rule is stated."""
+    words = re.findall(r"(?:^[ \t-\r]+)?[^ \t-\r]+[ \t-\r]*", text)
+    out = [[]]
+    for w in words:
+        word = w.strip(" \t\n\x0b\f\r")
+        out[-1].append(w)
+        if word[-1] in ".!?" or "\n" in w[len(w.rstrip(" \t\n\x0b\f\r")) :] or (xxhash.xxh3_64_intdigest(word.encode().lower()) >> 1) % cut == 0:
+            out.append([])
+    return [x for x in out if x]
+
+
+def words_and_starts(texts):
+    """Lower-cased words of each text and where its sentences start, the number of words last."""
+    each = [plain_sentences(t) for t in texts]
+    starts = [[sum(map(len, x[:i])) for i in range(len(x) + 1)] for x in each]
+    return [[w.strip().lower() for y in x for w in y] for x in each], starts
+
+
+def test_sentences_against_plain_python():
+    texts = [" a b.\nc  ", "", " \t ", "one. two! three? four\n\nfive é. ÉÉ x" + prose(3, 60), "x", prose(1, 200), "\x1fa\x85 b\u00a0c. d"]
+    code, at, first, per = substring_dedup.sentences([t.encode() for t in texts])
+    plain = [plain_sentences(t) for t in texts]
+    assert list(per) == [len(x) for x in plain]
+    flat = [w for x in plain for y in x for w in y]
+    raw = "".join(t for t in texts if t.strip(" \t")).encode()
+    assert [raw[i:j].decode() for i, j in zip(at, [*at[1:], len(raw)], strict=True)] == flat
+    assert np.array_equal(np.diff(np.append(first, len(code))), [len(y) for x in plain for y in x])
+
+
+def test_other_texts_under_one_id_are_documents_of_their_own(spark):
+    passage = ". ".join(prose(900 + i, 9) for i in range(7)) + "."
+    rows = [(1, passage), (2, passage), (2, prose(5, 40) + ". " + prose(6, 40) + "."), (2, passage)]
+    docs = spark.createDataFrame([(*r, "c", 1) for r in rows], "doc_id long, text string, _code string, _spans int")
+    out = substring_dedup.remove_repeats(docs)
+    assert set(docs.columns) < set(out.columns)
+    assert sorted((r["doc_id"], r["text"], r["_code"], r["_spans"]) for r in out.collect()) == sorted([(1, passage, "c", 1), (2, "", "c", 1), (2, rows[2][1], "c", 1), (2, "", "c", 1)])
+
+
 def test_repeated_passages_go_and_first_ones_stay(make_docs):
     passage = ". ".join(prose(900 + i, 9) for i in range(7)) + "."
     texts = [prose(i, 30) + ". " + (passage if i in (2, 5, 9) else "") + " " + prose(50 + i, 25) + "." for i in range(12)]
@@ -63,22 +105,19 @@ def test_runs_from_sentence_starts_go(make_docs):
     r = random.Random(5)
     parts = [". ".join(prose(i, r.randrange(3, 14)) for i in range(k, k + 4)) + ". " for k in range(0, 80, 4)]
     texts = ["".join(r.choices(parts, k=4)) + prose(1000 + i, 10) for i in range(30)]
-    rows = [t.encode() for t in texts]
-    tokens, code, first, per = substring_dedup.sentences(rows)
-    seen, gone, base, word = {}, {}, 0, 0
-    for d, n in enumerate(per):
-        starts = [int(x) - word for x in first[base : base + n]] + [len(tokens[d])]
+    seen, gone = {}, {}
+    for d, (words, starts) in enumerate(zip(*words_and_starts(texts), strict=True)):
+        n = len(starts) - 1
         for i in range(n):
             j = i + 1
             while j < n and starts[j + 1] - starts[i] < 20:
                 j += 1
             if j < n and starts[j + 1] - starts[i] >= 20:
-                key = tuple(w.strip().lower() for w in tokens[d][starts[i] : starts[j + 1]])
+                key = tuple(words[starts[i] : starts[j + 1]])
                 if key in seen:
                     gone.setdefault(d, set()).update(range(i, j + 1))
                 else:
                     seen[key] = (d, i)
-        base, word = base + int(n), word + len(tokens[d])
     out = {r["doc_id"]: r["_n_removed"] for r in substring_dedup.remove_repeats(make_docs(texts)).collect()}
     assert all(out[d] >= len(gone.get(d, ())) for d in range(30)) and sum(map(len, gone.values())) > 0
 
@@ -88,23 +127,21 @@ def test_repeats_against_all_consecutive_runs(make_docs):
     parts = [". ".join(prose(2000 + i, r.choice([1, 3, 5, 5, 8, 19])) for i in range(k, k + 5)) + ". " for k in range(0, 60, 5)]
     texts = ["".join(r.choices(parts, k=3)) + prose(3000 + i, r.choice([0, 4])) for i in range(24)]
     texts.append(texts[3])
-    tokens, _, first, per = substring_dedup.sentences([t.encode() for t in texts])
-    places, base, word = {}, 0, 0
-    for d, n in enumerate(per):
-        starts = [int(x) - word for x in first[base : base + n]] + [len(tokens[d])]
-        words = [w.strip().lower() for w in tokens[d]]
+    each = words_and_starts(texts)
+    places = {}
+    for d, (words, starts) in enumerate(zip(*each, strict=True)):
+        n = len(starts) - 1
         for i in range(n):
             for j in range(i + 2, n + 1):
                 if starts[j] - starts[i] >= 20:
                     places.setdefault(tuple(words[starts[i] : starts[j]]), []).append((d, i, j))
-        base, word = base + int(n), word + len(words)
     gone = [set() for _ in texts]
     for where in places.values():
         for d, i, j in sorted(where)[1:]:
             gone[d].update(range(i, j))
     out = {r["doc_id"]: r for r in substring_dedup.remove_repeats(make_docs(texts)).collect()}
     assert [out[d]["_n_removed"] for d in range(25)] == [len(x) for x in gone]
-    assert out[24]["text"] == "" and per[24] > 0
+    assert out[24]["text"] == "" and len(each[1][24]) > 1
 
 
 def test_sentences_of_odd_documents(odd_docs, no_docs):
@@ -113,7 +150,6 @@ def test_sentences_of_odd_documents(odd_docs, no_docs):
     by = {(r["doc_id"], r["text"]): r for r in out.collect()}
     assert (3, "") in by and (4, "") in by
     assert {t for d, t in by if d is None} == {"", odd_docs.where("doc_id = 1").first()["text"]}
-    assert "".join(b"".join(x).decode() for x in substring_dedup.sentences([b" a b.\nc  "])[0]) == " a b.\nc  "
 
 
 # Benchmark
@@ -188,8 +224,6 @@ def test_near_copies_beyond_the_radius(spark, make_docs):
 
 
 def test_multi_index_finds_everything_within_the_radius():
-    import numpy as np
-
     rng = np.random.default_rng(1)
     own = decontaminate.Items.build(list(range(50)), [prose(i, 30).encode() for i in range(50)], 5)
     probes = own.prints[rng.integers(0, 50, 400)].copy()
