@@ -13,7 +13,9 @@ nothing there get the last response of the URL's earlier spans, of which there i
 with a third of all captures is as many tasks as it has spans.
 
 Defined results: records without URL, time or id do not resolve (`unmatched`) and resolve nothing.  Null headers are
-no headers; header names are compared in lower case.  Equal times are ordered by record id.  Repeated records are kept each.
+no headers; header names are compared in lower case, and the values of names that are then equal are joined by ", " in the order of
+the names as given, without nulls, repeated values once (a name with only nulls is no header).  Equal times are ordered by record id.
+Repeated records are kept each.  Other columns are ignored.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -52,7 +54,10 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         while (line := f.readline()).strip():
             name, _, value = line.decode("utf-8", "replace").partition(":")
             head[name.strip().lower()] = value.strip()
-        yield head, f.read(int(head.get("content-length", 0)))
+        size = head.get("content-length", "")
+        if not size.isdigit():
+            raise ValueError(f"record {head.get('warc-record-id')} has content-length {size!r}")
+        yield head, f.read(int(size))
 
 
 def http_head(block: bytes) -> tuple[int | None, dict[str, str], bytes]:
@@ -61,7 +66,11 @@ def http_head(block: bytes) -> tuple[int | None, dict[str, str], bytes]:
     first, *lines = head.decode("latin-1").split("\r\n")
     parts = first.split()
     status = int(parts[1]) if len(parts) > 1 and parts[0].startswith("HTTP/") and parts[1].isdigit() else None
-    return status, {n.strip().lower(): v.strip() for n, _, v in (x.partition(":") for x in lines if x)}, body
+    headers: dict[str, str] = {}
+    for name, _, value in (x.partition(":") for x in lines if x):
+        name, value = name.strip().lower(), value.strip()
+        headers[name] = f"{headers[name]}, {value}" if name in headers else value  # repeated headers are one list
+    return status, headers, body
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -102,11 +111,21 @@ def _same_tag(a: Column, b: Column) -> Column:
     return F.regexp_replace(a, "^W/", "") == F.regexp_replace(b, "^W/", "")
 
 
+def lowered(headers: Column) -> Column:
+    """Headers by lower-case name; the values of names that clash are joined."""
+    entries = F.sort_array(F.filter(F.map_entries(headers), lambda e: e["value"].isNotNull()))
+    pairs = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v")))
+    names = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+    joined = F.transform(names, lambda n: F.array_join(F.array_distinct(F.transform(F.filter(pairs, lambda p: p["k"] == n), lambda p: p["v"])), ", "))
+    plain = F.size(names) == F.size(headers)
+    return F.when(plain, F.transform_keys(headers, lambda k, _: F.lower(k))).otherwise(F.map_from_arrays(names, joined))
+
+
 def resolve_revisits(records: DataFrame, span: int = SPAN_SECONDS) -> DataFrame:
     """One row for each revisit of `records` (columns of RECORDS, others ignored): revisit_id, response_id, outcome, status, headers, digest."""
     no_headers = F.create_map().cast("map<string,string>")
-    lowered = F.transform_keys(F.coalesce("headers", no_headers), lambda k, _: F.lower(k))
-    rows = records.select("record_id", "kind", canonical_url(F.col("url")).alias("key"), "at", "status", lowered.alias("headers"), "digest")
+    headers = lowered(F.coalesce("headers", no_headers))
+    rows = records.select("record_id", "kind", canonical_url(F.col("url")).alias("key"), "at", "status", headers.alias("headers"), "digest")
     rows = rows.where(F.col("kind").isin("response", "revisit"))
     whole = F.col("key").isNotNull() & F.col("at").isNotNull() & F.col("record_id").isNotNull()
     full = (F.col("kind") == "response") & (F.col("status") == 200)

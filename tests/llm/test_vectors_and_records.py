@@ -124,6 +124,18 @@ def test_revisits_resolve_check_and_merge(spark):
     assert warc.resolve_revisits(records(spark, [])).count() == 0
 
 
+def test_header_names_that_clash(spark):
+    rows = [
+        (1, "response", "http://h/", 1, 200, {"ETag": '"a"', "etag": '"a"', "Vary": "x", "VARY": "y", "Null": None}, "d"),
+        (2, "revisit", "http://h/", 2, 304, {"ETAG": '"a"', "Via": "p", "via": "q", "X": None}, None),
+    ]
+    (r,) = warc.resolve_revisits(records(spark, rows)).collect()
+    assert (r["response_id"], r["outcome"]) == (1, "resolved") and r["headers"] == {"etag": '"a"', "vary": "y, x", "via": "p, q"}
+    assert warc.http_head(b"HTTP/1.1 200 OK\r\nA: 1\r\na: 2\r\n\r\nb") == (200, {"a": "1, 2"}, b"b")
+    with pytest.raises(ValueError, match="content-length"):
+        list(warc.parse_warc(b"WARC/1.0\r\nContent-Length: x\r\n\r\n"))
+
+
 @pytest.mark.parametrize("span", [1, 7, 1000])
 def test_as_of_join_for_any_span(spark, span):
     import random
