@@ -217,7 +217,11 @@ def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> Dat
     sizes = (F.col("probe_high") >= F.col("index_low")) & (F.col("index_high") * 100 >= F.col("probe_low") * percent)
     rooms = (F.col("probe_room") >= F.col("index_low") * percent) & (F.col("index_room") >= F.col("probe_low") * percent)
     near = prefixes("probe").join(index, "token").where((F.col("group") != F.col("other")) & sizes & rooms)
-    pairs = settle(near.select("group", "other").distinct(), "ngram-group-pairs")
+    met = near.select(F.least("group", "other").alias("g"), F.greatest("group", "other").alias("h")).distinct()
+    # Of two groups the members of the smaller ask, whichever sets are larger: the bound below holds both ways.
+    many = each.groupBy("group").agg(F.count("*").alias("many"))
+    met = met.join(many.withColumnsRenamed({"group": "g", "many": "i"}), "g").join(many.withColumnsRenamed({"group": "h", "many": "j"}), "h")
+    pairs = settle(met.select(F.when(F.col("i") <= F.col("j"), F.col("g")).otherwise(F.col("h")).alias("group"), F.when(F.col("i") <= F.col("j"), F.col("h")).otherwise(F.col("g")).alias("other")), "ngram-group-pairs")
     # A large group's matrix rows are kept by cell of about CELL members, so that a bound concerns few of them.
     cells = each.groupBy("group").agg(F.ceil(F.count("*") / CELL).alias("cells"))
     named = each.join(cells, "group").withColumn("cell", F.pmod("key", "cells")).select("key", "n", "group", "cell", F.col("shared.token").alias("mine"))
@@ -234,7 +238,7 @@ def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> Dat
     wanted = passed.join(named.select("key"), "key", "left_semi").select("key", "first")
     sets = settle(token_sets(docs, settle(wanted, "ngram-ends"), n).dropDuplicates(["key"]), "ngram-sets")
     members = named.select(F.col("key").alias("b"), F.col("group").alias("other"), "cell", F.col("n").alias("m"))
-    fits = (F.col("n") >= F.col("m")) & (F.col("m") * 100 >= F.col("n") * percent)
+    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
 
     def opened(some: DataFrame) -> DataFrame:
         """(a, group, other) of links between sets and members of the cells opened for them."""
