@@ -22,7 +22,6 @@ from __future__ import annotations
 import functools
 import math
 import os
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,7 +38,7 @@ from ..workers import ship
 from .common import add_column, documents, free_name, map_batches, release, settle, slices, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-HEAD, FLUSH_WORDS, WAVES = 300_000, 300_000, 4
+HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 300_000, 4, 1024
 #: Positions of a word that one fold goes over.
 BLOCK = 256
 #: Substrings of at most so many characters are made at every place.
@@ -128,7 +127,9 @@ class Cutter:
         edge = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))
         starts = np.ones(len(code), bool)
         kind = classes[code]
-        np.logical_not(together[kind[:-1] * n + kind[1:]], out=starts[1:])
+        pair = kind[:-1] * np.int32(n)
+        pair += kind[1:]
+        np.logical_not(together[pair], out=starts[1:])
         starts[edge[:-1][edge[:-1] < len(code)]] = True
         at = np.flatnonzero(starts)
         many = np.searchsorted(at, edge)
@@ -139,32 +140,46 @@ class Cutter:
 
 
 def word_key(word: bytes) -> bytes:
-    """128 bits that stand for a word."""
-    return xxhash.xxh3_128_digest(word)
+    """What stands for a word: itself, or if it is longer than BLOCK bytes, a byte that begins no text and its 128-bit code."""
+    return word if len(word) <= BLOCK else b"\xff" + xxhash.xxh3_128_digest(word)
 
 
 def word_counts(docs: DataFrame, cutter: Broadcast, longest: int) -> DataFrame:
-    """(key, base, part, c) of the words of all texts, several rows a word: the word's characters by BLOCK, each part with `longest` - 1 more."""
+    """(key, base, part, c) of the words of all texts, several rows a word; of a word longer than BLOCK, a row for each BLOCK characters
+    with `longest` - 1 more in `part`, which is null for others."""
+    names = ["key", "base", "part", "c"]
+
+    def plain(words: pa.Array, counts: pa.Array) -> pa.RecordBatch:
+        n = len(words)
+        return pa.record_batch([words.cast(pa.binary()), pa.array(np.zeros(n), pa.int32()), pa.nulls(n, pa.string()), counts], names)
+
+    def cut(words: pa.Array, counts: pa.Array) -> pa.RecordBatch:
+        rows = [(word_key(w), i, t[i : i + BLOCK + longest - 1], c) for w, c in zip(words.to_pylist(), counts.to_pylist(), strict=True) for t in [w.decode()] for i in range(0, len(t), BLOCK)]
+        return pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.string(), pa.int64()), strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by("w").aggregate([("c", "sum")]).rename_columns(["w", "c"])
 
-        def flush() -> pa.RecordBatch:
-            rows = [
-                (k, i, t[i : i + BLOCK + longest - 1], c) for w, c in counts.items() for k, t in [(word_key(w), w.decode())] for i in range(0, len(t), BLOCK)
-            ]
-            counts.clear()
-            key, base, part, c = zip(*rows, strict=True) if rows else ((),) * 4
-            return pa.record_batch([pa.array(key, pa.binary()), pa.array(base, pa.int32()), pa.array(part, pa.string()), pa.array(c, pa.int64())], ["key", "base", "part", "c"])
+        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            for part in table.to_batches(max_chunksize=100_000):
+                long = pc.greater(pc.binary_length(part.column(0)), BLOCK)
+                yield plain(*(part.filter(pc.invert(long)).columns))
+                if pc.any(long).as_py():
+                    yield cut(*(part.filter(long).columns))
 
         for b in batches:
-            for some in slices(b, 2048):
+            for some in slices(b, ROWS):
                 found = pc.value_counts(cutter.value.words(some.column(0))[0])
-                for w, c in zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True):
-                    counts[w] += c
-                if len(counts) > FLUSH_WORDS:
-                    yield flush()
-        yield flush()
+                held.append(pa.table([found.field(0), found.field(1)], ["w", "c"]))
+                if sum(t.num_rows for t in held) > 2 * FLUSH_WORDS:
+                    held = [merged()]
+                    if held[0].num_rows > FLUSH_WORDS:
+                        yield from flush(held.pop())
+        if held:
+            yield from flush(merged())
 
     ship(docs.sparkSession)
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "key binary, base int, part string, c long")
@@ -173,7 +188,7 @@ def word_counts(docs: DataFrame, cutter: Broadcast, longest: int) -> DataFrame:
 def edges_of(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(key, c, edge): the matches of the pieces in distinct words, packed in a long, which sorts them by end, then start.
 
-    words: (key, base, part, c).  Substrings of more than STEM characters are made only where the first STEM + 1 of them begin a piece, and
+    words: (key, base, part, c) as word_counts gives them.  Substrings of more than STEM characters are made only where the first STEM + 1 of them begin a piece, and
     at most as long as the longest such piece.
     """
     spark = words.sparkSession
@@ -184,7 +199,8 @@ def edges_of(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     reach = spark.createDataFrame(list(stems.items()) or [("", 0)], "stem string, reach int")
     pieces = spark.createDataFrame([(p, i) for i, p in enumerate(vocabulary.lattice)], "piece string, place long")
     left = F.char_length("part") - F.col("i") + 1
-    rows = words.withColumn("i", F.explode(F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.char_length("part")))))
+    rows = words.withColumn("part", F.coalesce("part", F.col("key").cast("string")))
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.char_length("part")))))
     rows = rows.withColumn("stem", F.col("part").substr(F.col("i"), F.lit(STEM + 1))).join(F.broadcast(reach), "stem", "left")
     rows = rows.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(STEM)), left))))
     rows = rows.select("key", "c", (F.col("base") + F.col("i") + F.col("size") - 1).alias("stop"), "size", F.col("part").substr(F.col("i"), F.col("size")).alias("piece"))
@@ -250,7 +266,7 @@ def long_path(blocks: Column, vocabulary: Vocabulary) -> Column:
 def best_edges(words: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataFrame:
     """(key, c, path) of distinct words: score and best edge of each position; words: settled (key, base, part, c)."""
     # Dealt out by key before they are exploded, edges are grouped where they arise.
-    inside = (F.col("base") == 0) & (F.char_length("part") <= BLOCK)
+    inside = F.col("part").isNull()
     listed = lambda x: (F.first("c").alias("c"), F.sort_array(F.collect_list(x)))
     c, edges = listed("edge")
     short = edges_of(words.where(inside).repartition(tasks, "key"), vocabulary).groupBy("key").agg(c, edges.alias("edges"))
@@ -349,14 +365,14 @@ def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep
         found, many = cutter.value.words(b.column("text"))
         found = found.dictionary_encode()
         keys, which = [word_key(w) for w in found.dictionary.to_pylist()], found.indices.to_numpy()
-        own = [known.get(k) for k in keys]
-        hole = np.array([x is None for x in own], bool)
-        size = np.array([1 if x is None else len(x) // 4 for x in own], np.int64)
-        flat, first = np.frombuffer(b"".join([HOLE if x is None else x for x in own]), np.int32), np.cumsum(size) - size
+        own = [known.get(k, HOLE) for k in keys]
+        hole = np.array([x is HOLE for x in own], bool)
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        flat, first = np.frombuffer(b"".join(own), np.int32), np.cumsum(size) - size
         each = size[which]
         end = np.cumsum(each)
-        at = np.arange(int(each.sum())) + np.repeat(first[which] - (end - each), each)
-        out = flat[at].astype(np.uint16 if small else np.int32)
+        flat = flat.astype(np.uint16 if small else np.int32)
+        out = flat[np.arange(int(each.sum())) + np.repeat(first[which] - (end - each), each)]
         row_of = np.concatenate(([0], np.cumsum(many)))
         edges = np.concatenate(([0], end))[row_of] * out.itemsize
         packed = pa.Array.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(edges), pa.py_buffer(out)]).cast(pa.binary())
@@ -365,7 +381,7 @@ def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep
         gone = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(keys, pa.binary()).take(pa.array(which[missed])))
         return pa.record_batch([*(b.column(c) for c in keep), packed, gone], [*keep, codes, holes])
 
-    part = map_batches(rows.select(*dict.fromkeys([*keep, "text"])), run, schema, rows=2048)
+    part = map_batches(rows.select(*dict.fromkeys([*keep, "text"])), run, schema, rows=ROWS)
     return Partly(settle(part.withColumn(row, F.monotonically_increasing_id()), "piece-partly"), codes, holes, row)
 
 
@@ -402,7 +418,7 @@ def fill(part: Partly, vocabulary: Vocabulary, words: Dictionary, column: str) -
         return pa.record_batch([*(b.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(out, pa.int32()))], names)
 
     schema = T.StructType([*(part.rows.schema[c] for c in keep), T.StructField(column, T.ArrayType(T.IntegerType()))])
-    return map_batches(both, run, schema, rows=2048)
+    return map_batches(both, run, schema, rows=ROWS)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "ids", dictionary: Dictionary | None = None) -> DataFrame:
@@ -436,7 +452,7 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: s
             return pa.array([decode_ids(x or [], sent.value) for x in lists.to_pylist()], pa.string())
         return pc.utf8_slice_codeunits(pc.replace_substring(text, SPACE, " "), 1).cast(pa.string())
 
-    return add_column(coded, run, column, T.StringType(), rows=2048)
+    return add_column(coded, run, column, T.StringType(), rows=ROWS)
 
 
 def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> DataFrame:
