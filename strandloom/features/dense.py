@@ -2,35 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Observation
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .encode import SEEDS, slot
 from .layout import Layout
 
 
+#: Floats that are laid out at once.
+BLOCK_FLOATS = 1 << 20
+
+
 def densify(entry_rows: DataFrame, keys: Sequence[str], width: int, rows: DataFrame | None = None) -> DataFrame:
     """(keys, vector): an array of `width` floats for each key; entries outside are ignored. rows: keys that get a vector even without entries.
 
     The vectors never leave the executors.
     """
     inside = entry_rows.where(F.col("dim").between(0, width - 1)).groupBy(*keys, "dim").agg(F.sum("value").alias("value"))
-    maps = inside.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("dim", "value"))).alias("m"))
+    maps = inside.groupBy(*keys).agg(F.collect_list(F.struct("dim", "value")).alias("m"))
     if rows is not None:
         maps = rows.select(*keys).join(maps, list(keys), "left")
-    zero = F.lit(0.0)
-    # Values are laid out by position: sorted (dim, value) pairs are merged into zeros by one pass over them.
-    pairs = F.array_sort(F.map_entries(F.coalesce("m", F.create_map().cast("map<int,double>"))))
-
-    def put(acc: Column, e: Column) -> Column:
-        return F.concat(acc, F.array_repeat(zero, e["key"] - F.size(acc)), F.array(e["value"]))
-
-    filled = F.aggregate(pairs, F.array().cast("array<double>"), put)
-    whole = F.concat(filled, F.array_repeat(zero, F.lit(width) - F.size(filled)))
-    return maps.select(*keys, whole.cast("array<float>").alias("vector"))
+    kinds = [maps.schema[k] for k in keys]
+
+    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Values to their places in a block of zeros, all rows of a slice at once."""
+        step = max(1, BLOCK_FLOATS // max(width, 1))
+        for b in batches:
+            for i in range(0, b.num_rows, step):
+                part = b.slice(i, step)
+                lists = part.column(len(keys))
+                row = np.repeat(np.arange(part.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+                flat = lists.flatten()
+                block = np.zeros((part.num_rows, width), np.float32)
+                block[row, flat.field(0).to_numpy(zero_copy_only=False)] = flat.field(1).to_numpy(zero_copy_only=False)
+                offsets = pa.array(np.arange(part.num_rows + 1) * width, pa.int32())
+                yield pa.record_batch([*part.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(block.ravel()))], [*keys, "vector"])
+
+    schema = T.StructType([*kinds, T.StructField("vector", T.ArrayType(T.FloatType()))])
+    return maps.select(*keys, "m").mapInArrow(scatter, schema)
 
 
 def sparsify(vectors: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..graph.build import dense_ids
 from ..model import union_frames
-from .encode import SEEDS, entries, slot, summed
+from ..storage import settle
+from .encode import SEEDS, Slot, entries, slot, summed
 from .layout import Layout, Part
 
 #: Categories in the order they are tested, with fragments of relation names.
@@ -51,9 +52,8 @@ def enabled(configured: Sequence[str] | None = None) -> list[str]:
 
 def indexed(edge_rows: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """Edges of enabled categories with `category` and `edge_idx`, 0-based by (src_id, dst_id) within their type."""
-    kind = W.partitionBy("src_type", "relation", "dst_type").orderBy("src_id", "dst_id")
     out = edge_rows.withColumn("category", category(F.col("relation"))).where(F.col("category").isin(enabled(categories)))
-    return out.withColumn("edge_idx", F.row_number().over(kind).cast("long") - 1)
+    return dense_ids(out, ["src_type", "relation", "dst_type"], ["src_id", "dst_id"], "edge_idx")
 
 
 KEYS = ["src_type", "relation", "dst_type", "edge_idx"]
@@ -74,11 +74,7 @@ def with_ends(edge_rows: DataFrame, props: DataFrame, names: Sequence[str]) -> D
     return edge_rows
 
 
-def _hash_slot(text: str, seed: int, part: Part) -> Column:
-    return slot(F.lit(text), seed, part)
-
-
-def temporal_entries(edge_rows: DataFrame, props: DataFrame, layout: Layout) -> DataFrame:
+def temporal_entries(edge_rows: DataFrame, props: DataFrame, layout: Layout, at: Slot = slot) -> DataFrame:
     """Months between the ends over 12, its size, same year, consecutive months, same quarter, direction; other categories get an indicator."""
     rows = with_ends(edge_rows, props, ["month", "year"])
     known = F.col("src_month").isNotNull() & F.col("dst_month").isNotNull() & F.col("src_year").isNotNull() & F.col("dst_year").isNotNull()
@@ -88,9 +84,9 @@ def temporal_entries(edge_rows: DataFrame, props: DataFrame, layout: Layout) ->
     flag = lambda c: F.when(c, 1.0).otherwise(0.0)
     same_year = F.col("src_year") == F.col("dst_year")
     quarter = lambda s: F.floor((F.col(f"{s}_month") - 1) / 3)
-    pairs = [(_hash_slot("time_delta", 0, td), F.col("delta") / 12)]
+    pairs = [(at(F.lit("time_delta"), 0, td), F.col("delta") / 12)]
     if td.dim >= 2:
-        pairs.append((_hash_slot("abs_time_delta", 7, td), F.abs(F.col("delta")) / 12))
+        pairs.append((at(F.lit("abs_time_delta"), 7, td), F.abs(F.col("delta")) / 12))
     pairs.append((F.lit(pf.start), flag(same_year)))
     if pf.dim >= 2:
         pairs.append((F.lit(pf.start + 1), flag(F.abs("delta") == 1)))
@@ -98,11 +94,11 @@ def temporal_entries(edge_rows: DataFrame, props: DataFrame, layout: Layout) ->
         pairs.append((F.lit(pf.start + 2), flag(same_year & (quarter("src") == quarter("dst")))))
     pairs.append((F.lit(way.start), F.signum("delta")))
     timed = entries(rows.where("category = 'temporal'"), KEYS, pairs)
-    other = entries(rows.where("category <> 'temporal'"), KEYS, [(slot(F.col("category"), 50, td), F.lit(1.0))])
+    other = entries(rows.where("category <> 'temporal'"), KEYS, [(at(F.col("category"), 50, td), F.lit(1.0))])
     return timed.unionByName(other)
 
 
-def contrast_entries(edge_rows: DataFrame, props: DataFrame, layout: Layout) -> DataFrame:
+def contrast_entries(edge_rows: DataFrame, props: DataFrame, layout: Layout, at: Slot = slot) -> DataFrame:
     """Difference, clamped ratio and mean magnitude of each number both ends state; where no edge of a type shares one, what its category compares."""
     d, r, m = layout["difference"], layout["ratio"], layout["magnitude"]
     one = props.withColumnsRenamed({"node_type": "src_type", "node_id": "src_id", "value": "x"})
@@ -110,16 +106,16 @@ def contrast_entries(edge_rows: DataFrame, props: DataFrame, layout: Layout) ->
     both = edge_rows.join(one, ["src_type", "src_id"]).join(two, ["dst_type", "dst_id", "predicate"])
     ratio = F.when(F.abs("x") > 1e-8, F.greatest(F.lit(-10.0), F.least(F.lit(10.0), F.try_divide("y", "x")))).otherwise(0.0)
     p = F.col("predicate")
-    shared = entries(both, KEYS, [(slot(p, 500, d), F.col("y") - F.col("x")), (slot(p, 501, r), ratio), (slot(p, 502, m), (F.abs("x") + F.abs("y")) / 2)])
+    shared = entries(both, KEYS, [(at(p, 500, d), F.col("y") - F.col("x")), (at(p, 501, r), ratio), (at(p, 502, m), (F.abs("x") + F.abs("y")) / 2)])
     types = both.select("src_type", "relation", "dst_type").distinct()
     rest = with_ends(edge_rows, props, ["strike", "price", "severity"]).join(types, ["src_type", "relation", "dst_type"], "left_anti")
     strike, price = F.col("src_strike"), F.col("dst_price")
     share = F.when(F.abs(price) > 1e-8, F.try_divide(strike, price)).otherwise(1.0)
     options = rest.where("category = 'option_stock' AND src_strike IS NOT NULL AND dst_price IS NOT NULL")
     fallback = entries(options, KEYS, [
-        (_hash_slot("moneyness", 510, d), share), (_hash_slot("log_moneyness", 511, r), F.log(F.greatest(share, F.lit(1e-8)))), (_hash_slot("strike_stock_diff", 512, m), strike - price)])
+        (at(F.lit("moneyness"), 510, d), share), (at(F.lit("log_moneyness"), 511, r), F.log(F.greatest(share, F.lit(1e-8)))), (at(F.lit("strike_stock_diff"), 512, m), strike - price)])
     alerts = rest.where("category = 'escalation' AND src_severity IS NOT NULL AND dst_severity IS NOT NULL")
-    worse = entries(alerts, KEYS, [(_hash_slot("severity_delta", 520, d), F.col("dst_severity") - F.col("src_severity"))])
+    worse = entries(alerts, KEYS, [(at(F.lit("severity_delta"), 520, d), F.col("dst_severity") - F.col("src_severity"))])
     return union_frames([shared, fallback, worse])
 
 
@@ -129,7 +125,7 @@ def word_jaccard(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(words(a), words(b))) / F.size(F.array_union(words(a), words(b)))
 
 
-def context_entries(edge_rows: DataFrame, labels: DataFrame, layout: Layout) -> DataFrame:
+def context_entries(edge_rows: DataFrame, labels: DataFrame, layout: Layout, at: Slot = slot) -> DataFrame:
     """Same or other source, sources, likeness of labels for correlation and cause, relation and category."""
     ns, ls, ri = layout["namespace"], layout["label_similarity"], layout["relation_identity"]
     prefix = lambda c: F.split(c, "_").getItem(0)
@@ -141,8 +137,8 @@ def context_entries(edge_rows: DataFrame, labels: DataFrame, layout: Layout) ->
     if ns.dim >= 3:
         rest = Part(ns.start + 2, max(1, ns.dim - 2))
         for s in SEEDS[:2]:
-            pairs += [(slot(F.col("src_ns"), s + 700, rest), F.lit(1.0)), (slot(F.col("dst_ns"), s + 710, rest), F.lit(0.5))]
-    pairs += [(slot(F.col("relation"), s + 900, ri), F.lit(1.0)) for s in SEEDS[:2]] + [(slot(F.col("category"), 950, ri), F.lit(0.5))]
+            pairs += [(at(F.col("src_ns"), s + 700, rest), F.lit(1.0)), (at(F.col("dst_ns"), s + 710, rest), F.lit(0.5))]
+    pairs += [(at(F.col("relation"), s + 900, ri), F.lit(1.0)) for s in SEEDS[:2]] + [(at(F.col("category"), 950, ri), F.lit(0.5))]
     base = entries(rows, KEYS, pairs)
     one = labels.groupBy("node_type", "node_id").agg(F.min("label").alias("src_label")).withColumnsRenamed({"node_type": "src_type", "node_id": "src_id"})
     two = labels.groupBy("node_type", "node_id").agg(F.min("label").alias("dst_label")).withColumnsRenamed({"node_type": "dst_type", "node_id": "dst_id"})
@@ -151,15 +147,15 @@ def context_entries(edge_rows: DataFrame, labels: DataFrame, layout: Layout) ->
     alike = [(F.lit(ls.start), F.col("sim"))]
     if ls.dim >= 2:
         key = F.concat(F.coalesce("src_label", F.lit("")), F.lit("::"), F.coalesce("dst_label", F.lit("")))
-        alike.append((slot(key, 800, Part(ls.start + 1, max(1, ls.dim - 1))), F.col("sim")))
-    other = entries(rows.where(~wordy), KEYS, [(slot(F.col("category"), 810, ls), F.lit(1.0))])
+        alike.append((at(key, 800, Part(ls.start + 1, max(1, ls.dim - 1))), F.col("sim")))
+    other = entries(rows.where(~wordy), KEYS, [(at(F.col("category"), 810, ls), F.lit(1.0))])
     return union_frames([base, entries(named, KEYS, alike), other])
 
 
-def edge_features(edge_rows: DataFrame, props: DataFrame, labels: DataFrame, layout: Layout, categories: Sequence[str] | None = None) -> DataFrame:
+def edge_features(edge_rows: DataFrame, props: DataFrame, labels: DataFrame, layout: Layout, categories: Sequence[str] | None = None, at: Slot = slot) -> DataFrame:
     """(src_type, relation, dst_type, edge_idx, dim, value) for all enabled edges in one plan. props: (node_type, node_id, predicate, value)."""
-    rows = indexed(edge_rows, categories)
-    return summed(union_frames([temporal_entries(rows, props, layout), contrast_entries(rows, props, layout), context_entries(rows, labels, layout)]), KEYS)
+    rows = settle(indexed(edge_rows, categories), "edges-indexed")
+    return summed(union_frames([temporal_entries(rows, props, layout, at), contrast_entries(rows, props, layout, at), context_entries(rows, labels, layout, at)]), KEYS)
 
 
 def property_rows(props: DataFrame) -> DataFrame:

@@ -80,14 +80,14 @@ def class_hierarchy(node_ids: DataFrame, kinds: DataFrame, triples: DataFrame, l
     return entries(rows, ["node_type", "node_id"], [(at(F.col("superclass_uri"), s + 100, layout["class_hierarchy"]), 1 / F.col("depth")) for s in SEEDS[:2]])
 
 
-def ontology_source(node_ids: DataFrame, kinds: DataFrame, namespaces: Sequence[str], frozen: Sequence[str], layout: Layout) -> DataFrame:
+def ontology_source(node_ids: DataFrame, kinds: DataFrame, namespaces: Sequence[str], frozen: Sequence[str], layout: Layout, at: Slot = slot) -> DataFrame:
     """The place of the class's namespace (1.0) and, half a part on, of the node's own (0.5): a frozen index, else a hash."""
     part = layout["ontology_source"]
 
     def place(uri: Column) -> Column:
         out = F.lit(None).cast("int")
         for n in reversed(namespaces):
-            where = F.lit(frozen.index(n) % part.dim) if n in frozen else F.abs(F.hash(F.lit(n), F.lit(700)).cast("bigint")) % part.dim
+            where = F.lit(frozen.index(n) % part.dim) if n in frozen else at(F.lit(n), 700, Part(0, part.dim))
             out = F.when(uri.startswith(n), where.cast("int")).otherwise(out)
         return out
 
@@ -132,7 +132,7 @@ def categorical_entries(literal_rows: DataFrame, shares: DataFrame, layout: Layo
     return entries(labels, ["node_type", "node_id"], [(at(F.col("key"), s + 600, layout["categorical"]), F.lit(1.0)) for s in SEEDS])
 
 
-def node_features(triples: DataFrame, node_ids: DataFrame, kinds: DataFrame, literal_rows: DataFrame, layout: Layout, namespaces: Sequence[str] = (), frozen: Sequence[str] = (), identifiers: Sequence[str] = (), codes: Sequence[str] = (), normalise: bool = True) -> DataFrame:
+def node_features(triples: DataFrame, node_ids: DataFrame, kinds: DataFrame, literal_rows: DataFrame, layout: Layout, namespaces: Sequence[str] = (), frozen: Sequence[str] = (), identifiers: Sequence[str] = (), codes: Sequence[str] = (), normalise: bool = True, at: Slot = slot) -> DataFrame:
     """(node_type, node_id, dim, value) over all parts. What several parts read is written once."""
     literal_rows = settle(literal_rows, "literals")
     shares = settle(numeric_shares(literal_rows, codes), "shares")
@@ -140,14 +140,14 @@ def node_features(triples: DataFrame, node_ids: DataFrame, kinds: DataFrame, lit
     scored = z_scores(means, normalisation(means)) if normalise else means.withColumn("z", F.col("value"))
     stated = settle(node_properties(triples, node_ids), "stated")
     parts = [
-        class_identity(node_ids, kinds, layout),
-        class_hierarchy(node_ids, kinds, triples, layout),
-        ontology_source(node_ids, kinds, namespaces, frozen, layout),
-        property_presence(stated, layout),
-        domain_range(stated, triples, layout),
-        property_hierarchy(stated, triples, layout),
-        numeric_entries(scored, layout),
-        categorical_entries(literal_rows, shares, layout, identifiers),
+        class_identity(node_ids, kinds, layout, at),
+        class_hierarchy(node_ids, kinds, triples, layout, at),
+        ontology_source(node_ids, kinds, namespaces, frozen, layout, at),
+        property_presence(stated, layout, at),
+        domain_range(stated, triples, layout, at),
+        property_hierarchy(stated, triples, layout, at),
+        numeric_entries(scored, layout, at=at),
+        categorical_entries(literal_rows, shares, layout, identifiers, at),
     ]
     return summed(union_frames(parts), ["node_type", "node_id"])
 

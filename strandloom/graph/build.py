@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..model import META_NAMESPACES, NOT_EDGES, TYPE, looks_like_uri, number_of, starts_with_any
 from ..naming import Namespaces, origin
+from ..storage import settle
 
 
 @dataclass(frozen=True)
@@ -55,29 +56,29 @@ def nodes(triples: DataFrame, names: Namespaces, filters: TypeFilter = TypeFilte
     counts = rows.groupBy("node_type").agg(F.count("*").alias("n"))
     narrow = subsumed_types(rows).withColumn("narrow", F.lit(1))
     ranks = counts.join(narrow, "node_type", "left")
-    pin = F.lit(len(filters.pinned))
-    for i, t in reversed(list(enumerate(filters.pinned))):
-        pin = F.when(F.col("node_type") == t, F.lit(i)).otherwise(pin)
+    place = F.array_position(F.array(*map(F.lit, filters.pinned)).cast("array<string>"), F.col("node_type"))
+    pin = F.when(place > 0, place).otherwise(len(filters.pinned) + 1)
     # The best type of a URI is a minimum, so it is found by a partial aggregate instead of a sort.
     order = F.struct(pin.alias("pin"), F.coalesce("narrow", F.lit(0)).alias("narrow"), "n", "node_type")
     best = rows.join(ranks, "node_type").groupBy("uri").agg(F.min(order).alias("b")).select("uri", "b.node_type")
     return dense_ids(best, "node_type", ["uri"], "node_id").select("node_type", "node_id", "uri")
 
 
-def dense_ids(df: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
+def dense_ids(df: DataFrame, group: str | Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """0-based row numbers by `order` within `group`, of any size: ranges are sorted apart, and each adds the sizes of those before it.
 
-    `row_number` over a group would sort it in one task. Here rows are range-partitioned by (group, order) and
-    numbered within partition, and only one count for each group and partition is carried over. Rows must be
-    distinct in (group, order).
+    `row_number` over a group would sort it in one task. Here rows are range-partitioned and sorted by (group, order) once, and
+    written with their place, as ranges are sampled anew each time a plan runs; only one count for each group and partition is
+    carried over. Rows must be distinct in (group, order). group: a column or several.
     """
+    groups = [group] if isinstance(group, str) else list(group)
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(parts, group, *order).withColumn("_part", F.spark_partition_id())
-    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    inside = F.row_number().over(W.partitionBy(group, "_part").orderBy(*order))
-    numbered = ranged.withColumn("_inside", inside).join(before.drop("_n"), [group, "_part"])
-    return numbered.withColumn(name, F.col("_before") + F.col("_inside") - 1).drop("_before", "_inside", "_part")
+    ranged = df.repartitionByRange(parts, *groups, *order).sortWithinPartitions(*groups, *order)
+    ranged = settle(ranged.withColumn("_row", F.monotonically_increasing_id()), "ranged").withColumn("_part", F.shiftright("_row", 33))
+    counts = ranged.groupBy(*groups, "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    earlier = W.partitionBy(*groups).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select(*groups, "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return ranged.join(before, [*groups, "_part"]).withColumn(name, F.col("_row") + F.col("_shift")).drop("_row", "_part", "_shift")
 
 
 def edges(triples: DataFrame, node_ids: DataFrame, names: Namespaces, only: Sequence[str] = ()) -> DataFrame:

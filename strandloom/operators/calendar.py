@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..model import LABEL, SAME_AS, TYPE, as_triples, union_frames
+from ..storage import settle
 
 #: Fixed values.
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
@@ -37,7 +38,8 @@ def periods_of(dated: DataFrame, subject: str, date: str, prefix: str) -> DataFr
 def finest(periods: DataFrame) -> DataFrame:
     """Each subject's periods of the finest grain it has; all ties stay."""
     order = F.array_position(F.array(*map(F.lit, GRAINS)), F.col("kind"))
-    return periods.withColumn("_r", F.rank().over(W.partitionBy("subject").orderBy(order))).where("_r = 1").drop("_r")
+    best = periods.groupBy(F.col("subject").alias("_s")).agg(F.min(order).alias("_r"))
+    return periods.join(best, (F.col("subject") == F.col("_s")) & (order == F.col("_r"))).drop("_s", "_r")
 
 
 def hub(prefix: str) -> Column:
@@ -50,7 +52,9 @@ def unify_periods(periods: DataFrame, prefix: str, ontology: str) -> DataFrame:
 
     periods: (period, name, kind) and, for those with a subject, subject; day names are ISO dates.
     """
-    known = periods.select("period", "name", "kind", hub(prefix).alias("hub")).distinct()
+    if "subject" in periods.columns:
+        periods = settle(periods, "periods")  # subjects have far more rows than there are periods, and two branches read them
+    known = settle(periods.select("period", "name", "kind", hub(prefix).alias("hub")).distinct(), "known-periods")
     hubs = known.select("hub", "name", "kind").distinct()
     kinds = F.concat(F.lit(f"{ontology}Unified"), F.initcap("kind"))
     days = hubs.where("kind = 'day'")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A table this small, counted when the plan is made, is broadcast for a join without equality; a larger one is refused.
@@ -19,9 +18,11 @@ def exact_or_latest(left: DataFrame, right: DataFrame, key: str, time: str, valu
     Adds `value` of right. right's latest row is by time, then tail.
     """
     exact = left.join(right.select(key, time, value), [key, time])
-    last = right.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy(F.desc(time), F.desc(tail)))).where("_n = 1").select(key, value)
     any_exact = exact.agg((F.count("*") > 0).alias("_any"))
-    fallback = left.join(last, key).crossJoin(F.broadcast(any_exact)).where("NOT _any").drop("_any")
+    # Both sides pass the gate before they are aggregated and joined: where it is shut, they are empty.
+    gate = lambda df: df.crossJoin(F.broadcast(any_exact)).where("NOT _any").drop("_any")
+    last = gate(right).groupBy(key).agg(F.max_by(F.struct(value), F.struct(time, tail)).alias("_last")).select(key, F.col(f"_last.{value}").alias(value))
+    fallback = gate(left).join(last, key)
     return exact.unionByName(fallback.select(*exact.columns))
 
 
@@ -85,8 +86,9 @@ def pattern_pairs(df: DataFrame, entity: str, text: Column, pairs: Sequence[tupl
 
 
 def best_of(df: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
-    """One row for each key, the first by order."""
-    return df.withColumn("_n", F.row_number().over(W.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
+    """One row for each key, the first by ascending order: a minimum, which is aggregated before anything is dealt out."""
+    first = F.min_by(F.struct(*df.columns), F.struct(*order))
+    return df.groupBy(*key).agg(first.alias("_first")).select("_first.*")
 
 
 def stated_or_derived(entities: DataFrame, stated: DataFrame, derived: DataFrame, key: str, name: str) -> DataFrame:

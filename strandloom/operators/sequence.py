@@ -36,7 +36,7 @@ def escalations(df: DataFrame, entity: str, partition: list[str], order: list[st
 
 
 def latest(df: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
-    """The first row of each key by the order: give it descending for the latest, and total."""
+    """The first row of each key by the order: give it descending for the latest, and total. Only a key's first row of each task is dealt out."""
     return df.withColumn("_n", F.row_number().over(W.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
 
 

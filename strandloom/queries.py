@@ -111,13 +111,13 @@ def relation_groups(spark, folder):
     return groups.withColumn("relations", F.array_join("relations", ","))
 
 
-@query(f"""WITH k AS (SELECT '{IDS}part/' || p_partkey AS uri, 'star_Part' AS general, 'star_' || p_type AS narrow FROM part WHERE p_size < 10),
+@query(f"""WITH k AS (SELECT '{IDS}part/' || p_partkey AS uri, 'star_Part' AS general, 'star_' || p_type AS narrow FROM part),
  t AS (SELECT uri, general AS node_type FROM k UNION ALL SELECT uri, narrow FROM k),
  n AS (SELECT node_type, count(*) AS n FROM t GROUP BY 1),
  s AS (SELECT n.node_type FROM n WHERE n.n < (SELECT max(n) FROM n))
  SELECT 'star_Part' AS node_type, (SELECT count(*) FROM k) AS nodes, (SELECT string_agg(node_type, ',' ORDER BY node_type) FROM s) AS subsumed""")
 def type_subsumption(spark, folder):
-    rows = table(spark, folder, "part").where("p_size < 10")
+    rows = table(spark, folder, "part")
     s = uri("part", F.col("p_partkey"))
     facts = as_triples(rows, s, TYPE, F.lit(ONTOLOGY + "Part")).unionByName(as_triples(rows, s, TYPE, F.concat(F.lit(ONTOLOGY), "p_type")))
     kinds = build.type_rows(facts, NAMESPACES)
@@ -348,10 +348,10 @@ def sector_crosswalk(spark, folder):
     return hubs.crosswalk(rows, joins.small_table(rows, SEGMENTS, "c_mktsegment string, target string"), "c_mktsegment", present, "target").select("c_custkey", "target")
 
 
-@query("SELECT DISTINCT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey WHERE c_acctbal > 9000")
+@query("SELECT DISTINCT c_mktsegment, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey")
 def leads_through_shared(spark, folder):
-    customers = table(spark, folder, "customer").where("c_acctbal > 9000").select("c_custkey", F.col("c_nationkey").alias("n"))
-    return hubs.through(customers, table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n")), "n", "c_custkey", "s_suppkey")
+    customers = table(spark, folder, "customer").select("c_mktsegment", F.col("c_nationkey").alias("n"))
+    return hubs.through(customers, table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n")), "n", "c_mktsegment", "s_suppkey")
 
 
 @query("SELECT p_brand, p_type, CASE WHEN n > 1 THEN 'subsumption' ELSE 'equivalence' END AS relation FROM (SELECT p_brand, min(p_type) AS p_type FROM part GROUP BY 1) JOIN (SELECT p_type, count(*) AS n FROM (SELECT p_brand, min(p_type) AS p_type FROM part GROUP BY 1) GROUP BY 1) USING (p_type)")
@@ -581,8 +581,10 @@ def edge_feature_entries(spark, folder):
 
 @query()
 def node_vectors(spark, folder):
-    _, nodes, _, _ = _graph(spark, folder)
-    return dense.densify(node_feature_entries(spark, folder), ["node_type", "node_id"], 128, nodes)
+    facts, nodes, _, literal_rows = _graph(spark, folder)
+    kinds = build.type_uris(facts, nodes, NAMESPACES)
+    found = encode.node_features(facts, nodes, kinds, literal_rows, node_layout(128), [ONTOLOGY, IDS], [ONTOLOGY])
+    return dense.densify(found, ["node_type", "node_id"], 128, nodes)
 
 
 @query("SELECT 'star_Customer' AS node_type, 2 * (SELECT count(*) FROM customer) AS total, 0 AS month, 0 AS year UNION ALL SELECT 'star_Nation', 2 * (SELECT count(*) FROM nation), 0, 0")
@@ -664,23 +666,13 @@ def meeting_points(spark, folder):
     return paths.meeting_points([*reaches, table(spark, folder, "nation").where("n_regionkey IN (0, 1)")], "n_nationkey")
 
 
-@query("""WITH RECURSIVE l AS (SELECT 'c' || c_custkey AS a, 'n' || c_nationkey AS b FROM customer WHERE c_custkey < 40 UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation), u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+@query("""WITH RECURSIVE l AS (SELECT 'c' || c_custkey AS a, 'n' || c_nationkey AS b FROM customer UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation), u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
  w AS (SELECT 'r0' AS node, 0 AS distance UNION SELECT u.b, distance + 1 FROM w JOIN u ON u.a = w.node WHERE distance < 6) SELECT node, min(distance) AS distance FROM w GROUP BY node""")
 def breadth_first(spark, folder):
-    return _from_first_region(spark, folder, table(spark, folder, "customer").where("c_custkey < 40"), most=6)
-
-
-@query()
-def breadth_first_all(spark, folder):
-    """breadth_first over every customer, whose recursive SQL would be too slow."""
-    return _from_first_region(spark, folder, table(spark, folder, "customer"))
-
-
-def _from_first_region(spark, folder, customers, most=None):
     named = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
-    links = customers.select(named("c", "c_custkey").alias("src"), named("n", "c_nationkey").alias("dst"))
+    links = table(spark, folder, "customer").select(named("c", "c_custkey").alias("src"), named("n", "c_nationkey").alias("dst"))
     links = links.unionByName(table(spark, folder, "nation").select(named("n", "n_nationkey").alias("src"), named("r", "n_regionkey").alias("dst")))
-    return paths.distances(links, spark.createDataFrame([("r0",)], "node string"), most=most)
+    return paths.distances(links, spark.createDataFrame([("r0",)], "node string"))
 
 
 @query("SELECT o_custkey, count(*) AS contracts, count(*) FILTER (WHERE o_orderstatus = 'F') AS calls, count(*) FILTER (WHERE o_orderstatus = 'O') AS puts, min(o_totalprice) AS low, max(o_totalprice) AS high FROM orders GROUP BY 1")

@@ -6,6 +6,7 @@ import datetime as dt
 import decimal
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -229,24 +230,29 @@ class _Turtle:
         raise TurtleError(f"{value!r} is no term")
 
 
-def blank_labels(rows: list[tuple[str, str, str, str]], rounds: int = 3) -> dict[str, str]:
+def blank_labels(rows: list[tuple[str, str, str, str]]) -> dict[str, str]:
     """A label for each blank node made from what is said about it, so that one document gives the same rows every time.
 
-    Each round hashes a node's neighbourhood with the neighbours' labels of the round before; nodes that stay alike are numbered.
+    Partition refinement: all blank nodes begin in one class; nodes stay together while their facts, with classes in place of blank neighbours,
+    are equal.  It ends when no class splits, so nodes that no facts tell apart are the only ones that share a class; they are numbered.
     """
-    out = {t: "" for r in rows for t in (r[0], r[2]) if t.startswith("_:")}
-    around: dict[str, list[tuple[str, str, str]]] = {b: [] for b in out}
+    facts: dict[str, list[tuple[str, bool, str]]] = {}
     for s, p, o, _ in rows:
-        if s in around:
-            around[s].append((">", p, o))
-        if o in around:
-            around[o].append(("<", p, s))
-    for _ in range(rounds):
-        out = {b: hashlib.sha1("\n".join(sorted(f"{way}|{p}|{out.get(x, x)}" for way, p, x in facts)).encode()).hexdigest() for b, facts in around.items()}
-    groups: dict[str, list[str]] = {}
-    for b, h in out.items():
-        groups.setdefault(h, []).append(b)
-    return {b: f"_:{h[:32]}" + (f"_{i}" if len(same) > 1 else "") for h, same in groups.items() for i, b in enumerate(same)}
+        for node, other, forward in ((s, o, True), (o, s, False)):
+            if node.startswith("_:"):
+                facts.setdefault(node, []).append((p, forward, other))
+    digest = dict.fromkeys(facts, "")
+    classes = 0
+    while classes < (found := len(set(digest.values()))):
+        classes = found
+        seen = {n: sorted((p, forward, digest.get(x, x), x in digest) for p, forward, x in own) for n, own in facts.items()}
+        digest = {n: hashlib.sha256(repr((digest[n], own)).encode()).hexdigest() for n, own in seen.items()}
+    order: Counter[str] = Counter()
+    labels = {}
+    for node, code in digest.items():
+        labels[node] = f"_:b{code[:24]}" + (f"n{order[code]}" if order[code] else "")
+        order[code] += 1
+    return labels
 
 
 def turtle_rows(text: str) -> list[tuple[str, str, str, str]]:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder where none is set (tests, one machine)."""
+    """spark.checkpoint.dir. Where none is set, a temporary folder if driver and executors are one process, else an error: they would not share it."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not found:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="strandloom-"))
         found = sc.getCheckpointDir()
@@ -29,6 +31,12 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> bool:
+    """Deletes what this package has written to the shared folder, when no frame that reads it is needed any more; false if there was nothing."""
+    fs, p = _at(spark, f"{shared_dir(spark)}/strandloom")
+    return fs.delete(p, True)
+
+
 def _at(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -68,3 +68,14 @@ def chain_summary(options: DataFrame, chain: list[str], right: str, strike: str)
     return options.groupBy(*chain).agg(
         F.count("*").alias("contracts"), F.count_if(F.col(right) == "CALL").alias("calls"), F.count_if(F.col(right) == "PUT").alias("puts"), F.min(strike).alias("low"), F.max(strike).alias("high")
     )
+
+
+def cross_section(quotes: DataFrame, key: str, time: str, value: str, at: str, tie: str) -> DataFrame:
+    """(key, value, quotes): the newest value of each key up to a time, and how many there were; equal times are ordered by tie."""
+    some = quotes.where(F.col(time) <= F.lit(at).cast("timestamp"))
+    return some.groupBy(key).agg(F.max_by(value, F.struct(time, tie)).alias(value), F.count("*").alias("quotes"))
+
+
+def number_series(rows: DataFrame, key: list[str], period: str, newest: list[str], value: str) -> DataFrame:
+    """(*key, period, value): for each period the value stated last."""
+    return rows.groupBy(*key, period).agg(F.max_by(value, F.struct(*newest)).alias(value))

@@ -298,3 +298,29 @@ def test_streamed_files(spark, tmp_path):
 
 def test_subclass_predicate_constant():
     assert SUBCLASS.endswith("subClassOf")
+
+
+def test_dense_ids_without_exchange_reuse(spark):
+    """Ranges are sampled once, so ids are dense whatever Spark plans again."""
+    rows = spark.range(40_000, numPartitions=7).selectExpr("concat('t', id % 3) AS kind", "concat('u', hash(id), '-', id) AS uri")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = build.dense_ids(rows, "kind", ["uri"], "n").toPandas()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    for _, g in out.groupby("kind"):
+        assert list(g.sort_values("uri").n) == list(range(len(g)))
+
+
+def test_shared_folder_is_required_off_one_machine():
+    from types import SimpleNamespace as N
+
+    from strandloom import storage
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    sc = N(getConf=lambda: Conf(), getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        storage.shared_dir(N(sparkContext=sc, conf=Conf()))

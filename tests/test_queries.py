@@ -5,7 +5,11 @@ from __future__ import annotations
 import pytest
 
 from conftest import same_rows
-from strandloom.queries import ORACLES, QUERIES
+from strandloom import domain_queries
+from strandloom.queries import ORACLES as _ORACLES
+from strandloom.queries import QUERIES as _QUERIES
+
+QUERIES, ORACLES = _QUERIES | domain_queries.QUERIES, _ORACLES | domain_queries.ORACLES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -35,6 +39,6 @@ def test_breadth_first_over_all_customers(spark, data, duck):
         step += 1
         edge = {b for a in edge for b in near[a]} - set(want)
         want |= dict.fromkeys(edge, step)
-    rows = QUERIES["breadth_first_all"](spark, data).collect()
+    rows = QUERIES["breadth_first"](spark, data).collect()
     assert {r["node"]: r["distance"] for r in rows} == want and len(rows) == len(want)
     assert any(n[0] == "c" and int(n[1:]) >= 40 for n in want)
