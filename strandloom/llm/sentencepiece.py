@@ -38,14 +38,13 @@ from ..workers import ship
 from .common import add_column, documents, free_name, map_batches, release, settle, slices, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 300_000, 4, 1024
+HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 200_000, 4, 512
 #: Positions of a word that one fold goes over.
 BLOCK = 256
 #: Substrings of at most so many characters are made at every place.
 STEM = 3
 #: A code is a piece's place in the lattice's pieces or UNKNOWN + a code point; an edge is its end, LONGEST less its length, and its code in one long.
 UNKNOWN, CODE_BITS, LONGEST, STOP_SHIFT = 1 << 22, 23, 255, 31
-HOLE = np.int32(-1).tobytes()
 #: Tasks of the lattice for each shuffle partition: edges are some forty times the bytes of their words.
 TASKS = 4
 SPACE = "▁"
@@ -108,12 +107,15 @@ class Cutter:
     def tables(self) -> tuple[np.ndarray, np.ndarray, int]:
         """Class of each code point (0 for those of no piece), whether two classes stand together, and the number of classes."""
         if self._tables is None:
-            classes = np.zeros(0x110000, np.int32)
+            classes = np.zeros(0x110000, np.uint16)
             classes[[ord(c) for c in self.letters]] = np.arange(1, len(self.letters) + 1)
             n = len(self.letters) + 1
+            if n > 0xFFFF:
+                raise ValueError(f"{n} characters are more than classes have room for")
             together = np.zeros(n * n, bool)
             if self.pairs:
-                together[classes[[ord(p[0]) for p in self.pairs]] * n + classes[[ord(p[1]) for p in self.pairs]]] = True
+                a, b = (classes[[ord(p[i]) for p in self.pairs]].astype(np.int64) for i in (0, 1))
+                together[a * n + b] = True
             self._tables = classes, together, n
         return self._tables
 
@@ -127,7 +129,8 @@ class Cutter:
         edge = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))
         starts = np.ones(len(code), bool)
         kind = classes[code]
-        pair = kind[:-1] * np.int32(n)
+        pair = kind[:-1].astype(np.uint32)
+        pair *= np.uint32(n)
         pair += kind[1:]
         np.logical_not(together[pair], out=starts[1:])
         starts[edge[:-1][edge[:-1] < len(code)]] = True
@@ -307,6 +310,22 @@ def walked(column: pa.ListArray, ids: np.ndarray, byte_ids: list[int]) -> pa.Arr
     return pa.Array.from_buffers(pa.binary(), len(column), [None, edges, pa.py_buffer(flat.astype(np.int32))])
 
 
+@dataclass
+class Head:
+    """Frequent words and their ids, packed: words is an Arrow array, that of word i are codes[at[i]:at[i + 1]]; the last code stands for a hole."""
+
+    words: pa.Array
+    codes: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table, names: int) -> Head:
+        ids = table["ids"].to_pylist()
+        codes = np.append(np.frombuffer(b"".join(ids), np.int32), -1)
+        at = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)))
+        return cls(table["key"].combine_chunks().cast(pa.large_binary()), codes.astype(np.uint16 if names < 0xFFFF else np.int32), at)
+
+
 @dataclass
 class Dictionary:
     """coded: settled (key, c, ids), ids as packed 32-bit numbers, of all words of a corpus; head: those of the most frequent ones, broadcast."""
@@ -338,8 +357,8 @@ class Dictionary:
             if total > HEAD:
                 break
             least = r["level"]
-        head = {bytes(r["key"]): bytes(r["ids"]) for r in coded.where(level >= least).select("key", "ids").toLocalIterator()}
-        return cls(coded, cutter, spark.sparkContext.broadcast(head))
+        top = coded.where((level >= least) & (F.octet_length("key") <= BLOCK) & ~F.startswith("key", F.lit(b"\xff"))).select("key", "ids").toArrow()
+        return cls(coded, cutter, spark.sparkContext.broadcast(Head.of(top, len(vocabulary.names))))
 
 
 @dataclass
@@ -356,29 +375,29 @@ def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep
     """One pass over the texts; keep: the columns that go on."""
     sent, cutter = words.head, words.cutter
     codes, holes, row = (free_name(docs, x) for x in ("codes", "holes", "row"))
-    small = len(vocabulary.names) < 0xFFFF
     rows = docs.withColumn("text", F.col("text").cast("string"))
     schema = T.StructType([*rows.select(*keep).schema.fields, T.StructField(codes, T.BinaryType()), T.StructField(holes, T.ArrayType(T.BinaryType()))])
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        known = sent.value
+        head = sent.value
         found, many = cutter.value.words(b.column("text"))
         found = found.dictionary_encode()
-        keys, which = [word_key(w) for w in found.dictionary.to_pylist()], found.indices.to_numpy()
-        own = [known.get(k, HOLE) for k in keys]
-        hole = np.array([x is HOLE for x in own], bool)
-        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        flat, first = np.frombuffer(b"".join(own), np.int32), np.cumsum(size) - size
+        distinct, which = found.dictionary, found.indices.to_numpy()
+        place = pc.index_in(distinct, value_set=head.words)
+        hole = place.is_null().to_numpy(zero_copy_only=False)
+        place = pc.fill_null(place, 0).to_numpy()
+        first = np.where(hole, len(head.codes) - 1, head.at[place]) if len(head.words) else np.zeros(len(place), np.int64)
+        size = np.where(hole, 1, np.diff(head.at)[place]) if len(head.words) else np.ones(len(place), np.int64)
         each = size[which]
         end = np.cumsum(each)
-        flat = flat.astype(np.uint16 if small else np.int32)
-        out = flat[np.arange(int(each.sum())) + np.repeat(first[which] - (end - each), each)]
+        out = head.codes[np.arange(int(each.sum())) + np.repeat(first[which] - (end - each), each)]
         row_of = np.concatenate(([0], np.cumsum(many)))
         edges = np.concatenate(([0], end))[row_of] * out.itemsize
         packed = pa.Array.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(edges), pa.py_buffer(out)]).cast(pa.binary())
         missed = hole[which]
         lists = np.concatenate(([0], np.cumsum(missed)))[row_of]
-        gone = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(keys, pa.binary()).take(pa.array(which[missed])))
+        keys = pa.array([word_key(w) for w in distinct.filter(pa.array(hole)).to_pylist()], pa.binary())
+        gone = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), keys.take(pa.array((np.cumsum(hole) - 1)[which[missed]])))
         return pa.record_batch([*(b.column(c) for c in keep), packed, gone], [*keep, codes, holes])
 
     part = map_batches(rows.select(*dict.fromkeys([*keep, "text"])), run, schema, rows=ROWS)
