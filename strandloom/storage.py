@@ -33,7 +33,11 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
 
 def clean(spark: SparkSession) -> bool:
     """Deletes what this package has written to the shared folder, when no frame that reads it is needed any more; false if there was nothing."""
-    fs, p = _at(spark, f"{shared_dir(spark)}/strandloom")
+    return remove(spark, f"{shared_dir(spark)}/strandloom")
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    fs, p = _at(spark, path)
     return fs.delete(p, True)
 
 
