@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import functools
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..storage import fresh_path, settle  # noqa: F401  the operators take them from here
 from ..workers import ship
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -33,27 +32,6 @@ CACHE_WORDS = 400_000
 SLICE_BYTES = 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where none is set."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strandloom-"))
-        found = sc.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/strandloom/{tag}-{uuid.uuid4().hex}"
-
-
-def settle(df: DataFrame, tag: str) -> DataFrame:
-    """Write to the shared folder and read again: lineage ends here, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    df.write.parquet(path := fresh_path(spark, tag))
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of frames that are no longer referred to; it does so when the driver's JVM collects garbage."""
     gc.collect()

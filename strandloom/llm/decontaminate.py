@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checked, documents, map_batches, mixed, settle, shingle_runs, texts, union_all
+from .common import checked, documents, free_name, map_batches, mixed, settle, shingle_runs, texts, union_all
 
 N, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 15, 4
@@ -238,8 +238,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows of documents in which a benchmark item was found; rows without doc_id stay."""
-    gone = settle(matches(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
-    return docs.join(checked(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = free_name(docs, "gone")
+    gone = settle(matches(docs, benchmark).select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.join(checked(gone), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ Whole keys are never collected; a key that a third of all documents hold is coun
 
 Defined results: a null or empty text is one empty line.  A null doc_id is no document: its lines are
 neither counted nor dropped.  Rows that repeat a doc_id are one document.  Extra columns are ignored by
-`op7_line_dedup` and carried along by `dedup_lines`.
+`op7_line_dedup` and carried along by `dedup_lines`; `_n_lines` and `_n_dropped` replace columns of these names.
+Runs are tables of the catalog until the result that reads them is written; `drop` then removes them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS, BROADCAST_ROWS, LOWER, UPPER, ascii_lower, checked, documents, fresh_path, settle, strip_blanks
+from ..storage import remove
+from .common import BLANKS, BROADCAST_ROWS, LOWER, UPPER, ascii_lower, checked, documents, free_name, fresh_path, settle, strip_blanks
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 2
 
@@ -42,6 +44,7 @@ class LineRuns:
     buckets: int
     fanout: int = FANOUT
     levels: list[list[DataFrame]] = field(default_factory=list)
+    names: list[str] = field(default_factory=list)
 
     def _write(self, run: DataFrame) -> DataFrame:
         name = f"line_run_{uuid.uuid4().hex}"
@@ -52,8 +55,17 @@ class LineRuns:
             .option("path", fresh_path(self.spark, "line-run"))
             .saveAsTable(name)
         )
+        self.names.append(name)
         return self.spark.table(name)
 
+    def drop(self) -> None:
+        """Removes the runs' tables and files; nothing lazy may read them any more."""
+        for name in self.names:
+            path = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            remove(self.spark, path)
+        self.names.clear()
+
     def runs(self) -> list[DataFrame]:
         return [r for level in self.levels for r in level]
 
@@ -103,30 +115,33 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     for i in range(batches):
         top = (high or 0) - i * step
         runs.add(keys.where((F.col("doc_id") <= top) & (F.col("doc_id") > top - step)))
-    return keys, settle(runs.merged().where(F.col("n") >= min_docs).select("k1", "k2", "owner"), "line-repeats")
+    repeats = settle(runs.merged().where(F.col("n") >= min_docs).select("k1", "k2", "owner"), "line-repeats")
+    runs.drop()  # what is written reads them no more
+    return keys, repeats
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
     """docs with `text` less its repeated lines (except in the key's largest doc_id), `_n_lines` and `_n_dropped`."""
     keys, repeats = repeated_lines(docs, min_chars, min_docs, batches)
-    drops = keys.join(checked(repeats), ["k1", "k2"]).where("doc_id <> owner").groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("_drop"))
+    all_lines, rest, drop, drop_id = (free_name(docs, x) for x in ("lines", "kept", "drop", "drop_id"))
+    drops = keys.join(checked(repeats), ["k1", "k2"]).where("doc_id <> owner").groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias(drop))
     drops = settle(drops, "line-drops")
-    small = (drops.agg(F.sum(F.size("_drop"))).first()[0] or 0) <= BROADCAST_ROWS
+    small = (drops.agg(F.sum(F.size(drop))).first()[0] or 0) <= BROADCAST_ROWS
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    named = drops.withColumnRenamed("doc_id", "_drop_id")
-    both = docs.withColumn("_lines", lines).join(F.broadcast(named) if small else named, F.col("doc_id") == F.col("_drop_id"), "left")
+    named = drops.withColumnRenamed("doc_id", drop_id)
+    both = docs.withColumn(all_lines, lines).join(F.broadcast(named) if small else named, F.col("doc_id") == F.col(drop_id), "left")
 
     def stays(x: Column) -> Column:
         code = F.struct(*key_codes(line_key(x)))
-        return (F.char_length(x) < min_chars) | (F.char_length(line_key(x)) < min_chars) | ~F.array_contains("_drop", code)
+        return (F.char_length(x) < min_chars) | (F.char_length(line_key(x)) < min_chars) | ~F.array_contains(drop, code)
 
-    kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.filter("_lines", stays))
-    both = both.withColumn("_kept", kept)
+    kept = F.when(F.col(drop).isNull(), F.col(all_lines)).otherwise(F.filter(all_lines, stays))
+    both = both.withColumn(rest, kept)
     return (
-        both.withColumn("_n_lines", F.size("_lines").cast("long"))
-        .withColumn("_n_dropped", (F.size("_lines") - F.size("_kept")).cast("long"))
-        .withColumn("text", F.array_join("_kept", "\n"))
-        .drop("_lines", "_kept", "_drop", "_drop_id")
+        both.withColumn("_n_lines", F.size(all_lines).cast("long"))
+        .withColumn("_n_dropped", (F.size(all_lines) - F.size(rest)).cast("long"))
+        .withColumn("text", F.array_join(rest, "\n"))
+        .drop(all_lines, rest, drop, drop_id)
     )
 
 

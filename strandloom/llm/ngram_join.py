@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workers import ship
-from .common import LOWER, UPPER, checked, components, documents, list_array, map_batches, mixed, segments, settle, shingle_sets, texts
+from .common import LOWER, UPPER, checked, components, documents, free_name, list_array, map_batches, mixed, segments, settle, shingle_sets, texts
 
 N, PERCENT = 5, 80
 BANDS, BAND_HASHES = 10, 3
@@ -277,8 +277,9 @@ def ngram_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Dat
 
 def keep_representatives(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """docs with one row of each component: the one of the smallest doc_id. Rows without words or without id stay."""
-    gone = ngram_components(docs, n, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(checked(settle(gone, "ngram-gone")), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = free_name(docs, "gone")
+    gone = ngram_components(docs, n, percent).where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(checked(settle(gone, "ngram-gone")), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
