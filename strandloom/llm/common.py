@@ -6,6 +6,7 @@ bytes both are what ``bytes.split()`` and ``bytes.lower()`` do, so no pattern is
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import gc
 from collections.abc import Callable, Iterator
@@ -43,6 +44,18 @@ def checked(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What is written meanwhile goes to Python workers in batches of so many rows: whole texts of the usual 10,000 take tens of megabytes on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workers import ship
-from .common import add_column, documents, free_name, map_batches, release, settle, slices, union_all
+from .common import add_column, documents, free_name, map_batches, release, settle, slices, small_batches, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 200_000, 4, 512
+HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 100_000, 4, 512
 #: Positions of a word that one fold goes over.
 BLOCK = 256
 #: Substrings of at most so many characters are made at every place.
@@ -339,7 +339,8 @@ class Dictionary:
         spark = docs.sparkSession
         cutter = spark.sparkContext.broadcast(vocabulary.cutter())
         tasks = TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        counts = settle(word_counts(docs, cutter, vocabulary.longest).groupBy("key", "base", "part").agg(F.sum("c").alias("c")), "piece-words")
+        with small_batches(spark):
+            counts = settle(word_counts(docs, cutter, vocabulary.longest).groupBy("key", "base", "part").agg(F.sum("c").alias("c")), "piece-words")
         release(spark)
         ids, as_bytes = np.array([i for i, _ in vocabulary.lattice.values()], np.int32), vocabulary.byte_ids
 
@@ -401,7 +402,8 @@ def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep
         return pa.record_batch([*(b.column(c) for c in keep), packed, gone], [*keep, codes, holes])
 
     part = map_batches(rows.select(*dict.fromkeys([*keep, "text"])), run, schema, rows=ROWS)
-    return Partly(settle(part.withColumn(row, F.monotonically_increasing_id()), "piece-partly"), codes, holes, row)
+    with small_batches(docs.sparkSession):
+        return Partly(settle(part.withColumn(row, F.monotonically_increasing_id()), "piece-partly"), codes, holes, row)
 
 
 def fill(part: Partly, vocabulary: Vocabulary, words: Dictionary, column: str) -> DataFrame:
@@ -491,7 +493,9 @@ def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> D
         some = Partly(part.rows.where(F.pmod(F.xxhash64(part.row), F.lit(waves)) == wave), part.codes, part.holes, part.row)
         some = decode(fill(some, vocabulary, words, "ids"), vocabulary)
         digest = F.sha2(F.array_join("ids", ","), 256)
-        out.append(settle(some.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), (code(F.col("decoded")) == F.col("code")).alias("round_trip")), "piece-digests"))
+        same = (code(F.col("decoded")) == F.col("code")).alias("round_trip")
+        with small_batches(docs.sparkSession):
+            out.append(settle(some.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), same), "piece-digests"))
         release(docs.sparkSession)
     return union_all(out)
 
