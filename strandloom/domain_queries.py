@@ -586,3 +586,21 @@ def measures_by_name(spark, folder):
     names = F.explode(F.array(*[F.concat(F.lit("x/"), word, F.lit(e)) for e in ("Data", "Level", "Rate")]))
     classes = table(spark, folder, "part").select(names.alias("class_uri")).distinct()
     return schema.subclasses_by_name(classes).where("rule = 'measure'")
+
+
+_HOPS = """WITH d AS (SELECT min(c_nationkey) IS NOT NULL AS there FROM customer), v(a, b, distance, back) AS (VALUES ('customer', 'nation', 1, false), ('customer', 'region', 2, false), ('nation', 'region', 1, false), ('supplier', 'nation', 1, false), ('supplier', 'region', 2, false),
+ ('nation', 'customer', 1, true), ('region', 'customer', 2, true), ('region', 'nation', 1, true), ('nation', 'supplier', 1, true), ('region', 'supplier', 2, true), ('customer', 'supplier', 2, true), ('supplier', 'customer', 2, true))"""
+
+
+@query(f"{_HOPS} SELECT 'directed' AS way, a, b, distance FROM v, d WHERE there AND NOT back UNION ALL SELECT 'any', a, b, distance FROM v, d WHERE there")
+def hops_between_tables(spark, folder):
+    """Hops between families of nodes, along the links and either way."""
+    from .graph import paths
+
+    node = lambda t, c: F.concat(F.lit(t[0]), F.col(c).cast("string"))
+    hops = [("customer", "c_custkey", "nation", "c_nationkey"), ("supplier", "s_suppkey", "nation", "s_nationkey"), ("nation", "n_nationkey", "region", "n_regionkey")]
+    links = settle(union_frames([table(spark, folder, t).select(node(t, c).alias("src"), node(u, d).alias("dst")) for t, c, u, d in hops]), "links")
+    kinds = {"c": "customer", "s": "supplier", "n": "nation", "r": "region"}
+    name = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])[F.substring("node", 1, 1)]
+    families = settle(links.select(F.col("src").alias("node")).union(links.select("dst")).distinct().withColumn("family", name), "families")
+    return union_frames([paths.family_distances(links, families, directed).withColumn("way", F.lit(way)) for way, directed in (("directed", True), ("any", False))])

@@ -71,32 +71,35 @@ def meeting_points(reaches: Sequence[DataFrame], column: str) -> DataFrame:
     return functools.reduce(DataFrame.intersect, [r.select(column) for r in reaches])
 
 
-def distances(links: DataFrame, start: DataFrame, directed: bool = False, most: int | None = None) -> DataFrame:
-    """(node, distance) from a set of nodes, breadth first; links: (src, dst); start: (node).
+def _reach(links: DataFrame, start: DataFrame, keys: list[str], directed: bool, most: int | None) -> DataFrame:
+    """(*keys, node, distance), breadth first from the nodes of every key at once; start: (*keys, node).
 
     Each step joins only the last frontier and removes what is known; it ends when the frontier is empty,
-    or after `most` steps if that is given.
+    or after `most` steps if that is given. What is known is written anew now and then, so that no plan grows with the steps.
     """
     from ..storage import settle
 
     if not directed:
         links = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    found = settle(start.select("node").distinct().withColumn("distance", F.lit(0)), "bfs")
+    found = settle(start.select(*keys, "node").distinct().withColumn("distance", F.lit(0)), "bfs")
     frontier = found
     for step in itertools.count(1) if most is None else range(1, most + 1):
-        ahead = frontier.select(F.col("node").alias("src")).join(links, "src").select(F.col("dst").alias("node")).distinct()
-        frontier = settle(ahead.join(found.select("node"), "node", "left_anti").withColumn("distance", F.lit(step)), "bfs")
+        ahead = frontier.select(*keys, F.col("node").alias("src")).join(links, "src").select(*keys, F.col("dst").alias("node")).distinct()
+        frontier = settle(ahead.join(found.select(*keys, "node"), [*keys, "node"], "left_anti").withColumn("distance", F.lit(step)), "bfs")
         if frontier.isEmpty():
             break
         found = found.unionByName(frontier)
+        found = settle(found, "bfs") if step % 16 == 0 else found
     return found
 
 
+def distances(links: DataFrame, start: DataFrame, directed: bool = False, most: int | None = None) -> DataFrame:
+    """(node, distance) from a set of nodes, breadth first; links: (src, dst); start: (node)."""
+    return _reach(links, start, [], directed, most)
+
+
 def family_distances(links: DataFrame, families: DataFrame, directed: bool = False, most: int | None = None) -> DataFrame:
-    """(a, b, distance) between families of nodes; families: (node, family)."""
-    out = []
-    for name in [r[0] for r in families.select("family").distinct().orderBy("family").collect()]:
-        reach = distances(links, families.where(F.col("family") == name).select("node"), directed, most)
-        near = reach.join(families, "node").where(F.col("family") != name).groupBy("family").agg(F.min("distance").alias("distance"))
-        out.append(near.select(F.lit(name).alias("a"), F.col("family").alias("b"), "distance"))
-    return functools.reduce(DataFrame.unionByName, out)
+    """(a, b, distance) between families of nodes, all searched at once; families: (node, family)."""
+    reach = _reach(links, families, ["family"], directed, most).withColumnRenamed("family", "a")
+    near = reach.join(families.withColumnRenamed("family", "b"), "node").where("a <> b")
+    return near.groupBy("a", "b").agg(F.min("distance").alias("distance"))
