@@ -130,11 +130,15 @@ def repeated(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     spans = map_batches(docs.where("doc_id IS NOT NULL"), run, f"doc_id {kind}, code long, at int, many int, h1 long, h2 long", rows=1024)
+    # Most runs occur once: whether one has a second place is told by 64-bit codes of the places, which are aggregated without a sort.
+    coded = spans.select("h1", "h2", F.xxhash64("doc_id", "code", "at").alias("place"))
+    found = coded.groupBy("h1", "h2").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    found = settle(found.where("low <> high").select("h1", "h2"), "span-repeats")
+    again = settle(spans.join(found, ["h1", "h2"]), "span-places")
     place = F.struct("doc_id", "code", "at")
-    found = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    found = settle(found.where("first <> last").select("h1", "h2", "first"), "span-repeats")
-    again = spans.join(found, ["h1", "h2"]).where(place != F.col("first"))
-    return again.groupBy("doc_id", "code").agg(F.collect_set(F.array("at", "many")).alias("spans"))
+    first = again.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    rest = again.join(first, ["h1", "h2"]).where(place != F.col("first"))
+    return rest.groupBy("doc_id", "code").agg(F.collect_set(F.array("at", "many")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
