@@ -19,7 +19,9 @@ has the name of the result is replaced.  An empty table gives an empty one.
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import hashlib
 import math
 import os
 from collections.abc import Iterator
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workers import ship
-from .common import add_column, documents, free_name, map_batches, release, settle, slices, small_batches, union_all
+from .common import add_column, documents, free_name, fresh_path, map_batches, release, settle, slices, small_batches, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 100_000, 4, 512
@@ -47,6 +49,8 @@ STEM = 3
 UNKNOWN, CODE_BITS, LONGEST, STOP_SHIFT = 1 << 22, 23, 255, 31
 #: Tasks of the lattice for each shuffle partition: edges are some forty times the bytes of their words.
 TASKS = 4
+#: Words whose edges a task of the lattice holds at once; an edge is a long.
+HASH_KEYS = 32_768
 SPACE = "▁"
 
 
@@ -310,6 +314,19 @@ def walked(column: pa.ListArray, ids: np.ndarray, byte_ids: list[int]) -> pa.Arr
     return pa.Array.from_buffers(pa.binary(), len(column), [None, edges, pa.py_buffer(flat.astype(np.int32))])
 
 
+@contextlib.contextmanager
+def grouped_by_hash(spark: SparkSession) -> Iterator[None]:
+    """Lists of what is written meanwhile are collected by hash for up to HASH_KEYS keys a task, where Spark would sort beyond 128: these
+    lists are short.  Beyond it, Spark sorts."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(HASH_KEYS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @dataclass
 class Head:
     """Frequent words and their ids, packed: words is an Arrow array, that of word i are codes[at[i]:at[i + 1]]; the last code stands for a hole."""
@@ -347,7 +364,8 @@ class Dictionary:
         def pack(b: pa.RecordBatch) -> pa.RecordBatch:
             return pa.record_batch([b.column(0), b.column(1), walked(b.column(2), ids, as_bytes)], ["key", "c", "ids"])
 
-        coded = settle(map_batches(best_edges(counts, vocabulary, tasks), pack, "key binary, c long, ids binary", rows=10_000), "piece-codes")
+        with grouped_by_hash(spark):
+            coded = settle(map_batches(best_edges(counts, vocabulary, tasks), pack, "key binary, c long, ids binary", rows=10_000), "piece-codes")
         release(spark)
         # The head is a whole number of classes of frequency, so that it needs no sort; classes are a sixteenth of a doubling wide.
         level = F.floor(F.log2("c") * 16)
@@ -372,8 +390,8 @@ class Partly:
     row: str
 
 
-def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep: list[str]) -> Partly:
-    """One pass over the texts; keep: the columns that go on."""
+def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep: list[str], waves: int = 0) -> Partly:
+    """One pass over the texts; keep: the columns that go on.  With waves, the rows have a column `wave` that they are stored by."""
     sent, cutter = words.head, words.cutter
     codes, holes, row = (free_name(docs, x) for x in ("codes", "holes", "row"))
     rows = docs.withColumn("text", F.col("text").cast("string"))
@@ -402,51 +420,69 @@ def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep
         return pa.record_batch([*(b.column(c) for c in keep), packed, gone], [*keep, codes, holes])
 
     part = map_batches(rows.select(*dict.fromkeys([*keep, "text"])), run, schema, rows=ROWS)
+    part = part.withColumn(row, F.monotonically_increasing_id())
     with small_batches(docs.sparkSession):
-        return Partly(settle(part.withColumn(row, F.monotonically_increasing_id()), "piece-partly"), codes, holes, row)
+        if not waves:
+            return Partly(settle(part, "piece-partly"), codes, holes, row)
+        part = part.withColumn("wave", F.pmod(F.xxhash64(row), F.lit(waves)).cast("int"))
+        part.write.partitionBy("wave").parquet(path := fresh_path(docs.sparkSession, "piece-partly"))
+    return Partly(docs.sparkSession.read.schema(part.schema).parquet(path), codes, holes, row)
 
 
-def fill(part: Partly, vocabulary: Vocabulary, words: Dictionary, column: str) -> DataFrame:
-    """The rows with an array of piece ids: the words outside the head come by a join; rows without any do not take part in it."""
-    codes, holes = part.codes, part.holes
-    keep = [c for c in part.rows.columns if c not in (codes, holes, part.row)]
-    small = len(vocabulary.names) < 0xFFFF
-    names = [*keep, column]
+def met(part: Partly, words: Dictionary) -> tuple[DataFrame, str]:
+    """The rows with the codes of the words outside the head, which come by a join, in a column; rows without any do not take part in it."""
+    keep = [c for c in part.rows.columns if c != part.row]
     more = free_name(part.rows, "found")
     # No word outside the head is frequent, so no key of this join is hot.
-    tails = part.rows.select(part.row, F.explode(F.array_distinct(holes)).alias("key")).join(words.coded.select("key", "ids"), "key")
+    tails = part.rows.select(part.row, F.explode(F.array_distinct(part.holes)).alias("key")).join(words.coded.select("key", "ids"), "key")
     found = tails.groupBy(part.row).agg(F.collect_list(F.struct("key", "ids")).alias(more))
-    some = part.rows.where(F.size(holes) > 0).join(found, part.row).select(*keep, codes, holes, more)
+    some = part.rows.where(F.size(part.holes) > 0).join(found, part.row).select(*keep, more)
     none = F.array().cast("array<struct<key:binary,ids:binary>>")
-    both = part.rows.where(F.size(holes) == 0).select(*keep, codes, holes, none.alias(more)).unionByName(some)
-
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        own = {x["key"]: np.frombuffer(x["ids"], np.int32) for f in b.column(more).to_pylist() for x in f or ()}
-        packed = [np.frombuffer(x, np.uint16 if small else np.int32) for x in b.column(codes).to_pylist()]
-        flat = np.concatenate(packed).astype(np.int32)
-        if small:
-            flat[flat == 0xFFFF] = -1
-        end = np.cumsum([len(x) for x in packed])
-        at = np.flatnonzero(flat == -1)
-        parts = [own[k] for k in b.column(holes).flatten().to_pylist()]
-        wide = np.ones(len(flat), np.int64)
-        wide[at] = [len(x) for x in parts]
-        out = np.repeat(flat, wide)
-        if len(at):
-            first = (np.cumsum(wide) - wide)[at]
-            out[np.repeat(first - (np.cumsum(wide[at]) - wide[at]), wide[at]) + np.arange(int(wide[at].sum()))] = np.concatenate(parts)
-        edges = np.concatenate(([0], np.cumsum(wide)))[np.concatenate(([0], end))]
-        return pa.record_batch([*(b.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(out, pa.int32()))], names)
-
-    schema = T.StructType([*(part.rows.schema[c] for c in keep), T.StructField(column, T.ArrayType(T.IntegerType()))])
-    return map_batches(both, run, schema, rows=ROWS)
+    return part.rows.where(F.size(part.holes) == 0).select(*keep, none.alias(more)).unionByName(some), more
+
+
+def filled(codes: pa.Array, holes: pa.Array, found: pa.Array, small: bool) -> pa.ListArray:
+    """Piece ids of each row: packed codes, of which each hole is replaced by the ids of its word."""
+    own = {x["key"]: np.frombuffer(x["ids"], np.int32) for f in found.to_pylist() for x in f or ()}
+    packed = [np.frombuffer(x, np.uint16 if small else np.int32) for x in codes.to_pylist()]
+    flat = np.concatenate(packed).astype(np.int32)
+    if small:
+        flat[flat == 0xFFFF] = -1
+    end = np.cumsum([len(x) for x in packed])
+    at = np.flatnonzero(flat == -1)
+    parts = [own[k] for k in holes.flatten().to_pylist()]
+    wide = np.ones(len(flat), np.int64)
+    wide[at] = [len(x) for x in parts]
+    out = np.repeat(flat, wide)
+    if len(at):
+        first = (np.cumsum(wide) - wide)[at]
+        out[np.repeat(first - (np.cumsum(wide[at]) - wide[at]), wide[at]) + np.arange(int(wide[at].sum()))] = np.concatenate(parts)
+    edges = np.concatenate(([0], np.cumsum(wide)))[np.concatenate(([0], end))]
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(out, pa.int32()))
+
+
+def joined(lists: pa.ListArray, table: pa.Array) -> pa.Array:
+    """For each row the bytes of its ids, one after the other; table: the bytes of every id."""
+    many = pc.fill_null(lists.value_lengths(), 0).to_numpy()
+    parts = table.take(lists.flatten())
+    at = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1][np.concatenate(([0], np.cumsum(many)))]
+    return pa.Array.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(at), parts.buffers()[2]])
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, column: str = "ids", dictionary: Dictionary | None = None) -> DataFrame:
     """docs with an array of piece ids for `text`; a dictionary, if given, must hold all of its words."""
     words = dictionary or Dictionary.build(docs, vocabulary)
     docs = docs.drop(column)
-    return fill(encode_head(docs, vocabulary, words, docs.columns), vocabulary, words, column)
+    part = encode_head(docs, vocabulary, words, docs.columns)
+    both, more = met(part, words)
+    codes, holes, keep, small = part.codes, part.holes, docs.columns, len(vocabulary.names) < 0xFFFF
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        ids = filled(b.column(codes), b.column(holes), b.column(more), small)
+        return pa.record_batch([*(b.column(c) for c in keep), ids], [*keep, column])
+
+    schema = T.StructType([*(part.rows.schema[c] for c in keep), T.StructField(column, T.ArrayType(T.IntegerType()))])
+    return map_batches(both, run, schema, rows=ROWS)
 
 
 def decode_ids(ids: list[int], table: list[bytes]) -> str:
@@ -454,49 +490,61 @@ def decode_ids(ids: list[int], table: list[bytes]) -> str:
     return b"".join([table[i] for i in ids]).decode(errors="replace").replace(SPACE, " ")[1:] if ids else ""
 
 
-def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: str = "decoded") -> DataFrame:
-    """coded with the text of an array of piece ids; bytes that are no UTF-8 become U+FFFD."""
+def decode_lists(lists: pa.ListArray, table: pa.Array) -> pa.Array:
+    """Texts of lists of ids; table: the bytes of every id, blanks as blanks."""
+    try:
+        text = joined(lists, table).cast(pa.large_string())
+    except pa.ArrowInvalid:
+        plain = table.to_pylist()
+        return pa.array([decode_ids(x or [], plain) for x in lists.to_pylist()], pa.large_string())
+    return pc.utf8_slice_codeunits(pc.replace_substring(text, SPACE, " "), 1)
+
+
+def piece_bytes(vocabulary: Vocabulary) -> pa.Array:
     table = [n.replace(SPACE, " ").encode() for n in vocabulary.names]
     for b, i in enumerate(vocabulary.byte_ids):
         table[i] = bytes((b,))
-    sent = coded.sparkSession.sparkContext.broadcast(table)
+    return pa.array(table, pa.large_binary())
 
-    def run(b: pa.RecordBatch) -> pa.Array:
-        lists = b.column(ids)
-        many = pc.fill_null(lists.value_lengths(), 0).to_numpy()
-        parts = pa.array(sent.value, pa.large_binary()).take(lists.flatten())
-        at = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1][np.concatenate(([0], np.cumsum(many)))]
-        whole = pa.Array.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(at), parts.buffers()[2]])
-        try:
-            text = whole.cast(pa.large_string())
-        except pa.ArrowInvalid:
-            return pa.array([decode_ids(x or [], sent.value) for x in lists.to_pylist()], pa.string())
-        return pc.utf8_slice_codeunits(pc.replace_substring(text, SPACE, " "), 1).cast(pa.string())
 
-    return add_column(coded, run, column, T.StringType(), rows=ROWS)
+def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: str = "decoded") -> DataFrame:
+    """coded with the text of an array of piece ids; bytes that are no UTF-8 become U+FFFD."""
+    sent = coded.sparkSession.sparkContext.broadcast(piece_bytes(vocabulary))
+    return add_column(coded, lambda b: decode_lists(b.column(ids), sent.value).cast(pa.string()), column, T.StringType(), rows=ROWS)
 
 
 def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> DataFrame:
     """(doc_id, n_pieces, ids_sha256, round_trip): the codes' digest (decimal, comma-separated) and whether they decode to the text.
 
     The dictionary is made once over the whole corpus; rows meet their rare words in waves, so that this holds a fraction of the corpus on
-    disk at a time.  Texts are compared by 128-bit codes, so they are read once and not dealt out.
+    disk at a time.  Texts are compared by 64-bit codes, so they are read once and not dealt out.
     """
     vocabulary = Vocabulary.load(path)
+    spark = docs.sparkSession
     text = F.replace(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(SPACE), F.lit(" "))
-    code = lambda c: F.struct(F.xxhash64(c), F.xxhash64(F.lit(7), c))
-    rows = docs.select("doc_id", text.alias("text"), code(text).alias("code"))
+    rows = docs.select("doc_id", text.alias("text"))
     words = Dictionary.build(rows, vocabulary)
-    part = encode_head(rows, vocabulary, words, ["doc_id", "code"])
+    part = encode_head(rows.withColumn("code", F.xxhash64("text")), vocabulary, words, ["doc_id", "code"], waves)
+    sent = spark.sparkContext.broadcast((piece_bytes(vocabulary), pa.array([f"{i},".encode() for i in range(len(vocabulary.names))], pa.large_binary())))
+    codes, holes, small = part.codes, part.holes, len(vocabulary.names) < 0xFFFF
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces long, ids_sha256 string, round_trip boolean"
     out = []
     for wave in range(waves):
-        some = Partly(part.rows.where(F.pmod(F.xxhash64(part.row), F.lit(waves)) == wave), part.codes, part.holes, part.row)
-        some = decode(fill(some, vocabulary, words, "ids"), vocabulary)
-        digest = F.sha2(F.array_join("ids", ","), 256)
-        same = (code(F.col("decoded")) == F.col("code")).alias("round_trip")
-        with small_batches(docs.sparkSession):
-            out.append(settle(some.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), same), "piece-digests"))
-        release(docs.sparkSession)
+        some = Partly(part.rows.where(F.col("wave") == wave).drop("wave"), codes, holes, part.row)
+        both, more = met(some, words)
+
+        def run(b: pa.RecordBatch, more: str = more) -> pa.RecordBatch:
+            pieces, numbers = sent.value
+            ids = filled(b.column(codes), b.column(holes), b.column(more), small)
+            digest = [hashlib.sha256(x[:-1]).hexdigest() for x in joined(ids, numbers).to_pylist()]
+            # The code is Spark's xxhash64 of one string, which is XXH64 with the seed 42.
+            back = [xxhash.xxh64_intdigest(x, seed=42) for x in decode_lists(ids, pieces).cast(pa.large_binary()).to_pylist()]
+            same = np.array(back, np.uint64).view(np.int64) == b.column("code").to_numpy()
+            return pa.record_batch([b.column("doc_id"), ids.value_lengths().cast(pa.int64()), pa.array(digest, pa.string()), pa.array(same)], ["doc_id", "n_pieces", "ids_sha256", "round_trip"])
+
+        with small_batches(spark):
+            out.append(settle(map_batches(both, run, schema, rows=ROWS), "piece-digests"))
+        release(spark)
     return union_all(out)
 
 
