@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..storage import remove
 from ..workers import ship
 from .common import add_column, documents, free_name, fresh_path, map_batches, release, settle, slices, small_batches, union_all
 
@@ -366,6 +367,8 @@ class Dictionary:
 
         with grouped_by_hash(spark):
             coded = settle(map_batches(best_edges(counts, vocabulary, tasks), pack, "key binary, c long, ids binary", rows=10_000), "piece-codes")
+        if files := counts.inputFiles():
+            remove(spark, files[0].rpartition("/")[0])  # the words' codes are written
         release(spark)
         # The head is a whole number of classes of frequency, so that it needs no sort; classes are a sixteenth of a doubling wide.
         level = F.floor(F.log2("c") * 16)
@@ -388,6 +391,7 @@ class Partly:
     codes: str
     holes: str
     row: str
+    path: str = ""
 
 
 def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep: list[str], waves: int = 0) -> Partly:
@@ -425,8 +429,8 @@ def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep
         if not waves:
             return Partly(settle(part, "piece-partly"), codes, holes, row)
         part = part.withColumn("wave", F.pmod(F.xxhash64(row), F.lit(waves)).cast("int"))
-        part.write.partitionBy("wave").parquet(path := fresh_path(docs.sparkSession, "piece-partly"))
-    return Partly(docs.sparkSession.read.schema(part.schema).parquet(path), codes, holes, row)
+        part.write.partitionBy("wave").option("compression", "zstd").parquet(path := fresh_path(docs.sparkSession, "piece-partly"))
+    return Partly(docs.sparkSession.read.schema(part.schema).parquet(path), codes, holes, row, path)
 
 
 def met(part: Partly, words: Dictionary) -> tuple[DataFrame, str]:
@@ -544,6 +548,7 @@ def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> D
 
         with small_batches(spark):
             out.append(settle(map_batches(both, run, schema, rows=ROWS), "piece-digests"))
+        remove(spark, f"{part.path}/wave={wave}")  # its digests are written
         release(spark)
     return union_all(out)
 
