@@ -27,8 +27,8 @@ BLANKS = " \t\n\x0b\f\r"
 BLANK_CLASS = "[\\x20\\x09-\\x0D]"
 #: A side of a join is broadcast up to this many rows of a few numbers each; beyond it, it is shuffled.
 BROADCAST_ROWS = 400_000
-#: Words whose codes a Python worker remembers between rows.
-CACHE_WORDS = 400_000
+#: Words whose codes a Python worker remembers between rows, for each kind of code; workers live through all stages of a job.
+CACHE_WORDS = 100_000
 #: Bytes of a slice of rows that is worked on at once.
 SLICE_BYTES = 8 << 20
 

@@ -90,7 +90,7 @@ def _features(n: int):
 def features(docs: DataFrame, n: int = N) -> DataFrame:
     """(doc_id, n, key, sketch, bands): set size, set code, minimum hashes and band codes of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", "text"), _features(n), f"doc_id {kind}, n long, key long, sketch array<int>, bands array<long>", rows=1024)
+    return map_batches(docs.select("doc_id", "text"), _features(n), f"doc_id {kind}, n long, key long, sketch array<int>, bands array<long>", rows=512)
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, n: int = N) -> DataFrame:
@@ -187,7 +187,7 @@ def shared_tokens(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> D
         return pa.table({"key": pa.array(key, pa.int64()), "token": pa.array(code.view(np.int64), pa.int64()), "held": pa.array(np.bincount(which, first)[which].astype(np.int32) if len(code) else np.zeros(0, np.int32), pa.int32())})
 
     ship(spark)
-    blocks = map_batches(some, deal, "part int, codes binary, rows binary, owners binary", rows=2048)
+    blocks = map_batches(some, deal, "part int, codes binary, rows binary, owners binary", rows=1024)
     return blocks.repartition(parts, "part").groupBy("part").applyInArrow(held, "key long, token long, held int")
 
 

@@ -71,14 +71,25 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.logits(*self.rows(docs))[0].astype(float), -30, 30)))
 
 
+def _counted(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms in ascending order and in how many documents each is; sorted in place, as the sample has millions of terms."""
+    flat = np.concatenate(docs)
+    flat.sort()
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(flat), 1), bool), flat[1:] != flat[:-1])))
+    return flat[first], np.diff(np.append(first, len(flat))).astype(float)
+
+
 def fit(docs: list[np.ndarray], labels: np.ndarray, seed: int = 1, rate: float = 0.1, decay: float = 2e-4) -> FactorizationMachine:
     """Logistic loss, AdaGrad, mini-batches of 128, over the MAX_TERMS terms of at least MIN_DF documents
     that depend most on the label by chi-square: the rest, mostly rare words, would only be learnt by heart."""
     if not len(docs):
         return FactorizationMachine()
-    codes, where = np.unique(np.concatenate(docs), return_inverse=True)
-    df = np.bincount(where, minlength=len(codes)).astype(float)
-    hits = np.bincount(where, np.repeat(labels, [len(d) for d in docs]), len(codes))
+    codes, df = _counted(docs)
+    hits = np.zeros(len(codes))
+    bad = [d for d, y in zip(docs, labels, strict=True) if y]
+    if bad:
+        some, many = _counted(bad)
+        hits[np.searchsorted(codes, some)] = many
     share, n = float(labels.mean()), len(docs)
     chance = np.maximum(df * share * (1 - share) * (1 - df / n), 1e-9)
     chi = np.where((df >= MIN_DF) & (df < n), (hits - df * share) ** 2 / chance, 0)
@@ -120,8 +131,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Factori
     def coded(b: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([b.column(0), b.column(1), pa.array([terms(t).tobytes() for t in texts(b.column(2))], pa.binary())], ["doc_id", "label", "terms"])
 
-    got = map_batches(found, coded, "doc_id long, label int, terms binary").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending"), ("terms", "ascending")])
-    return fit([np.frombuffer(t, np.uint64) for t in got["terms"].to_pylist()], np.array(got["label"].to_pylist(), np.float32))
+    got = map_batches(found, coded, "doc_id long, label int, terms binary").toArrow()
+    order = sorted(zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), range(got.num_rows), strict=True))  # an id and label are one row
+    rows = got["terms"].to_pylist()
+    del got
+    return fit([np.frombuffer(rows[i], np.uint64) for _, _, i in order], np.array([y for _, y, _ in order], np.float32))
 
 
 def score(docs: DataFrame, model: FactorizationMachine, column: str = "score") -> DataFrame:
