@@ -41,7 +41,7 @@ from ..workers import ship
 from .common import add_column, documents, free_name, fresh_path, map_batches, release, settle, slices, small_batches, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 100_000, 4, 512
+HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 100_000, 6, 512
 #: Positions of a word that one fold goes over.
 BLOCK = 256
 #: Substrings of at most so many characters are made at every place.
@@ -394,8 +394,8 @@ class Partly:
     path: str = ""
 
 
-def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep: list[str], waves: int = 0) -> Partly:
-    """One pass over the texts; keep: the columns that go on.  With waves, the rows have a column `wave` that they are stored by."""
+def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep: list[str]) -> Partly:
+    """One pass over the texts; keep: the columns that go on."""
     sent, cutter = words.head, words.cutter
     codes, holes, row = (free_name(docs, x) for x in ("codes", "holes", "row"))
     rows = docs.withColumn("text", F.col("text").cast("string"))
@@ -426,10 +426,7 @@ def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep
     part = map_batches(rows.select(*dict.fromkeys([*keep, "text"])), run, schema, rows=ROWS)
     part = part.withColumn(row, F.monotonically_increasing_id())
     with small_batches(docs.sparkSession):
-        if not waves:
-            return Partly(settle(part, "piece-partly"), codes, holes, row)
-        part = part.withColumn("wave", F.pmod(F.xxhash64(row), F.lit(waves)).cast("int"))
-        part.write.partitionBy("wave").option("compression", "zstd").parquet(path := fresh_path(docs.sparkSession, "piece-partly"))
+        part.write.option("compression", "zstd").parquet(path := fresh_path(docs.sparkSession, "piece-partly"))
     return Partly(docs.sparkSession.read.schema(part.schema).parquet(path), codes, holes, row, path)
 
 
@@ -520,7 +517,7 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: s
 def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> DataFrame:
     """(doc_id, n_pieces, ids_sha256, round_trip): the codes' digest (decimal, comma-separated) and whether they decode to the text.
 
-    The dictionary is made once over the whole corpus; rows meet their rare words in waves, so that this holds a fraction of the corpus on
+    The dictionary is made once over the whole corpus; texts are encoded in waves by their code, so that a fraction of the corpus is on
     disk at a time.  Texts are compared by 64-bit codes, so they are read once and not dealt out.
     """
     vocabulary = Vocabulary.load(path)
@@ -528,16 +525,16 @@ def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> D
     text = F.replace(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(SPACE), F.lit(" "))
     rows = docs.select("doc_id", text.alias("text"))
     words = Dictionary.build(rows, vocabulary)
-    part = encode_head(rows.withColumn("code", F.xxhash64("text")), vocabulary, words, ["doc_id", "code"], waves)
+    rows = rows.withColumn("code", F.xxhash64("text"))
     sent = spark.sparkContext.broadcast((piece_bytes(vocabulary), pa.array([f"{i},".encode() for i in range(len(vocabulary.names))], pa.large_binary())))
-    codes, holes, small = part.codes, part.holes, len(vocabulary.names) < 0xFFFF
+    small = len(vocabulary.names) < 0xFFFF
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces long, ids_sha256 string, round_trip boolean"
     out = []
     for wave in range(waves):
-        some = Partly(part.rows.where(F.col("wave") == wave).drop("wave"), codes, holes, part.row)
-        both, more = met(some, words)
+        part = encode_head(rows.where(F.pmod(F.col("code"), F.lit(waves)) == wave), vocabulary, words, ["doc_id", "code"])
+        both, more = met(part, words)
 
-        def run(b: pa.RecordBatch, more: str = more) -> pa.RecordBatch:
+        def run(b: pa.RecordBatch, codes: str = part.codes, holes: str = part.holes, more: str = more) -> pa.RecordBatch:
             pieces, numbers = sent.value
             ids = filled(b.column(codes), b.column(holes), b.column(more), small)
             digest = [hashlib.sha256(x[:-1]).hexdigest() for x in joined(ids, numbers).to_pylist()]
@@ -548,7 +545,7 @@ def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> D
 
         with small_batches(spark):
             out.append(settle(map_batches(both, run, schema, rows=ROWS), "piece-digests"))
-        remove(spark, f"{part.path}/wave={wave}")  # its digests are written
+        remove(spark, part.path)  # the wave's digests are written
         release(spark)
     return union_all(out)
 
