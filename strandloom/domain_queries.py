@@ -90,7 +90,8 @@ def quote_chains(spark, folder):
 
 @query(f"WITH {_QUOTES} SELECT DISTINCT o.id AS subject, 'hasUnderlyingEquity' AS predicate, s.id AS object FROM o JOIN s USING (u, t)")
 def options_to_equities(spark, folder):
-    return short(domains.option_links(_market(spark, folder), V)).distinct()
+    links = domains.option_links(_market(spark, folder), V, X.local_name)
+    return links.withColumn("predicate", X.local_name(F.col("predicate")))
 
 
 @query(f"WITH {_QUOTES}, l AS (SELECT u, arg_max(id, (t, id)) AS id FROM s GROUP BY u) SELECT o.id AS subject, 'hasUnderlyingEquity' AS predicate, l.id AS object FROM o JOIN l USING (u)")

@@ -18,7 +18,8 @@ def exact_or_latest(left: DataFrame, right: DataFrame, key: str, time: str, valu
     Adds `value` of right. right's latest row is by time, then tail.
     """
     exact = left.join(right.select(key, time, value), [key, time])
-    any_exact = exact.agg((F.count("*") > 0).alias("_any"))
+    # Whether there is a match is told by the distinct keys and times: the matches themselves may be the product of both sides.
+    any_exact = left.select(key, time).distinct().join(right.select(key, time).distinct(), [key, time]).agg((F.count("*") > 0).alias("_any"))
     # Both sides pass the gate before they are aggregated and joined: where it is shut, they are empty.
     gate = lambda df: df.crossJoin(F.broadcast(any_exact)).where("NOT _any").drop("_any")
     last = gate(right).groupBy(key).agg(F.max_by(F.struct(value), F.struct(time, tail)).alias("_last")).select(key, F.col(f"_last.{value}").alias(value))

@@ -7,10 +7,10 @@ of related series, types of measurements, constituents) are parameters, read fro
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -19,6 +19,7 @@ from ..operators import hubs, joins, pairs
 from ..operators.calendar import dates_of
 from ..operators.schema import classify_events
 from ..operators.sequence import escalations, sequence_triples
+from ..storage import settle
 
 #: Order of severity and urgency in alerts.
 SEVERITY = {"Minor": 1, "Moderate": 2, "Severe": 3, "Extreme": 4}
@@ -122,9 +123,16 @@ def chained_quotes(triples: DataFrame, v: Vocabulary) -> DataFrame:
     return sequence_triples(rows, "subject", ["symbol"], ["time", "subject"], v.derived("precedes"))
 
 
-def option_links(triples: DataFrame, v: Vocabulary) -> DataFrame:
-    """Options to equities of their time, or, if none has one, to the latest."""
-    found = joins.exact_or_latest(options(triples, v).select("option", "underlying", "time"), equities(triples, v), "underlying", "time", "equity", "equity")
+def option_links(triples: DataFrame, v: Vocabulary, written: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """Options to equities of their time, or, if none has one, to the latest: each pair once, as both sides are distinct.
+
+    written: how an option or equity is written in the result; done before the join, which makes a product for each underlying and time.
+    """
+    left = options(triples, v).select(written(F.col("option")).alias("option"), "underlying", "time")
+    right = equities(triples, v).withColumn("shown", written(F.col("equity")))
+    # Written once, as the join, its gate and the fallback all read them.
+    left, right = settle(left, "link-options"), settle(right.drop("price"), "link-equities")
+    found = joins.exact_or_latest(left, right, "underlying", "time", "shown", "equity").withColumnRenamed("shown", "equity")
     return as_triples(found, "option", v.derived("hasUnderlyingEquity"), "equity")
 
 

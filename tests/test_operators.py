@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -324,3 +325,18 @@ def test_shared_folder_is_required_off_one_machine():
     sc = N(getConf=lambda: Conf(), getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError, match="checkpoint"):
         storage.shared_dir(N(sparkContext=sc, conf=Conf()))
+
+
+def test_links_of_options_are_neither_dealt_out_nor_written_anew(spark):
+    """What makes a product is not made distinct afterwards, nor counted to see whether it is empty; how nodes are written is settled before."""
+    quote = lambda n, s, k: [(n, TYPE, k), (n, "symbol", f"'{s}"), (n, "captureTime", "'t1")]
+    t = triples(spark, [x for i in range(3) for x in quote(f"o{i}", "AA    240119C00010000", "OptionSnapshot")] + [x for i in range(4) for x in quote(f"e{i}", "AA", "EquitySnapshot")])
+    links = domains.option_links(t, V, X.local_name)
+    assert sorted((r["subject"], r["object"]) for r in links.collect()) == [(f"o{i}", f"e{j}") for i in range(3) for j in range(4)]
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan
+    left, right = (spark.createDataFrame([("k", 1, f"{x}{i}") for i in range(100)], f"k string, t int, {x} string") for x in "ab")
+    found = joins.exact_or_latest(left, right, "k", "t", "b", "b")
+    assert found.count() == 10_000
+    # The gate looks at distinct keys and times.
+    assert len(re.findall(r"Aggregate \[k#\d+, t#\d+", found._jdf.queryExecution().optimizedPlan().toString())) >= 2
