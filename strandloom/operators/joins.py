@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A table this small, counted when the plan is made, is broadcast for a join without equality; a larger one is refused.
 THETA_ROWS = 20_000
+#: Parts of one side of a product, for each of which the other side is copied.
+SLICES = 64
 
 
 def exact_or_latest(left: DataFrame, right: DataFrame, key: str, time: str, value: str, tail: str) -> DataFrame:
@@ -76,14 +79,25 @@ def containing_words(df: DataFrame, key: str, text: Column, table: DataFrame, pa
 def pattern_pairs(df: DataFrame, entity: str, text: Column, pairs: Sequence[tuple[str, str, str]]) -> DataFrame:
     """(a, relation, b): every entity that contains a pair's first pattern with every one that contains its second.
 
-    One join against all patterns instead of one for each pair. The result is a product by definition.
+    One join against all patterns instead of one for each pair. The result is a product by definition, so it is neither
+    dealt out nor sorted: both sides are distinct before they meet, and only relations that several pairs name need more.
+    A pattern's entities are dealt into SLICES, each of which meets a copy of the other side, so a product is no single task's.
     """
     patterns = sorted({p for a, _, b in pairs for p in (a, b)})
     hits = containing(df, text, small_table(df, [(p,) for p in patterns], "pattern string"), "pattern").select(entity, "pattern").distinct()
-    rules = small_table(df, pairs, "p string, relation string, q string")
-    a = hits.select(F.col(entity).alias("a"), F.col("pattern").alias("p"))
-    b = hits.select(F.col(entity).alias("b"), F.col("pattern").alias("q"))
-    return a.join(rules, "p").join(b, "q").where("a <> b").select("a", "relation", "b").distinct()
+    named = Counter(relation for _, relation, _ in set(pairs))
+
+    def product(some: list[tuple[str, str, str]]) -> DataFrame:
+        rules = F.broadcast(small_table(df, some, "p string, relation string, q string"))
+        a = hits.select(F.col(entity).alias("a"), F.col("pattern").alias("p")).join(rules, "p").withColumn("slice", F.pmod(F.xxhash64("a"), F.lit(SLICES)))
+        b = hits.select(F.col(entity).alias("b"), F.col("pattern").alias("q")).join(F.broadcast(rules.select("q").distinct()), "q")
+        b = b.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+        return a.join(b.hint("merge"), ["q", "slice"]).where("a <> b").select("a", "relation", "b")
+
+    once, again = ([x for x in dict.fromkeys(pairs) if (named[x[1]] == 1) == alone] for alone in (True, False))
+    if not again:
+        return product(once)
+    return product(once).unionByName(product(again).distinct()) if once else product(again).distinct()
 
 
 def best_of(df: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:

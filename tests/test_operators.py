@@ -340,3 +340,23 @@ def test_links_of_options_are_neither_dealt_out_nor_written_anew(spark):
     assert found.count() == 10_000
     # The gate looks at distinct keys and times.
     assert len(re.findall(r"Aggregate \[k#\d+, t#\d+", found._jdf.queryExecution().optimizedPlan().toString())) >= 2
+
+
+def test_pattern_pairs_are_dealt_into_slices_without_a_distinct_product(spark):
+    df = spark.createDataFrame([(i, ("ab", "bc", "abc", "x")[i % 4]) for i in range(400)] + [(0, "ab")], "id int, name string")
+    has = {i: ("ab", "bc", "abc", "x")[i % 4] for i in range(400)}
+    rules = [("a", "one", "c"), ("ab", "two", "bc"), ("b", "two", "c"), ("a", "one", "c")]
+    got = joins.pattern_pairs(df, "id", F.col("name"), rules)
+    want = {(a, r, b) for a in has for b in has for p, r, q in rules if p in has[a] and q in has[b] and a != b}
+    rows = [tuple(r) for r in got.select("a", "relation", "b").collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    alone = joins.pattern_pairs(df, "id", F.col("name"), rules[:1])
+    assert alone.columns == ["a", "relation", "b"]
+    assert "Aggregate [a" not in alone._jdf.queryExecution().optimizedPlan().toString()
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")  # else so few rows end in one task
+    try:
+        held = alone.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()
+    finally:
+        spark.conf.unset(name)
+    assert len(held) > 1 and max(r["count"] for r in held) < sum(r["count"] for r in held)
