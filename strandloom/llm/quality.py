@@ -16,7 +16,9 @@ id, the first text is learnt from.  All other columns pass through `score`.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,29 +36,57 @@ SHARPNESS = 4
 _SHAPES = bytes(65 if 65 <= i <= 90 else 48 if 48 <= i <= 57 else 97 if i >= 128 or 97 <= i <= 122 else i for i in range(256))
 
 
-def _shape(word: bytes) -> int:
-    runs = word.translate(_SHAPES)
+def _shape(runs: bytes) -> int:
+    """Code of a word's shape, from the word translated by _SHAPES."""
     return xxhash.xxh3_64_intdigest(bytes(c for i, c in enumerate(runs) if i == 0 or c != runs[i - 1])[:6])
 
 
-_words, _shapes = Codes(lambda w: xxhash.xxh3_64_intdigest(w.lower())), Codes(_shape)
+_shapes = Codes(_shape)
+
+
+#: Texts whose counts are kept in one table of a row for each text and a column for each of DIMS.
+TABLE_ROWS = 16
+_AGAIN = [int(mixed(np.array([x], np.uint64))[0] % np.uint64(DIMS)) for x in (13, 11)]
+
+
+def _terms(rows: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """For blocks of at most TABLE_ROWS texts: the number of texts before it, and the counts by text and column."""
+    words = [t.lower().split() for t in rows]
+    counts = np.array([len(w) for w in words], np.int64)
+    edge = np.concatenate(([0], np.cumsum(counts)))
+    # There are too many different words to remember their codes, but few shapes.
+    word = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, int(edge[-1]))
+    shape = np.fromiter(map(_shapes.__getitem__, chain.from_iterable(t.translate(_SHAPES).split() for t in rows)), np.uint64, int(edge[-1]))
+    one, low = np.uint64(1), np.uint64(DIMS - 1)  # DIMS is a power of two
+    with np.errstate(over="ignore"):
+        columns = (mixed(word + one) & low).astype(np.int64), (mixed(shape + np.uint64(2)) & low).astype(np.int64)
+        pairs = (mixed(shape[1:] * np.uint64(3) + shape[:-1]) & low).astype(np.int64)
+    same = word[1:] == word[:-1]
+    for start in range(0, len(rows), TABLE_ROWS):
+        n = counts[start : start + TABLE_ROWS]
+        i, j = edge[start], edge[start + len(n)]
+        doc = segments(n)
+        base = doc * DIMS
+        near = doc[1:] == doc[:-1]
+        key = np.concatenate([base + columns[0][i:j], base + columns[1][i:j], (base[1:] + pairs[i : j - 1])[near] if j > i else base])
+        table = np.bincount(key, minlength=len(n) * DIMS).reshape(len(n), DIMS)
+        if j > i:
+            again = np.bincount(doc[1:][near & same[i : j - 1]], minlength=len(n))
+            table[:, _AGAIN[1]] += again
+            table[:, _AGAIN[0]] += np.maximum(n - 1, 0) - again
+        yield start, table
 
 
 def term_counts(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, column, count), sorted by document and column."""
-    words = [t.split() for t in rows]
-    n = np.array([len(w) for w in words], np.int64)
-    total, doc = int(n.sum()), segments(n)
-    word = np.fromiter((_words[w] for ws in words for w in ws), np.uint64, total)
-    shape = np.fromiter((_shapes[w] for ws in words for w in ws), np.uint64, total)
-    near = doc[1:] == doc[:-1] if total else np.zeros(0, bool)
-    with np.errstate(over="ignore"):
-        pair = mixed(shape[1:] * np.uint64(3) + shape[:-1])[near]
-        again = np.where(word[1:] == word[:-1], np.uint64(11), np.uint64(13))[near]
-        kinds = [(doc, mixed(word + np.uint64(1))), (doc, mixed(shape + np.uint64(2))), (doc[1:][near], pair), (doc[1:][near], mixed(again))]
-    key = np.concatenate([d * DIMS + (c % np.uint64(DIMS)).astype(np.int64) for d, c in kinds])
-    keys, count = np.unique(key, return_counts=True)
-    return keys // DIMS, keys % DIMS, count
+    docs, columns, counts = ([np.zeros(0, np.int64)] for _ in range(3))
+    for start, table in _terms(rows):
+        flat = table.ravel()
+        key = np.flatnonzero(flat)
+        docs.append(key // DIMS + start)
+        columns.append(key % DIMS)
+        counts.append(flat[key])
+    return np.concatenate(docs), np.concatenate(columns), np.concatenate(counts)
 
 
 @dataclass
@@ -71,9 +101,13 @@ class NeighbourVotes:
     def embed(self, doc: np.ndarray, column: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
         weight = ((1 + np.log(count)) * self.idf[column]).astype(np.float32)
         out = np.zeros((n, self.directions.shape[1]), np.float32)
-        if len(doc):
-            starts = np.concatenate(([0], np.nonzero(np.diff(doc))[0] + 1))
-            out[doc[starts]] = np.add.reduceat(self.directions[column] * weight[:, None], starts, axis=0)
+        cuts = np.searchsorted(doc, np.arange(0, n + TABLE_ROWS, TABLE_ROWS))
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if j > i:
+                starts = np.concatenate(([0], np.nonzero(np.diff(doc[i:j]))[0] + 1))
+                part = self.directions[column[i:j]]
+                part *= weight[i:j, None]
+                out[doc[i:j][starts]] = np.add.reduceat(part, starts, axis=0)
         return _unit(out)
 
     def scores(self, rows: list[bytes]) -> np.ndarray:
@@ -120,8 +154,9 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     """Documents per column over all rows, then the number of documents: DIMS + 1 counts."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        _, column, _ = term_counts(texts(b.column(0)))
-        df = np.bincount(column, minlength=DIMS + 1)
+        df = np.zeros(DIMS + 1, np.int64)
+        for _, table in _terms(texts(b.column(0))):
+            df[:DIMS] += np.count_nonzero(table, axis=0)
         df[DIMS] = b.num_rows
         at = np.nonzero(df)[0]
         return pa.record_batch([pa.array(at, pa.int32()), pa.array(df[at], pa.int64())], ["column", "n"])

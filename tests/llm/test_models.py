@@ -150,3 +150,22 @@ def test_learning_rows_are_those_of_the_contract(spark, data):
     assert ids and all(crc32(str(i).encode()) % 3 != 1 for i in ids)
     ids = {r[0] for r in quality.training_labels(spark, data).select("doc_id").collect()}
     assert ids and all(crc32(str(i).encode()) % 5 != 0 for i in ids)
+
+
+def test_terms_by_table_are_those_of_the_rule_and_no_word_is_remembered():
+    """A table holds TABLE_ROWS texts; of words only the shapes, which are few, are kept between calls."""
+    mix = lambda x: int(quality.mixed(np.array([x % 2**64], np.uint64))[0])
+    texts = [" ".join(f"Word{i}x{j}q" + ("!" if j % 7 == 0 else "") for j in range(i % 40)) + (" one One two" if i % 3 else "") for i in range(3 * quality.TABLE_ROWS + 5)]
+    want = {}
+    for d, t in enumerate(texts):
+        words = t.encode().split()
+        word = [quality.xxhash.xxh3_64_intdigest(w.lower()) for w in words]
+        shape = [quality._shape(w.translate(quality._SHAPES)) for w in words]
+        terms = [mix(w + 1) for w in word] + [mix(s + 2) for s in shape]
+        terms += [mix(b * 3 + a) for a, b in zip(shape, shape[1:], strict=False)] + [mix(11 if a == b else 13) for a, b in zip(word, word[1:], strict=False)]
+        for x in terms:
+            want[d, x % quality.DIMS] = want.get((d, x % quality.DIMS), 0) + 1
+    quality._shapes.clear()
+    doc, column, count = quality.term_counts([t.encode() for t in texts])
+    assert list(zip(doc.tolist(), column.tolist(), count.tolist(), strict=True)) == [(*k, n) for k, n in sorted(want.items())]
+    assert len(quality._shapes) < 20
