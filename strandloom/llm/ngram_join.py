@@ -24,14 +24,16 @@ different texts under one id do not link by it.  Empty input gives an empty resu
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..workers import ship
-from .common import LOWER, UPPER, checked, components, documents, free_name, list_array, map_batches, mixed, segments, settle, shingle_sets, texts
+from .common import LOWER, UPPER, add_column, checked, components, documents, free_name, list_array, map_batches, mixed, segments, settle, shingle_sets, texts
 
 N, PERCENT = 5, 80
 BANDS, BAND_HASHES = 10, 3
@@ -41,6 +43,8 @@ PREFIX_PERCENT = 40
 TOKENS_PER_TASK = 2_000_000
 #: Members of a group that share one row of unions.
 CELL = 64
+#: 64-bit words of a set's parity bits, and members up to which a group's sets meet others one by one, with these.
+PARITY_WORDS, FEW = 16, 4
 
 _MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, BANDS * BAND_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -191,6 +195,16 @@ def shared_tokens(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> D
     return blocks.repartition(parts, "part").groupBy("part").applyInArrow(held, "key long, token long, held int")
 
 
+def _parities(b: pa.RecordBatch) -> pa.Array:
+    """Of each set's shared tokens, how many fall to each of 64 * PARITY_WORDS bits, modulo 2."""
+    shared = b.column(b.schema.get_field_index("shared"))
+    token = shared.flatten().field("token").to_numpy(zero_copy_only=False).view(np.uint64)
+    row = segments(np.diff(shared.offsets.to_numpy()))
+    bits = 64 * PARITY_WORDS
+    odd = np.bincount(row * bits + (mixed(token) % np.uint64(bits)).astype(np.int64), minlength=b.num_rows * bits) & 1
+    return list_array(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64), np.full(b.num_rows, PARITY_WORDS), pa.int64())
+
+
 def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b): groups of which a member of one links with a member of the other. groups: settled (key, first, n, group)."""
     counts = shared_tokens(docs, groups, n, PREFIX_PERCENT).groupBy("key").agg(F.count("*").alias("c"))
@@ -199,7 +213,9 @@ def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> Dat
     # Whole sets of those that passed: rare tokens first. Tokens of one group alone come before all others, and never meet another group.
     each = shared_tokens(docs, passed, n, 100).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("shared"))
     each = each.join(passed, "key").where(F.size("shared") * 100 >= F.col("n") * percent)
-    each = settle(each, "ngram-shared")
+    each = settle(add_column(each, _parities, "parity", T.ArrayType(T.LongType())), "ngram-shared")
+    many = each.groupBy("group").agg(F.count("*").alias("many"))
+    sized = each.join(many.withColumnRenamed("group", "_group"), F.col("group") == F.col("_group"))
     # Of two sets that link, the larger shares a token of its probing prefix with the smaller's shorter indexing prefix.
     need = {"probe": F.ceil(F.col("n") * percent / 100), "index": F.ceil(F.col("n") * (2 * percent) / (100 + percent))}
 
@@ -207,19 +223,28 @@ def cross_links(docs: DataFrame, groups: DataFrame, n: int, percent: int) -> Dat
         """(token, group, room, low): the group's union of its members' prefix tokens; low: its smallest member with the token there, room: the most
         that a member can have in common with others from the token on, as what it leaves for the other's size in the threshold."""
         most = F.greatest(F.size("shared") - need[side].cast("int") + 1, F.lit(0))
-        rows = each.select("n", "group", F.size("shared").alias("size"), F.posexplode(F.slice("shared.token", F.lit(1), most)).alias("at", "token"))
+        alone = F.when(F.col("many") <= FEW, F.col("key")).alias("alone")
+        rows = sized.select("n", "group", alone, "parity", F.size("shared").alias("size"), F.posexplode(F.slice("shared.token", F.lit(1), most)).alias("at", "token"))
         room = (F.col("size") - F.col("at")) * (100 + percent) - F.col("n") * percent
-        return rows.groupBy("token", "group").agg(F.max(room).alias(f"{side}_room"), F.min("n").alias(f"{side}_low"), F.max("n").alias(f"{side}_high"))
+        rows = rows.groupBy("token", "group", "alone").agg(
+            F.max(room).alias(f"{side}_room"), F.min("n").alias(f"{side}_low"), F.max("n").alias(f"{side}_high"),
+            F.max("size").alias(f"{side}_size"), F.first("parity").alias(f"{side}_parity"),
+        )
+        return rows.withColumn(f"{side}_parity", F.when(F.col("alone").isNotNull(), F.col(f"{side}_parity"))).drop("alone")
 
     # The first token that two sets share in this order leaves each at most its remaining tokens in common, min(r, s), and
     # a link needs (100 + percent) * min(r, s) >= percent * (n + m): what shares a passage without being similar does not meet.
     index = prefixes("index").withColumnRenamed("group", "other")
     sizes = (F.col("probe_high") >= F.col("index_low")) & (F.col("index_high") * 100 >= F.col("probe_low") * percent)
     rooms = (F.col("probe_room") >= F.col("index_low") * percent) & (F.col("index_room") >= F.col("probe_low") * percent)
-    near = prefixes("probe").join(index, "token").where((F.col("group") != F.col("other")) & sizes & rooms)
+    # Two sets differ in as many shared tokens at least as their parities do in bits, which bounds what they have in common: of
+    # near copies below the threshold, which share most tokens and would meet once for each, few pairs pass.
+    differ = functools.reduce(Column.__add__, [F.bit_count(F.col("probe_parity")[i].bitwiseXOR(F.col("index_parity")[i])) for i in range(PARITY_WORDS)])
+    common = F.col("probe_size") + F.col("index_size") - differ  # twice what they have in common, at most
+    alike = F.coalesce(common * (100 + percent) >= (F.col("probe_low") + F.col("index_low")) * (2 * percent), F.lit(True))
+    near = prefixes("probe").join(index, "token").where((F.col("group") != F.col("other")) & sizes & rooms & alike)
     met = near.select(F.least("group", "other").alias("g"), F.greatest("group", "other").alias("h")).distinct()
     # Of two groups the members of the smaller ask, whichever sets are larger: the bound below holds both ways.
-    many = each.groupBy("group").agg(F.count("*").alias("many"))
     met = met.join(many.withColumnsRenamed({"group": "g", "many": "i"}), "g").join(many.withColumnsRenamed({"group": "h", "many": "j"}), "h")
     pairs = settle(met.select(F.when(F.col("i") <= F.col("j"), F.col("g")).otherwise(F.col("h")).alias("group"), F.when(F.col("i") <= F.col("j"), F.col("h")).otherwise(F.col("g")).alias("other")), "ngram-group-pairs")
     # A large group's matrix rows are kept by cell of about CELL members, so that a bound concerns few of them.

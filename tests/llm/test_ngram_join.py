@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from strandloom.llm import common, ngram_join
 
 from .conftest import prose
@@ -76,3 +78,22 @@ def test_components_of_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     rows = {r["node"]: r["root"] for r in common.components(edges).collect()}
     assert rows == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_near_copies_below_the_threshold_do_not_meet(make_docs, monkeypatch):
+    """Copies of one text, each with other words replaced, share most shingles in pairs without linking: few groups are compared, no link is lost."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.choice(150, 4 if i % 10 else 1, replace=False):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    docs, met = make_docs([t for _, t in rows]), {}
+    keep = ngram_join.settle
+    monkeypatch.setattr(ngram_join, "settle", lambda df, tag: met.update({tag: keep(df, tag)}) or met[tag])
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_components(docs).collect()}
+    assert got == {i: c for i, (_, c) in brute([t for _, t in rows]).items()}
+    groups = met["ngram-shared"].select("group").distinct().count()
+    assert groups > 20 and met["ngram-group-pairs"].count() < groups * (groups - 1) // 8
