@@ -26,23 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, Codes, add_column, documents, free_name, map_batches, mixed, segments, settle, texts
+from .common import BROADCAST_ROWS, add_column, documents, free_name, map_batches, mixed, segments, settle, texts
 
 MIN_SENTENCES, MIN_WORDS, CUT = 2, 20, 12
 
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_EVEN = ~1 & 0xFFFFFFFFFFFFFFFF
-
-
-def _code(token: bytes) -> int:
-    """64 bits of the lower-cased word; the lowest says whether a sentence ends here."""
-    word = token.strip()
-    h = xxhash.xxh3_64_intdigest(word.lower())
-    ends = word[-1:] in b".!?" or b"\n" in token[len(token.rstrip()) :] or (h >> 1) % CUT == 0
-    return (h & _EVEN) | ends
-
-
-_codes = Codes(_code)
+_MARK = np.isin(np.arange(256), list(b".!?"))
 
 
 def sentences(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -51,22 +40,30 @@ def sentences(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     A word has the blanks behind it; blanks before a text's first word belong to that.  A text of blanks has no words, and its bytes don't count.
     """
     rows = [t if t.strip() else b"" for t in rows]
-    raw = b"".join(rows)
+    raw = b"".join(rows).lower()
     edge = np.concatenate(([0], np.cumsum([len(t) for t in rows], dtype=np.int64)))
-    blank = _BLANK[np.frombuffer(raw, np.uint8)]
-    begins = np.ones(len(raw), bool)
-    begins[1:] = blank[:-1]
+    bytes_ = np.frombuffer(raw, np.uint8)
+    full = ~_BLANK[bytes_]
     some = edge[:-1][np.diff(edge) > 0]
-    begins[some] = True
-    at = np.flatnonzero(begins & ~blank)
+    begins, ends = full.copy(), full.copy()
+    begins[1:] &= ~full[:-1]
+    begins[some] = full[some]
+    ends[:-1] &= ~full[1:]
+    ends[edge[1:][np.diff(edge) > 0] - 1] = full[edge[1:][np.diff(edge) > 0] - 1]
+    at, last = np.flatnonzero(begins), np.flatnonzero(ends)
     counts = np.diff(np.searchsorted(at, edge))
     head = (np.cumsum(counts) - counts)[counts > 0]
-    at[head] = some
-    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(raw))), pa.py_buffer(raw)]).dictionary_encode()
-    known = np.fromiter(map(_codes.__getitem__, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+    offsets = np.concatenate(([0], np.cumsum(last - at + 1)))
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(bytes_[full])]).dictionary_encode()
+    known = np.fromiter(map(xxhash.xxh3_64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
     code = known[words.indices.to_numpy()]
+    stops = ((known >> np.uint64(1)) % np.uint64(CUT) == 0)[words.indices.to_numpy()] | _MARK[bytes_[last]]
+    # A line break in the blanks behind a word; one before a text's first word counts for the text before, which ends there anyway.
+    breaks = np.searchsorted(at, np.flatnonzero(bytes_ == 10), side="right") - 1
+    stops[breaks[breaks >= 0]] = True
+    at[head] = some
     starts = np.ones(len(code), bool)
-    starts[1:] = (code[:-1] & np.uint64(1)).astype(bool)
+    starts[1:] = stops[:-1]
     starts[head] = True
     first = np.flatnonzero(starts)
     per = np.bincount(segments(counts)[first], minlength=len(rows)) if len(rows) else np.zeros(0, np.int64)

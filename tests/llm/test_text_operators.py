@@ -337,3 +337,14 @@ def test_pieces_of_odd_documents(odd_docs, no_docs, vocabulary):
     assert all(r["ids"] == [] for r in rows if not r["text"])
     assert sentencepiece.encoded_digests(no_docs).count() == 0
     assert sentencepiece.encoded_digests(odd_docs).where(~F.col("round_trip")).count() == 0
+
+
+def test_sentences_of_many_words_remember_none_and_keep_each_text_apart():
+    """Line breaks before a text's first word end nothing but the text before; words of all texts are coded anew, whatever their number."""
+    texts = ["a b", "\n c d", "\n\n", "e\n\n f", "", "g.\n", "\tH! i", " ".join(f"W{i}" for i in range(500))]
+    code, at, first, per = substring_dedup.sentences([t.encode() for t in texts])
+    plain = [plain_sentences(t) for t in texts]
+    assert list(per) == [len(x) for x in plain]
+    assert np.array_equal(np.diff(np.append(first, len(code))), [len(y) for x in plain for y in x])
+    assert [int(c) for c in code] == [xxhash.xxh3_64_intdigest(w.strip().lower().encode()) | 1 for x in plain for y in x for w in y]
+    assert not [x for x in vars(substring_dedup).values() if isinstance(x, dict) and len(x) > 400]
