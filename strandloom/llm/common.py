@@ -7,9 +7,11 @@ bytes both are what ``bytes.split()`` and ``bytes.lower()`` do, so no pattern is
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import functools
 import gc
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +97,13 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return first.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text")
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers live on between tasks, and what each keeps counts for its executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, rows: int = 512) -> DataFrame:
     """mapInArrow by slices, so that memory does not follow the batch size."""
 
@@ -103,6 +112,8 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | No
             for part in slices(b, rows):
                 if (out := f(part)) is not None and out.num_rows:
                     yield out
+        b = part = out = None  # noqa: F841  else the last batch stays
+        give_back()
 
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -161,9 +172,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_codes = Codes(xxhash.xxh3_64_intdigest)
-
-
 def shingle_runs(rows: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit codes of the n-word shingles of lower-cased texts in order, concatenated, and how many each text has.
 
@@ -171,8 +179,7 @@ def shingle_runs(rows: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     """
     words = [t.lower().split() for t in rows]
     counts = np.array([len(w) for w in words], np.int64)
-    get = _codes.__getitem__
-    h = np.fromiter((get(w) for ws in words for w in ws), np.uint64, int(counts.sum()))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, int(counts.sum()))
     if not len(h):
         return h, counts
     acc = np.zeros(len(h), np.uint64)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Codes, add_column, documents, labelled as sampled, map_batches, remainder, texts
+from .common import add_column, documents, give_back, labelled as sampled, map_batches, remainder, texts
 
 TRAIN_ROWS, MIN_DF, MAX_TERMS, FACTORS, EPOCHS = 12_000, 5, 512, 8, 12
 THRESHOLD = 0.7
@@ -31,14 +31,13 @@ STEMS = (4, 6)
 
 #: A-Z to lower case, other ASCII characters than letters and digits to blanks.
 _TABLE = bytes((i + 32 if 65 <= i <= 90 else i) if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
-_codes = Codes(xxhash.xxh3_64_intdigest)
 
 
 def terms(text: bytes) -> np.ndarray:
     """Sorted distinct term codes of a text; 0 is the bias, which every text has."""
     words = set(text.translate(_TABLE).split())
     words |= {b"^" + w[:k] for k in STEMS for w in words if len(w) > k}
-    return np.unique(np.fromiter((_codes[w] for w in words), np.uint64, len(words)))
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
 
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -135,7 +134,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Factori
     order = sorted(zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), range(got.num_rows), strict=True))  # an id and label are one row
     rows = got["terms"].to_pylist()
     del got
-    return fit([np.frombuffer(rows[i], np.uint64) for _, _, i in order], np.array([y for _, y, _ in order], np.float32))
+    model = fit([np.frombuffer(rows[i], np.uint64) for _, _, i in order], np.array([y for _, y, _ in order], np.float32))
+    del rows, order
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: FactorizationMachine, column: str = "score") -> DataFrame:
