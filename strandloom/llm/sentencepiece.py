@@ -45,7 +45,7 @@ HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 100_000, 6, 512
 #: Positions of a word that one fold goes over.
 BLOCK = 256
 #: Substrings of at most so many characters are made at every place.
-STEM = 3
+STEM = 2
 #: A code is a piece's place in the lattice's pieces or UNKNOWN + a code point; an edge is its end, LONGEST less its length, and its code in one long.
 UNKNOWN, CODE_BITS, LONGEST, STOP_SHIFT = 1 << 22, 23, 255, 31
 #: Tasks of the lattice for each shuffle partition: edges are some forty times the bytes of their words.
@@ -197,20 +197,21 @@ def edges_of(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(key, c, edge): the matches of the pieces in distinct words, packed in a long, which sorts them by end, then start.
 
     words: (key, base, part, c) as word_counts gives them.  Substrings of more than STEM characters are made only where the first STEM + 1 of them begin a piece, and
-    at most as long as the longest such piece.
+    only as long as such pieces are.
     """
     spark = words.sparkSession
-    stems: dict[str, int] = {}
+    always = list(range(1, STEM + 1))
+    stems: dict[str, set[int]] = {}
     for p in vocabulary.lattice:
         if len(p) > STEM:
-            stems[p[: STEM + 1]] = max(stems.get(p[: STEM + 1], 0), len(p))
-    reach = spark.createDataFrame(list(stems.items()) or [("", 0)], "stem string, reach int")
+            stems.setdefault(p[: STEM + 1], set()).add(len(p))
+    reach = spark.createDataFrame([(s, always + sorted(n)) for s, n in stems.items()] or [("", always)], "stem string, sizes array<int>")
     pieces = spark.createDataFrame([(p, i) for i, p in enumerate(vocabulary.lattice)], "piece string, place long")
-    left = F.char_length("part") - F.col("i") + 1
     rows = words.withColumn("part", F.coalesce("part", F.col("key").cast("string")))
     rows = rows.withColumn("i", F.explode(F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.char_length("part")))))
     rows = rows.withColumn("stem", F.col("part").substr(F.col("i"), F.lit(STEM + 1))).join(F.broadcast(reach), "stem", "left")
-    rows = rows.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(STEM)), left))))
+    rows = rows.withColumn("left", F.char_length("part") - F.col("i") + 1)
+    rows = rows.withColumn("size", F.explode(F.coalesce("sizes", F.lit(always)))).where("size <= left")
     rows = rows.select("key", "c", (F.col("base") + F.col("i") + F.col("size") - 1).alias("stop"), "size", F.col("part").substr(F.col("i"), F.col("size")).alias("piece"))
     found = rows.join(F.broadcast(pieces), "piece", "left").where("place IS NOT NULL OR size = 1")
     code = F.coalesce("place", (F.ascii("piece") + UNKNOWN).cast("long"))
@@ -223,47 +224,46 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _ahead(edges: Column, seed: Column, offset: Column, vocabulary: Vocabulary) -> Column:
-    """For each position its best score and the edge it came by without its end, one after the other in one array of doubles, behind those
-    of `seed`, whose first is of position `offset`.
+def _ahead(edges: Column, seed: Column, offset: Column | None, vocabulary: Vocabulary) -> Column:
+    """The best score of each position, behind those of `seed`, whose first is of position `offset`, or 0.
 
-    Edges come by end, those of equal ends by start: an entry is appended or, if the new one is better, replaced last.
+    Edges come by end, those of equal ends by start: a score is appended or, if the new one is better, replaced last.  A score is one
+    value and comes by array_append, since this runs for every edge; by which edge it came is told from it afterwards.
     """
     scores = F.split(F.lit(",".join(repr(x) for _, x in vocabulary.lattice.values())), ",").cast("array<double>")
 
     def step(s: Column, e: Column) -> Column:
-        stop, size = F.shiftright(e, STOP_SHIFT).cast("int") - offset, LONGEST - F.shiftright(e, CODE_BITS).bitwiseAND(LONGEST).cast("int")
-        code = e.bitwiseAND((1 << CODE_BITS) - 1).cast("int")
-        score = F.when(code < UNKNOWN, F.get(scores, code)).otherwise(F.lit(vocabulary.unknown))
-        total = F.element_at(s, (stop - size) * 2 + 1) + score
-        new = F.array(total, e.bitwiseAND((1 << STOP_SHIFT) - 1).cast("double"))
-        better = F.concat(F.slice(s, F.lit(1), F.size(s) - 2), new)
-        return F.when(F.size(s) <= stop * 2, F.concat(s, new)).when(total > F.element_at(s, -2), better).otherwise(s)
+        stop, size = F.shiftright(e, STOP_SHIFT).cast("int"), LONGEST - F.shiftright(e, CODE_BITS).bitwiseAND(LONGEST).cast("int")
+        stop = stop if offset is None else stop - offset
+        score = F.coalesce(F.get(scores, e.bitwiseAND((1 << CODE_BITS) - 1).cast("int")), F.lit(vocabulary.unknown))
+        total = F.element_at(s, stop - size + 1) + score
+        better = F.array_append(F.slice(s, F.lit(1), F.size(s) - 1), total)
+        return F.when(F.size(s) <= stop, F.array_append(s, total)).when(total > F.element_at(s, -1), better).otherwise(s)
 
     return F.aggregate(edges, seed, step)
 
 
 def _seed() -> Column:
-    return F.array(F.lit(0.0), F.lit(0.0))
+    return F.array(F.lit(0.0))
 
 
-def short_path(edges: Column, vocabulary: Vocabulary) -> Column:
-    """Scores and edges of the positions of a word of at most BLOCK characters."""
-    return _let(_ahead(edges, _seed(), F.lit(0), vocabulary), lambda s: F.slice(s, F.lit(3), F.size(s)))
+def short_scores(edges: Column, vocabulary: Vocabulary) -> Column:
+    """Best scores of the positions of a word of at most BLOCK characters, from that before its first character on."""
+    return _ahead(edges, _seed(), None, vocabulary)
 
 
-def long_path(blocks: Column, vocabulary: Vocabulary) -> Column:
+def long_scores(blocks: Column, vocabulary: Vocabulary) -> Column:
     """The same of a word in blocks (block, edges that end there): each block's fold begins with the last positions of the one before.
 
     A fold copies its state at every step, so the state of the inner folds is that of one block.
     """
-    start = F.struct(F.lit(0).alias("offset"), _seed().alias("seed"), F.array().cast("array<array<double>>").alias("done"))
+    start = F.struct(F.lit(0).alias("offset"), _seed().alias("seed"), F.array(_seed()).alias("done"))
 
     def over(s: Column, block: Column) -> Column:
         def close(t: Column) -> Column:
-            keep = F.least(F.size(t), F.lit(2 * vocabulary.longest))
+            keep = F.least(F.size(t), F.lit(vocabulary.longest))
             own = F.slice(t, F.size(s["seed"]) + 1, F.size(t))
-            offset = s["offset"] + F.floor((F.size(t) - keep) / 2).cast("int")
+            offset = s["offset"] + F.size(t) - keep
             return F.struct(offset.alias("offset"), F.slice(t, F.size(t) - keep + 1, keep).alias("seed"), F.concat(s["done"], F.array(own)).alias("done"))
 
         return _let(_ahead(block["edges"], s["seed"], s["offset"], vocabulary), close)
@@ -272,7 +272,7 @@ def long_path(blocks: Column, vocabulary: Vocabulary) -> Column:
 
 
 def best_edges(words: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataFrame:
-    """(key, c, path) of distinct words: score and best edge of each position; words: settled (key, base, part, c)."""
+    """(key, c, scores, edges) of distinct words: the best score of each position and all edges in order; words: settled (key, base, part, c)."""
     # Dealt out by key before they are exploded, edges are grouped where they arise.
     inside = F.col("part").isNull()
     listed = lambda x: (F.first("c").alias("c"), F.sort_array(F.collect_list(x)))
@@ -281,28 +281,38 @@ def best_edges(words: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataFram
     long = edges_of(words.where(~inside).repartition(tasks, "key"), vocabulary)
     long = long.groupBy("key", F.floor((F.shiftright("edge", STOP_SHIFT) - 1) / BLOCK).alias("block")).agg(c, edges.alias("edges"))
     long = long.groupBy("key").agg(c, listed(F.struct("block", "edges"))[1].alias("blocks"))
-    one = short.select("key", "c", short_path(F.col("edges"), vocabulary).alias("path"))
-    return one.unionByName(long.select("key", "c", long_path(F.col("blocks"), vocabulary).alias("path")))
+    one = short.select("key", "c", short_scores(F.col("edges"), vocabulary).alias("scores"), "edges")
+    all_edges = F.flatten(F.transform("blocks", lambda b: b["edges"]))
+    return one.unionByName(long.select("key", "c", long_scores(F.col("blocks"), vocabulary).alias("scores"), all_edges.alias("edges")))
 
 
-def walked(column: pa.ListArray, ids: np.ndarray, byte_ids: list[int]) -> pa.Array:
+def walked(scores: pa.ListArray, edges: pa.ListArray, weights: np.ndarray, ids: np.ndarray, byte_ids: list[int]) -> pa.Array:
     """Packed 32-bit ids of words, from the first on: the way back along the best edges, and the bytes' pieces of unknown characters.
 
-    ids: id of each place in the lattice's pieces.
+    A position's best edge is the first that gives its best score.  weights: the score of each place in the lattice's pieces and, last,
+    of an unknown character; ids: id of each place.
     """
-    at = column.value_lengths().to_numpy().astype(np.int64) // 2
-    begin = np.cumsum(at) - at
-    edge = column.flatten().to_numpy(zero_copy_only=False)[1::2].astype(np.int64)
-    code, size = edge & ((1 << CODE_BITS) - 1), LONGEST - (edge >> CODE_BITS)
-    used = np.zeros(len(edge), bool)
+    many = scores.value_lengths().to_numpy().astype(np.int64)
+    begin = np.cumsum(many) - many
+    best = scores.flatten().to_numpy(zero_copy_only=False)
+    edge = edges.flatten().to_numpy(zero_copy_only=False)
+    stop = (edge >> STOP_SHIFT) + np.repeat(begin, edges.value_lengths().to_numpy())
+    size, code = LONGEST - (edge >> CODE_BITS & LONGEST), edge & ((1 << CODE_BITS) - 1)
+    came = np.flatnonzero(best[stop - size] + weights[np.minimum(code, len(weights) - 1)] == best[stop])
+    came = came[np.diff(stop[came], prepend=-1) != 0]
+    if len(came) != len(best) - len(many):
+        raise ValueError("a position's score comes by no edge")
+    length, piece = np.zeros(len(best), np.int64), np.zeros(len(best), np.int64)
+    length[stop[came]], piece[stop[came]] = size[came], code[came]
+    row_of = np.repeat(np.arange(len(scores)), many)
+    used, at = np.zeros(len(best), bool), many - 1
     while len(live := np.flatnonzero(at)):
-        last = begin[live] + at[live] - 1
+        last = begin[live] + at[live]
         used[last] = True
-        at[live] -= size[last]
+        at[live] -= length[last]
         if len(live) < len(at):
             at, begin = at[live], begin[live]
-    row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy().astype(np.int64) // 2)[used]
-    code = code[used]
+    row, code = row_of[used], piece[used]
     plain = code < UNKNOWN
     out = [x if p else None for x, p in zip(ids[np.where(plain, code, 0)].tolist(), plain.tolist(), strict=True)] if not plain.all() else None
     if out is None:
@@ -310,9 +320,9 @@ def walked(column: pa.ListArray, ids: np.ndarray, byte_ids: list[int]) -> pa.Arr
     else:
         parts = [[x] if x is not None else [byte_ids[b] for b in chr(c - UNKNOWN).encode()] for x, c in zip(out, code.tolist(), strict=True)]
         flat, wide = np.array([x for y in parts for x in y], np.int32), np.array([len(y) for y in parts], np.int64)
-    many = np.bincount(row, wide, len(column)).astype(np.int64) if len(row) else np.zeros(len(column), np.int64)
-    edges = pa.py_buffer((np.concatenate(([0], np.cumsum(many))) * 4).astype(np.int32))
-    return pa.Array.from_buffers(pa.binary(), len(column), [None, edges, pa.py_buffer(flat.astype(np.int32))])
+    many = np.bincount(row, wide, len(scores)).astype(np.int64) if len(row) else np.zeros(len(scores), np.int64)
+    ends = pa.py_buffer((np.concatenate(([0], np.cumsum(many))) * 4).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(scores), [None, ends, pa.py_buffer(flat.astype(np.int32))])
 
 
 @contextlib.contextmanager
@@ -343,12 +353,19 @@ class Head:
         at = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)))
         return cls(table["key"].combine_chunks().cast(pa.large_binary()), codes.astype(np.uint16 if names < 0xFFFF else np.int32), at)
 
+    def places(self, distinct: pa.Array) -> np.ndarray:
+        """The place of each of some distinct words in the head, -1 for those outside; the table of a look-up is made of these words, which are fewer."""
+        found = pc.index_in(self.words, value_set=distinct)
+        out = np.full(len(distinct), -1, np.int64)
+        out[found.drop_null().to_numpy()] = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        return out
+
 
 @dataclass
 class Dictionary:
-    """coded: settled (key, c, ids), ids as packed 32-bit numbers, of all words of a corpus; head: those of the most frequent ones, broadcast."""
+    """The words of a corpus and their ids as packed 32-bit numbers. head: the most frequent ones, broadcast; rest: settled (key, ids) of all others."""
 
-    coded: DataFrame
+    rest: DataFrame
     cutter: Broadcast
     head: Broadcast
 
@@ -361,9 +378,10 @@ class Dictionary:
             counts = settle(word_counts(docs, cutter, vocabulary.longest).groupBy("key", "base", "part").agg(F.sum("c").alias("c")), "piece-words")
         release(spark)
         ids, as_bytes = np.array([i for i, _ in vocabulary.lattice.values()], np.int32), vocabulary.byte_ids
+        weights = np.array([*(x for _, x in vocabulary.lattice.values()), vocabulary.unknown])
 
         def pack(b: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.record_batch([b.column(0), b.column(1), walked(b.column(2), ids, as_bytes)], ["key", "c", "ids"])
+            return pa.record_batch([b.column(0), b.column(1), walked(b.column(2), b.column(3), weights, ids, as_bytes)], ["key", "c", "ids"])
 
         with grouped_by_hash(spark):
             coded = settle(map_batches(best_edges(counts, vocabulary, tasks), pack, "key binary, c long, ids binary", rows=10_000), "piece-codes")
@@ -379,8 +397,9 @@ class Dictionary:
             if total > HEAD:
                 break
             least = r["level"]
-        top = coded.where((level >= least) & (F.octet_length("key") <= BLOCK) & ~F.startswith("key", F.lit(b"\xff"))).select("key", "ids").toArrow()
-        return cls(coded, cutter, spark.sparkContext.broadcast(Head.of(top, len(vocabulary.names))))
+        frequent = (level >= least) & (F.octet_length("key") <= BLOCK) & ~F.startswith("key", F.lit(b"\xff"))
+        top = coded.where(frequent).select("key", "ids").toArrow()
+        return cls(coded.where(~frequent).select("key", "ids"), cutter, spark.sparkContext.broadcast(Head.of(top, len(vocabulary.names))))
 
 
 @dataclass
@@ -406,9 +425,9 @@ def encode_head(docs: DataFrame, vocabulary: Vocabulary, words: Dictionary, keep
         found, many = cutter.value.words(b.column("text"))
         found = found.dictionary_encode()
         distinct, which = found.dictionary, found.indices.to_numpy()
-        place = pc.index_in(distinct, value_set=head.words)
-        hole = place.is_null().to_numpy(zero_copy_only=False)
-        place = pc.fill_null(place, 0).to_numpy()
+        place = head.places(distinct)
+        hole = place < 0
+        place[hole] = 0
         first = np.where(hole, len(head.codes) - 1, head.at[place]) if len(head.words) else np.zeros(len(place), np.int64)
         size = np.where(hole, 1, np.diff(head.at)[place]) if len(head.words) else np.ones(len(place), np.int64)
         each = size[which]
@@ -435,7 +454,7 @@ def met(part: Partly, words: Dictionary) -> tuple[DataFrame, str]:
     keep = [c for c in part.rows.columns if c != part.row]
     more = free_name(part.rows, "found")
     # No word outside the head is frequent, so no key of this join is hot.
-    tails = part.rows.select(part.row, F.explode(F.array_distinct(part.holes)).alias("key")).join(words.coded.select("key", "ids"), "key")
+    tails = part.rows.select(part.row, F.explode(F.array_distinct(part.holes)).alias("key")).join(words.rest, "key")
     found = tails.groupBy(part.row).agg(F.collect_list(F.struct("key", "ids")).alias(more))
     some = part.rows.where(F.size(part.holes) > 0).join(found, part.row).select(*keep, more)
     none = F.array().cast("array<struct<key:binary,ids:binary>>")
@@ -444,20 +463,23 @@ def met(part: Partly, words: Dictionary) -> tuple[DataFrame, str]:
 
 def filled(codes: pa.Array, holes: pa.Array, found: pa.Array, small: bool) -> pa.ListArray:
     """Piece ids of each row: packed codes, of which each hole is replaced by the ids of its word."""
-    own = {x["key"]: np.frombuffer(x["ids"], np.int32) for f in found.to_pylist() for x in f or ()}
+    own = found.flatten()
+    place = pc.index_in(holes.flatten(), value_set=own.field("key"))
+    if place.null_count:
+        raise KeyError("a word of the texts is not in the dictionary")
+    parts = own.field("ids").take(place).cast(pa.large_binary())
     packed = [np.frombuffer(x, np.uint16 if small else np.int32) for x in codes.to_pylist()]
     flat = np.concatenate(packed).astype(np.int32)
     if small:
         flat[flat == 0xFFFF] = -1
     end = np.cumsum([len(x) for x in packed])
     at = np.flatnonzero(flat == -1)
-    parts = [own[k] for k in holes.flatten().to_pylist()]
     wide = np.ones(len(flat), np.int64)
-    wide[at] = [len(x) for x in parts]
+    wide[at] = pc.binary_length(parts).to_numpy() // 4
     out = np.repeat(flat, wide)
     if len(at):
         first = (np.cumsum(wide) - wide)[at]
-        out[np.repeat(first - (np.cumsum(wide[at]) - wide[at]), wide[at]) + np.arange(int(wide[at].sum()))] = np.concatenate(parts)
+        out[np.repeat(first - (np.cumsum(wide[at]) - wide[at]), wide[at]) + np.arange(int(wide[at].sum()))] = np.frombuffer(b"".join(parts.to_pylist()), np.int32)
     edges = np.concatenate(([0], np.cumsum(wide)))[np.concatenate(([0], end))]
     return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(out, pa.int32()))
 
@@ -514,24 +536,31 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", column: s
     return add_column(coded, lambda b: decode_lists(b.column(ids), sent.value).cast(pa.string()), column, T.StringType(), rows=ROWS)
 
 
+def dealt(docs: DataFrame, waves: int) -> Column:
+    """The wave of each row, by its id and its text's bytes, so that copies of a text are dealt out: all rows are asked in every wave, so
+    only a text without id is read for it."""
+    text = F.col("text").cast("string")
+    return F.pmod(F.xxhash64("doc_id", F.octet_length(text), F.when(F.col("doc_id").isNull(), text)), F.lit(waves))
+
+
 def encoded_digests(docs: DataFrame, path: str = MODEL, waves: int = WAVES) -> DataFrame:
     """(doc_id, n_pieces, ids_sha256, round_trip): the codes' digest (decimal, comma-separated) and whether they decode to the text.
 
-    The dictionary is made once over the whole corpus; texts are encoded in waves by their code, so that a fraction of the corpus is on
-    disk at a time.  Texts are compared by 64-bit codes, so they are read once and not dealt out.
+    The dictionary is made once over the whole corpus; texts are encoded in waves, so that a fraction of the corpus is on
+    disk at a time.  Texts are compared by 64-bit codes, so they are not dealt out.
     """
     vocabulary = Vocabulary.load(path)
     spark = docs.sparkSession
     text = F.replace(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(SPACE), F.lit(" "))
-    rows = docs.select("doc_id", text.alias("text"))
-    words = Dictionary.build(rows, vocabulary)
-    rows = rows.withColumn("code", F.xxhash64("text"))
+    words = Dictionary.build(docs, vocabulary)
+    share = dealt(docs, waves)
     sent = spark.sparkContext.broadcast((piece_bytes(vocabulary), pa.array([f"{i},".encode() for i in range(len(vocabulary.names))], pa.large_binary())))
     small = len(vocabulary.names) < 0xFFFF
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces long, ids_sha256 string, round_trip boolean"
     out = []
     for wave in range(waves):
-        part = encode_head(rows.where(F.pmod(F.col("code"), F.lit(waves)) == wave), vocabulary, words, ["doc_id", "code"])
+        rows = docs.where(share == wave).select("doc_id", text.alias("text")).withColumn("code", F.xxhash64("text"))
+        part = encode_head(rows, vocabulary, words, ["doc_id", "code"])
         both, more = met(part, words)
 
         def run(b: pa.RecordBatch, codes: str = part.codes, holes: str = part.holes, more: str = more) -> pa.RecordBatch:

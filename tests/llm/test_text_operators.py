@@ -339,6 +339,43 @@ def test_pieces_of_odd_documents(odd_docs, no_docs, vocabulary):
     assert sentencepiece.encoded_digests(odd_docs).where(~F.col("round_trip")).count() == 0
 
 
+def test_copies_of_a_text_are_dealt_into_all_waves(spark, monkeypatch):
+    """Neither one text in all rows nor rows without id come in one wave; each row is in exactly one."""
+    held, plain = [], sentencepiece.encode_head
+    monkeypatch.setattr(sentencepiece, "encode_head", lambda rows, *x: held.append(rows.count()) or plain(rows, *x))
+    copies = [(i, prose(1, 20)) for i in range(300)] + [(None, prose(i, 5)) for i in range(300)]
+    out = sentencepiece.encoded_digests(spark.createDataFrame(copies, "doc_id long, text string"))
+    assert out.count() == sum(held) == 600 and out.where("round_trip").count() == 600
+    assert out.where("doc_id IS NOT NULL").select("n_pieces", "ids_sha256").distinct().count() == 1
+    assert max(held) < 200
+
+
+def test_an_edge_costs_the_fold_one_appended_value(spark, vocabulary):
+    """Each edge of a word is a step of the fold: none joins whole arrays to add a value, or looks a substring up that is as long as no piece of its beginning."""
+    words = spark.createDataFrame([(b" thereof", 0, None, 1), (b"queeux", 0, None, 2)], "key binary, base int, part string, c long")
+    best = sentencepiece.best_edges(words, vocabulary, 2)
+    short = best._jdf.queryExecution().optimizedPlan().children().head().toString()
+    assert "array_append" in short or "array_insert" in short
+    assert "concat(" not in short and "sequence(1, least(coalesce(" not in short
+    ids, weights = [i for i, _ in vocabulary.lattice.values()], [x for _, x in vocabulary.lattice.values()]
+    found = best.select("key", "scores", "edges").toArrow().combine_chunks().to_batches()[0]
+    codes = sentencepiece.walked(found["scores"], found["edges"], np.array([*weights, vocabulary.unknown]), np.array(ids, np.int32), vocabulary.byte_ids)
+    for key, packed in zip(found["key"].to_pylist(), codes.to_pylist(), strict=True):
+        assert np.frombuffer(packed, np.int32).tolist() == plain_path(key.decode(), vocabulary)
+
+
+def test_equal_sums_take_the_edge_that_starts_first(spark):
+    """Of equal paths the longest last piece wins, also where a later block begins; places are told from scores alone."""
+    v = sentencepiece.Vocabulary({"a": (0, -1.0), "b": (1, -1.0), "ab": (2, -2.0), "ba": (3, -2.0), "aba": (4, -3.0)}, list(range(5, 261)), [], -20.0)
+    keys = [b"ab", b"aba", b"abab", b"babab", ("ab" * 400).encode()]
+    rows = [(k, i, k.decode()[i : i + sentencepiece.BLOCK + v.longest - 1] if len(k) > sentencepiece.BLOCK else None, 1) for k in keys for i in range(0, len(k), sentencepiece.BLOCK)]
+    best = sentencepiece.best_edges(spark.createDataFrame(rows, "key binary, base int, part string, c long"), v, 2)
+    found = best.toArrow().combine_chunks().to_batches()[0]
+    codes = sentencepiece.walked(found["scores"], found["edges"], np.array([-1.0, -1.0, -2.0, -2.0, -3.0, -20.0]), np.arange(5, dtype=np.int32), v.byte_ids)
+    out = {k: np.frombuffer(c, np.int32).tolist() for k, c in zip(found["key"].to_pylist(), codes.to_pylist(), strict=True)}
+    assert out == {k: plain_path(k.decode(), v) for k in keys}
+
+
 def test_sentences_of_many_words_remember_none_and_keep_each_text_apart():
     """Line breaks before a text's first word end nothing but the text before; words of all texts are coded anew, whatever their number."""
     texts = ["a b", "\n c d", "\n\n", "e\n\n f", "", "g.\n", "\tH! i", " ".join(f"W{i}" for i in range(500))]
