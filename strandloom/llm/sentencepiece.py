@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from ..storage import remove
 from ..workers import ship
-from .common import add_column, documents, free_name, fresh_path, map_batches, release, settle, slices, small_batches, union_all
+from .common import add_column, documents, free_name, fresh_path, give_back, map_batches, release, settle, slices, small_batches, union_all
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HEAD, FLUSH_WORDS, WAVES, ROWS = 300_000, 100_000, 6, 512
@@ -169,7 +169,7 @@ def word_counts(docs: DataFrame, cutter: Broadcast, longest: int) -> DataFrame:
         held: list[pa.Table] = []
 
         def merged() -> pa.Table:
-            return pa.concat_tables(held).group_by("w").aggregate([("c", "sum")]).rename_columns(["w", "c"])
+            return pa.concat_tables(held).group_by("w", use_threads=False).aggregate([("c", "sum")]).rename_columns(["w", "c"])
 
         def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
             for part in table.to_batches(max_chunksize=100_000):
@@ -187,7 +187,10 @@ def word_counts(docs: DataFrame, cutter: Broadcast, longest: int) -> DataFrame:
                     if held[0].num_rows > FLUSH_WORDS:
                         yield from flush(held.pop())
         if held:
-            yield from flush(merged())
+            held = [merged()]
+            yield from flush(held.pop())
+        b = some = found = None  # noqa: F841  else the last batch stays
+        give_back()
 
     ship(docs.sparkSession)
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "key binary, base int, part string, c long")

@@ -339,6 +339,22 @@ def test_pieces_of_odd_documents(odd_docs, no_docs, vocabulary):
     assert sentencepiece.encoded_digests(odd_docs).where(~F.col("round_trip")).count() == 0
 
 
+def test_counting_words_gives_memory_back(make_docs, vocabulary, monkeypatch):
+    """Python workers live through all steps: after its last batch a task returns what it has freed, once, and counts are whole."""
+    docs, runs, calls = make_docs(["a b"]), [], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or self)
+    monkeypatch.setattr(sentencepiece, "give_back", lambda: calls.append(1))
+
+    class Sent:
+        value = vocabulary.cutter()
+
+    sentencepiece.word_counts(docs, Sent, vocabulary.longest)
+    texts = [prose(i, 30) for i in range(40)]
+    batches = (pa.record_batch([pa.array(texts[i : i + 10])], ["text"]) for i in range(0, 40, 10))
+    rows = [r for b in runs[0](batches) for r in b.to_pylist() if not calls]
+    assert sum(len(r["key"]) * r["c"] for r in rows) == sum(len(t) + 1 for t in texts) and calls == [1]
+
+
 def test_copies_of_a_text_are_dealt_into_all_waves(spark, monkeypatch):
     """Neither one text in all rows nor rows without id come in one wave; each row is in exactly one."""
     held, plain = [], sentencepiece.encode_head
